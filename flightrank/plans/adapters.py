@@ -19,25 +19,41 @@ def _two_digits(number: Column) -> Column:
     return F.lpad(number.cast("string"), 2, "0")
 
 
+def _nation_code(nation: str) -> Column:
+    return F.concat(F.lit("N"), _two_digits(F.col(nation)))
+
+
+def _percent(share: str) -> Column:
+    return F.floor(F.col(share) * 100 + 0.5).cast("int")
+
+
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flight per line item: from the supplier's nation to the customer's."""
+    """One flight per line item: from the supplier's nation to the customer's.
+
+    Airport codes are made once per supplier and customer, before the joins.
+    Spark broadcasts a side only when its statistics are below the threshold.
+    """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    suppliers = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", _nation_code("s_nationkey").alias("origin")
+    )
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", _nation_code("c_nationkey").alias("dest")
+    )
     joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
     )
     arrived = ~((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7))
     late_out = F.col("l_quantity").cast("int") - 20
-    made_up = F.round(F.col("l_tax") * 100).cast("int") - F.round(F.col("l_discount") * 100).cast("int")
+    made_up = _percent("l_tax") - _percent("l_discount")
     return joined.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("flight_num"),
         _two_digits(F.col("l_partkey") % 25).alias("carrier"),
-        F.concat(F.lit("N"), _two_digits(F.col("s_nationkey"))).alias("origin"),
-        F.concat(F.lit("N"), _two_digits(F.col("c_nationkey"))).alias("dest"),
+        "origin",
+        "dest",
         F.col("l_shipdate").cast("date").alias("flight_date"),
         F.lpad(((F.col("l_partkey") % 24) * 100).cast("string"), 4, "0").alias("dep_time"),
         F.when(arrived, late_out).cast("double").alias("dep_delay"),

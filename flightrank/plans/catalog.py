@@ -60,19 +60,16 @@ def _parse_flight_csv(all_flights: DataFrame) -> DataFrame:
     return sources.parse_flights(sources.render_lines(all_flights))
 
 
-def _cut_lines(all_flights: DataFrame) -> DataFrame:
-    """Flight lines; those of flights that did not arrive end after 40 fields."""
-    lines = sources.render_lines(all_flights)
-    arrived = F.get(F.split("value", ","), F.lit(44)) != ""
-    return lines.withColumn(
-        "value", F.when(arrived, F.col("value")).otherwise(F.substring_index("value", ",", 40))
-    )
-
-
 def _parse_flight_rejects(all_flights: DataFrame) -> DataFrame:
-    cut = sources.rejected_lines(_cut_lines(all_flights))
+    """Flight lines cut after 40 fields where the flight did not arrive, then sorted out."""
+    lines = sources.render_lines(all_flights)
+    blank_end = F.col("value").endswith(",")
+    cut = F.when(blank_end, F.substring_index("value", ",", 40)).otherwise(F.col("value"))
+    rejected = sources.rejected_lines(lines.select(cut.alias("value")))
     number = F.replace(F.get(F.split("value", ","), F.lit(10)), F.lit('"'), F.lit(""))
-    return cut.select(number.alias("flight_num"), F.col("n_fields").cast("bigint").alias("n_fields"))
+    return rejected.select(
+        number.alias("flight_num"), F.col("n_fields").cast("bigint").alias("n_fields")
+    )
 
 
 def _quoted_pair(first: str, second: str) -> Column:
@@ -92,15 +89,14 @@ def _parse_key_metric_tsv(all_flights: DataFrame) -> DataFrame:
     counts = questions.popular_airports(all_flights, k=None)
     quoted = F.concat(F.lit('"'), F.col("airport"), F.lit('"'))
     lines = _through_text(_tab_lines(counts, quoted, python_float("n")), "key-metric")
-    return ranking.ranked(sources.parse_key_metric(lines), "metric", ["key"], ascending=False)
+    return questions.key_results(lines)
 
 
 def _parse_composite_tsv(all_flights: DataFrame) -> DataFrame:
     means = ranking.mean_delay(all_flights, ["origin", "carrier"], "dep_delay")
     text = _tab_lines(means, _quoted_pair("origin", "carrier"), python_float("mean_delay"))
     lines = _through_text(text, "pair-metric")
-    rows = sources.parse_pair_metric(lines, "origin", "carrier", "mean_delay")
-    return rows.orderBy("origin", "mean_delay", "carrier")
+    return questions.pair_results(lines, "origin", "carrier", "mean_delay")
 
 
 def _parse_best_flight_tsv(all_flights: DataFrame) -> DataFrame:

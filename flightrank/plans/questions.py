@@ -1,4 +1,7 @@
-"""The questions, each a function from flights to its answer. Batch and micro-batches share them."""
+"""The questions, each a function from flights to its answer. Batch and micro-batches share them.
+
+The functions at the end answer from the keyed text files that earlier jobs wrote.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 from flightrank.functions import is_airport, is_carrier
 from flightrank.operators.popularity import airport_counts
 from flightrank.operators.ranking import mean_delay, ranked, top_k, top_k_per_key
+from flightrank.sources import parse_best_flights, parse_key_metric, parse_pair_metric
 
 
 def popular_airports(flights: DataFrame, k: int | None = 10) -> DataFrame:
@@ -67,3 +71,32 @@ def _top_for(
 def route_delays(flights: DataFrame, metric: str = "arr_delay") -> DataFrame:
     """Mean delay of every route."""
     return mean_delay(flights, ["origin", "dest"], metric)
+
+
+def key_results(lines: DataFrame, k: int | None = None, ascending: bool = False) -> DataFrame:
+    """Ranking of ``key<tab>metric`` lines, greatest first unless ``ascending``."""
+    rows = parse_key_metric(lines)
+    if k is None:
+        return ranked(rows, "metric", ["key"], ascending)
+    return top_k(rows, "metric", ["key"], k, ascending)
+
+
+def pair_results(
+    lines: DataFrame, first: str, second: str, metric: str, wanted: str | None = None
+) -> DataFrame:
+    """``first second<tab>metric`` lines in order, for one ``first`` or for all."""
+    rows = parse_pair_metric(lines, first, second, metric)
+    if wanted is not None:
+        rows = rows.filter(F.col(first) == wanted)
+    return rows.orderBy(first, metric, second)
+
+
+def best_flight_results(
+    lines: DataFrame, origin: str, dest: str, date: str, half_day: str
+) -> DataFrame:
+    """Best-flight lines of one route, date (``yyyy-MM-dd``) and half of the day, best first."""
+    wanted = {"origin": origin, "dest": dest, "flight_date": date, "half_day": half_day}
+    rows = parse_best_flights(lines)
+    for column, value in wanted.items():
+        rows = rows.filter(F.col(column) == value)
+    return rows.orderBy("mean_delay", "carrier", "flight_num", "dep_time")

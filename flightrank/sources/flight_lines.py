@@ -59,10 +59,10 @@ def parse_flights(
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """The lines too short to hold every field, with their field count."""
-    n_fields = F.size(_fields())
-    return lines.filter((n_fields < MIN_FIELDS) & ~_is_header(_fields())).select(
-        F.col("value").cast("string").alias("value"), n_fields.alias("n_fields")
-    )
+    text = F.col("value").cast("string")
+    split = lines.select(F.inline(F.array(F.struct(text.alias("value"), _fields().alias("fields")))))
+    short = (F.size("fields") < MIN_FIELDS) & ~_is_header(F.col("fields"))
+    return split.filter(short).select("value", F.size("fields").alias("n_fields"))
 
 
 def flights_by_name(
@@ -104,5 +104,11 @@ def render_lines(flights: DataFrame, whole_minutes: bool = False) -> DataFrame:
         position = FIELD_POSITION[code] + 1
         at[position] = F.concat(F.lit('"'), F.col(code), F.lit(" city"))
         at[position + 1] = F.lit(' ST"')
-    line = F.concat_ws(",", *[F.coalesce(at.get(i, F.lit("")), F.lit("")) for i in range(MIN_FIELDS)])
-    return flights.select(line.alias("value"))
+    # Empty fields between two filled ones make one constant run of commas.
+    pieces, commas = [], ""
+    for position in range(MIN_FIELDS):
+        if position in at:
+            pieces += [F.lit(commas), F.coalesce(at[position], F.lit(""))]
+            commas = ""
+        commas += ","
+    return flights.select(F.concat(*pieces).alias("value"))

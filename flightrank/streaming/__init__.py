@@ -7,6 +7,8 @@ from flightrank.streaming.rankings import (
 )
 from flightrank.streaming.run import drain_appended, drain_latest, drain_ranked, drain_upserted
 from flightrank.streaming.sinks import (
+    BATCH_INTERVAL,
+    publish_batches,
     publish_to_kafka,
     read_latest,
     show_on_console,
@@ -15,11 +17,13 @@ from flightrank.streaming.sinks import (
 )
 
 __all__ = [
+    "BATCH_INTERVAL",
     "best_legs_stream",
     "drain_appended",
     "drain_latest",
     "drain_ranked",
     "drain_upserted",
+    "publish_batches",
     "publish_to_kafka",
     "read_latest",
     "running_carriers",

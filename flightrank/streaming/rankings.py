@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightrank.functions import departure_time, is_airport, is_carrier, shift_date
+from flightrank.functions import departure_time, is_airport, shift_date
 from flightrank.operators.itinerary import CHOICE, best_per, candidates, prefixed, trip_columns
 from flightrank.operators.popularity import movements
-from flightrank.operators.ranking import mean_delay, top_k
+from flightrank.plans.questions import carriers, popular_airports
 
 
 def running_popularity(flights: DataFrame, k: int = 10) -> DataFrame:
@@ -16,14 +16,12 @@ def running_popularity(flights: DataFrame, k: int = 10) -> DataFrame:
 
     State is one count per airport code.
     """
-    counts = movements(flights).groupBy("airport").agg(F.count(F.lit(1)).alias("n"))
-    return top_k(counts, "n", ["airport"], k, ascending=False)
+    return popular_airports(flights, k)
 
 
 def running_carriers(flights: DataFrame, metric: str = "arr_delay", k: int = 10) -> DataFrame:
     """Most punctual carriers over everything seen so far; for complete mode."""
-    means = mean_delay(flights.filter(is_carrier("carrier")), ["carrier"], metric)
-    return top_k(means, "mean_delay", ["carrier"], k)
+    return carriers(flights, metric, k)
 
 
 def windowed_popularity(

@@ -29,6 +29,21 @@ def publish_to_kafka(stream: DataFrame, brokers: str, topic: str, checkpoint: st
     )
 
 
+def publish_batches(brokers: str, topic: str, transform: Transform) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer: each batch's answer as messages, sent by the executors."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (
+            messages(transform(batch))
+            .write.format("kafka")
+            .option("kafka.bootstrap.servers", brokers)
+            .option("topic", topic)
+            .save()
+        )
+
+    return write
+
+
 def show_on_console(stream: DataFrame, mode: str = "append", rows: int = 100) -> DataStreamWriter:
     return (
         stream.writeStream.format("console")
