@@ -1,0 +1,130 @@
+import math
+import os
+
+import numpy as np
+import pytest
+
+from flightrank import sources
+from flightrank.operators import cumulative, distribution
+
+
+def frame(spark, values):
+    return spark.createDataFrame([(float(v),) for v in values], "n double").repartition(3)
+
+
+def brute_fit(values):
+    """Every distinct value but the largest as xmin, every distance, in numpy."""
+    data = np.sort(np.asarray(values, dtype=float))
+    fits = []
+    for m in np.unique(data)[:-1]:
+        tail = data[data >= m]
+        alpha = 1 + len(tail) / np.log(tail / m).sum()
+        points = np.unique(tail)
+        seen = np.searchsorted(tail, points, side="left") / len(tail)
+        fits.append((np.abs(seen - (1 - (points / m) ** (1 - alpha))).max(), m, len(tail), alpha))
+    return min(fits)
+
+
+RNG = np.random.default_rng(3)
+SAMPLES = {
+    "pareto": np.round((1 - RNG.random(700)) ** (-1 / 1.5) * 10, 3),
+    "lognormal": np.round(np.exp(RNG.normal(3, 1.2, 600)), 2),
+    "whole numbers with repeats": RNG.poisson(30, 500) + 1,
+    "a third of all samples equal": np.concatenate([np.full(200, 17.0), RNG.random(400) * 100 + 1]),
+    "two values": np.array([2.0, 2.0, 5.0]),
+    "cut": np.round((1 - RNG.random(500)) ** (-1 / 2.0) * 10 + RNG.random(500) * 15, 4),
+}
+
+
+@pytest.mark.parametrize("name", SAMPLES)
+@pytest.mark.parametrize("buckets", [4, 64])
+def test_fit_equals_brute_force(spark, name, buckets):
+    d, xmin, n_tail, alpha = brute_fit(SAMPLES[name])
+    [row] = distribution.powerlaw_fit(frame(spark, SAMPLES[name]), "n", buckets, spread=3).collect()
+    assert (row.xmin, row.n_tail) == (xmin, n_tail)
+    assert row.alpha == pytest.approx(alpha, rel=1e-9)
+    assert row.d == pytest.approx(d, abs=1e-9)
+
+
+def test_values_that_cannot_be_fitted_are_ignored(spark):
+    values = [0.0, -3.0, float("nan"), float("inf"), 2.0, 3.0, 3.0]
+    counts = distribution.value_counts(frame(spark, values), "n")
+    assert {r.x: r.n for r in counts.collect()} == {2.0: 1, 3.0: 2}
+
+
+def test_ccdf(spark):
+    rows = distribution.ccdf(frame(spark, [1, 2, 2, 5]), "n").orderBy("x").collect()
+    assert [(r.x, r.n, r.p_ge) for r in rows] == [(1.0, 1, 1.0), (2.0, 2, 0.75), (5.0, 1, 0.25)]
+
+
+@pytest.mark.parametrize("buckets", [2, 7, 256])
+def test_sums_from_top(spark, buckets):
+    values = sorted(set(RNG.integers(1, 5000, 800).tolist()))
+    df = spark.createDataFrame([(float(v), v % 5 + 1) for v in values], "x double, n bigint")
+    rows = cumulative.sums_from_top(df, "x", ["n"], buckets).orderBy("x").collect()
+    weights = np.array([v % 5 + 1 for v in values])
+    assert [r.x for r in rows] == values
+    assert [r.from_n for r in rows] == np.cumsum(weights[::-1])[::-1].tolist()
+    assert len({r.bucket for r in rows}) <= buckets
+
+
+def test_sums_from_top_sorts_no_whole_table_in_one_task(spark):
+    df = spark.range(1, 5000).selectExpr("cast(id AS double) AS x", "id AS n")
+    rows = cumulative.sums_from_top(df, "x", ["n"], 16).groupBy("bucket").count().collect()
+    assert max(r["count"] for r in rows) < 5000 / 16 * 1.5
+
+
+def likelihood(mu, sigma, y):
+    upper = 0.5 * math.erfc(-mu / sigma / math.sqrt(2))
+    return -len(y) * math.log(sigma * upper) - ((y - mu) ** 2).sum() / (2 * sigma**2)
+
+
+@pytest.mark.parametrize("mu, sigma", [(1.0, 0.5), (0.2, 1.0), (-0.5, 1.0), (5.0, 0.7)])
+def test_cut_normal_has_the_greatest_likelihood(mu, sigma):
+    y = np.random.default_rng(5).normal(mu, sigma, 4000)
+    y = y[y > 0]
+    at, width, ln_c = distribution._cut_normal(y.mean(), (y * y).mean())
+    assert ln_c == pytest.approx(math.log(0.5 * math.erfc(-at / width / math.sqrt(2))), abs=1e-9)
+    best = likelihood(at, width, y)
+    for step in (0.01, 0.1):
+        for dm, ds in ((step, 0), (-step, 0), (0, step), (0, -step)):
+            assert likelihood(at + dm, width + ds, y) <= best
+
+
+def test_hazard_is_continuous_where_the_formula_changes():
+    left, right = distribution._hazard_excess(3 - 1e-9), distribution._hazard_excess(3 + 1e-9)
+    assert left == pytest.approx(right, rel=1e-6)
+
+
+def test_cut_normal_has_no_maximum_beyond_the_exponential():
+    assert distribution._cut_normal(1.0, 2.5) is None
+
+
+def test_lognormal_samples_favour_the_lognormal(spark):
+    [row] = distribution.lognormal_fit(frame(spark, SAMPLES["lognormal"]), "n", 64).collect()
+    data = np.log(np.asarray(SAMPLES["lognormal"]))
+    y = data[data >= math.log(row.xmin)] - math.log(row.xmin)
+    gap = (
+        math.log(row.alpha - 1) - (row.alpha - 1) * y
+        - (
+            -math.log(row.sigma) - 0.5 * math.log(2 * math.pi)
+            - (y - (row.mu - math.log(row.xmin))) ** 2 / (2 * row.sigma**2)
+            - math.log(0.5 * math.erfc((math.log(row.xmin) - row.mu) / row.sigma / math.sqrt(2)))
+        )
+    )
+    ratio = gap.sum() / math.sqrt(len(y) * gap.var())
+    assert row.ratio == pytest.approx(ratio, rel=1e-6)
+    assert row.p_value == pytest.approx(math.erfc(abs(ratio) / math.sqrt(2)), rel=1e-6)
+    assert row.favoured == ("lognormal" if ratio < 0 else "power_law")
+
+
+@pytest.mark.skipif("FREQUENCY_FILE" not in os.environ, reason="needs the published frequency file")
+def test_published_frequencies(spark):
+    """Published ratio -3.485522 and p 0.000491 for 285 airports."""
+    frequencies = sources.parse_frequencies(spark.read.text(os.environ["FREQUENCY_FILE"]))
+    [row] = distribution.lognormal_fit(frequencies, "n").collect()
+    assert (row.xmin, row.n_tail, row.favoured) == (62742.0, 181, "lognormal")
+    assert row.alpha == pytest.approx(1.497533, abs=1e-5)
+    assert row.d == pytest.approx(0.102513, abs=1e-5)
+    assert row.ratio == pytest.approx(-3.485522, abs=1e-3)
+    assert row.p_value == pytest.approx(0.000491, abs=1e-5)
