@@ -55,11 +55,6 @@ def powerlaw_alpha(samples: DataFrame, column: str, xmin: float | None = None) -
     )
 
 
-def _law_below(x: Column, m: Column, alpha: Column) -> Column:
-    """Share of a power law from ``m`` that lies below ``x``."""
-    return 1 - F.pow(x / m, 1 - alpha)
-
-
 def powerlaw_fit(
     samples: DataFrame, column: str, buckets: int = 256, spread: int = 16
 ) -> DataFrame:
@@ -71,103 +66,110 @@ def powerlaw_fit(
     return _fit(written_once(value_counts(samples, column), "value-counts"), buckets, spread)
 
 
+# Candidates measured exactly in advance, only to tell the others apart from them.
+PROBES = 8
+
+
 def _fit(values: DataFrame, buckets: int, spread: int) -> DataFrame:
     """Exact search over all values without comparing every value with every other.
 
-    Both distribution functions grow with x. So the two ends of a bucket of
-    values bound the distance anywhere inside it, for every candidate at the
-    price of one look per bucket. That gives each candidate a lower bound (the
-    distances at the ends) and an upper bound. A candidate whose lower bound is
-    above another's upper bound cannot win, and a bucket whose bound is not
-    above the candidate's own lower bound cannot change it. Only what is left
-    meets the single values, by an equality join on the bucket.
+    The values are cut into cells. Both distribution functions grow with x, so
+    the two ends of a cell bound the distance anywhere inside it. That gives
+    each candidate a lower bound, the distances at the ends. A candidate whose
+    lower bound is above the exact distance of another cannot win, and a cell
+    whose bound is not above the candidate's own lower bound cannot change it.
+    Only what is left meets the single values, by an equality join on the cell.
     """
-    logs = values.withColumn("ln", F.col("n") * F.ln("x"))
-    points = sums_from_top(logs, "x", ["n", "ln"], buckets).drop("ln")
+    logs = values.withColumn("ln", F.ln("x")).withColumn("n_ln", F.col("n") * F.col("ln"))
     total = values.agg(F.sum("n")).scalar()
-    points = points.withColumn("below", total - F.col("from_n"))
-
-    # At most ``buckets`` structs in one row.
-    ends = points.groupBy("bucket").agg(
-        F.min("x").alias("lo"),
-        F.max("x").alias("hi"),
-        F.min("below").alias("lo_below"),
-        F.max("below").alias("hi_below"),
+    below = total - F.col("from_n")
+    # Cells of like many values and of like many samples: a few values may hold most samples.
+    share = F.floor(below * buckets / total)
+    points = written_once(
+        sums_from_top(logs, "x", ["n", "n_ln"], buckets).select(
+            "x", "ln", "from_n", "from_n_ln", below.alias("below"),
+            (F.col("bucket") + buckets * share).alias("cell"),
+        ),
+        "value-sums",
+    )
+    # At most twice ``buckets`` rows, both numbers of a cell growing with x.
+    cells = points.groupBy("cell").agg(
+        F.min("ln").alias("lo_ln"), F.max("ln").alias("hi_ln"),
+        F.min("below").alias("lo_below"), F.max("below").alias("hi_below"),
     )
-    grid = ends.agg(
-        F.sort_array(F.collect_list(F.struct("bucket", "lo", "hi", "lo_below", "hi_below")))
-    ).scalar()
-
-    largest = values.agg(F.max("x")).scalar()
-    tried = points.filter(F.col("x") < largest).select(
-        F.col("x").alias("m"),
-        F.col("from_n").alias("n_tail"),
-        F.col("below").alias("m_below"),
-        F.col("bucket").alias("m_bucket"),
-        (1 + F.col("from_n") / (F.col("from_ln") - F.col("from_n") * F.ln("x"))).alias("alpha"),
+    grid = cells.agg(F.collect_list(F.struct(*cells.columns))).scalar()
+
+    # Little data but much work on it: a fixed number of tasks, which Spark
+    # does not merge by size.
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tail_ln = F.col("from_n_ln") - F.col("from_n") * F.col("ln")
+    candidates = points.filter(F.col("x") < values.agg(F.max("x")).scalar()).select(
+        F.col("x").alias("m"), F.col("ln").alias("m_ln"), F.col("from_n").alias("n_tail"),
+        F.col("below").alias("m_below"), F.col("cell").alias("m_cell"),
+        (1 + F.col("from_n") / tail_ln).alias("alpha"),
     )
-    m, alpha = F.col("m"), F.col("alpha")
+    candidates = candidates.repartition(tasks, "m")
 
-    def seen_below(below: Column) -> Column:
+    def seen(below: Column) -> Column:
         return (below - F.col("m_below")) / F.col("n_tail")
 
-    def look(b: Column) -> Column:
-        # The candidate's own bucket starts at the candidate itself.
-        lo = F.greatest(b["lo"], m)
-        seen_lo = seen_below(F.greatest(b["lo_below"], F.col("m_below")))
-        seen_hi = seen_below(b["hi_below"])
-        law_lo, law_hi = _law_below(lo, m, alpha), _law_below(b["hi"], m, alpha)
-        at_ends = F.greatest(F.abs(seen_lo - law_lo), F.abs(seen_hi - law_hi))
-        inside = F.greatest(at_ends, seen_hi - law_lo, law_hi - seen_lo)
-        # The margin keeps rounding from discarding an equal bucket.
-        return F.struct(
-            b["bucket"].alias("bucket"), at_ends.alias("at_ends"), (inside + 1e-12).alias("inside")
+    def law(ln: Column) -> Column:
+        return 1 - F.exp((1 - F.col("alpha")) * (ln - F.col("m_ln")))
+
+    def look_at_cells(some: DataFrame) -> DataFrame:
+        """``at_ends`` and ``inside``, the least and the greatest the distance can be in each cell."""
+        each = some.select("*", F.inline(grid)).filter(F.col("cell") >= F.col("m_cell"))
+        # The candidate's own cell starts at the candidate itself.
+        ends = each.select(
+            *some.columns,
+            "cell",
+            seen(F.greatest("lo_below", "m_below")).alias("seen_lo"),
+            seen(F.col("hi_below")).alias("seen_hi"),
+            law(F.greatest("lo_ln", "m_ln")).alias("law_lo"),
+            law(F.col("hi_ln")).alias("law_hi"),
         )
-
-    looked = tried.withColumn("grid", grid).withColumn(
-        "looks",
-        F.transform(F.filter("grid", lambda b: b["bucket"] >= F.col("m_bucket")), look),
-    )
-    bounded = (
-        looked.withColumn("least", F.array_max(F.transform("looks", lambda b: b["at_ends"])))
-        .withColumn("most", F.array_max(F.transform("looks", lambda b: b["inside"])))
-        .withColumn(
-            "open",
-            F.transform(
-                F.filter("looks", lambda b: b["inside"] > F.col("least")), lambda b: b["bucket"]
-            ),
+        at_ends = F.greatest(
+            F.abs(F.col("seen_lo") - F.col("law_lo")), F.abs(F.col("seen_hi") - F.col("law_hi"))
         )
-        .select("m", "n_tail", "m_below", "alpha", "least", "most", "open")
-    )
-    # One row per value; kept so that the bounds are not worked out twice.
-    bounded = written_once(bounded, "powerlaw-bounds")
-    reach = bounded.agg(F.min("most")).scalar()
-    alive = bounded.filter(F.col("least") <= reach)
-
-    # Candidates often share their open bucket; the salt splits such a bucket
-    # over ``spread`` tasks.
-    salted = alive.select(
-        "m", "n_tail", "m_below", "alpha",
-        F.explode("open").alias("bucket"),
-        F.pmod(F.xxhash64("m"), F.lit(spread)).cast("int").alias("salt"),
+        across = F.greatest(F.col("seen_hi") - F.col("law_lo"), F.col("law_hi") - F.col("seen_lo"))
+        # The margin keeps rounding from discarding an equal cell.
+        inside = F.greatest(at_ends, across) + 1e-12
+        return ends.select(*some.columns, "cell", at_ends.alias("at_ends"), inside.alias("inside"))
+
+    bounded = written_once(
+        look_at_cells(candidates)
+        .groupBy(*candidates.columns)
+        .agg(F.max("at_ends").alias("least")),
+        "powerlaw-bounds",
     )
+
     singles = points.select(
-        "bucket", "x", "below", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("salt")
-    )
-    distance = F.abs(seen_below(F.col("below")) - _law_below(F.col("x"), m, alpha))
-    farthest = (
-        salted.join(singles, ["bucket", "salt"])
-        .filter(F.col("x") >= m)
-        .groupBy("m")
-        .agg(F.max(distance).alias("inner"))
-    )
-    fits = alive.join(farthest, "m", "left").select(
-        m.alias("xmin"),
-        "n_tail",
-        "alpha",
-        F.greatest(F.col("least"), F.coalesce("inner", F.lit(0.0))).alias("d"),
-    )
-    return fits.orderBy("d", "xmin").limit(1)
+        "cell", "ln", "below", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("salt")
+    ).repartition(tasks, "cell", "salt")
+
+    def measured(some: DataFrame) -> DataFrame:
+        """Exact distances. Candidates often share open cells; the salt splits such a cell."""
+        open_cells = (
+            look_at_cells(some.repartition(tasks, "m"))
+            .filter(F.col("inside") > F.col("least"))
+            .withColumn("salt", F.pmod(F.xxhash64("m"), F.lit(spread)).cast("int"))
+            .repartition(tasks, "cell", "salt")
+        )
+        farthest = (
+            open_cells.join(singles, ["cell", "salt"])
+            .filter(F.col("ln") >= F.col("m_ln"))
+            .groupBy("m")
+            .agg(F.max(F.abs(seen(F.col("below")) - law(F.col("ln")))).alias("inner"))
+        )
+        d = F.greatest("least", F.coalesce("inner", F.lit(0.0)))
+        return some.join(farthest, "m", "left").select(
+            F.col("m").alias("xmin"), "n_tail", "alpha", d.alias("d")
+        )
+
+    probes = bounded.orderBy("least", "m").limit(PROBES)
+    reach = written_once(measured(probes).agg(F.min("d").alias("d")), "powerlaw-reach")
+    alive = bounded.filter(F.col("least") <= reach.select("d").scalar() + 1e-12)
+    return measured(alive).orderBy("d", "xmin").limit(1)
 
 
 def lognormal_fit(

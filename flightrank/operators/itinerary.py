@@ -68,19 +68,26 @@ def leg_search(
     gap_days: int = 2,
     blank_as_zero: bool = False,
 ) -> DataFrame:
-    """Flights for both legs of one trip, labelled 1 and 2, each leg best first."""
+    """Flights for both legs of one trip, labelled 1 and 2, each leg best first.
+
+    One scan serves both legs: a flight gets the label of each leg it fits.
+    """
     start = F.lit(date).cast("date")
-    known = candidates(flights, blank_as_zero)
 
-    def leg(label: int, x: str, y: str, day: Column) -> DataFrame:
-        wanted = (F.col("origin") == x) & (F.col("dest") == y) & (F.col("flight_date") == day)
-        return known.filter(wanted).select(
-            F.lit(label).cast("bigint").alias("leg"), *ROUTE_DAY, "dep_time", "carrier",
+    def fits(x: str, y: str, day: Column) -> Column:
+        return (F.col("origin") == x) & (F.col("dest") == y) & (F.col("flight_date") == day)
+
+    first, second = fits(origin, stop, start), fits(stop, dest, shift_date(start, gap_days))
+    labels = F.array_compact(F.array(F.when(first, 1), F.when(second, 2))).cast("array<bigint>")
+    return (
+        candidates(flights, blank_as_zero)
+        .filter(first | second)
+        .select(
+            F.explode(labels).alias("leg"), *ROUTE_DAY, "dep_time", "carrier",
             "flight_num", "arr_delay",
         )
-
-    legs = leg(1, origin, stop, start).unionByName(leg(2, stop, dest, shift_date(start, gap_days)))
-    return legs.orderBy("leg", *CHOICE)
+        .orderBy("leg", *CHOICE)
+    )
 
 
 def trip_columns(first: Sequence[str], second: Sequence[str]) -> list[Column]:
