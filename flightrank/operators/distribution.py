@@ -167,8 +167,8 @@ def _fit(values: DataFrame, buckets: int, spread: int) -> DataFrame:
         )
 
     probes = bounded.orderBy("least", "m").limit(PROBES)
-    reach = written_once(measured(probes).agg(F.min("d").alias("d")), "powerlaw-reach")
-    alive = bounded.filter(F.col("least") <= reach.select("d").scalar() + 1e-12)
+    reach = measured(probes).agg(F.min("d")).scalar()
+    alive = bounded.filter(F.col("least") <= reach + 1e-12)
     return measured(alive).orderBy("d", "xmin").limit(1)
 
 

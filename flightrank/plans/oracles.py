@@ -220,9 +220,11 @@ SELECT airport, n FROM counts ORDER BY n DESC, airport LIMIT 10"""),
     "stream_origin_carrier": _per_batch(_top_all(EVENTS, "origin", "carrier", "dep_delay")),
     "stream_origin_dest": _per_batch(_top_all(EVENTS, "origin", "dest", "dep_delay")),
     "stream_route_carrier": _per_batch(_top_all(EVENTS, "origin, dest", "carrier", "arr_delay")),
-    # A day is closed when a flight a day later has been seen.
+    # A day is closed when a flight a day later has been seen in both halves.
     "stream_two_leg": _trips(
-        EVENTS, "AND b.flight_day <= (SELECT max(flight_day) - 1 FROM flights WHERE arr_delay IS NOT NULL AND half_day = 'PM')"
+        EVENTS,
+        """AND b.flight_day <= (SELECT min(latest) - 1 FROM (
+  SELECT max(flight_day) AS latest FROM flights WHERE arr_delay IS NOT NULL GROUP BY half_day))""",
     ),
     "stream_latest_results": _per_batch(_top(EVENTS, "carrier", "arr_delay")),
 }
