@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,22 +24,37 @@ def build_session(app_name: str = "flightrank", master: str | None = None, **con
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="flightrank-")
+def shared_base(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``.
+
+    Where that is unset, a folder below the warehouse, which executors share as
+    well. The same rule holds for every kind of master, and no folder of one
+    machine is ever chosen. Intermediate tables have to stay until the results
+    that read them were used, so ``clear_shared`` deletes them, not the queries.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    return (base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate").rstrip("/")
+
+
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name below ``spark.checkpoint.dir``, which all executors can reach.
+    """A new folder name below ``shared_base``."""
+    path = f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
-    Only a local session may fall back to a temporary folder of the machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_base()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+def clear_shared(spark: SparkSession) -> int:
+    """Delete the intermediate folders this process made; for after the results were used."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    deleted = 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        deleted += bool(path.getFileSystem(conf).delete(path, True))
+    return deleted
 
 
 def written_once(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
