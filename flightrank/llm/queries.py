@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightrank.llm import exact_dedup, packing, simhash, token_counts, toxicity
+from flightrank.llm import exact_dedup, packing, simhash, token_counts, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir)).select(
         "doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id"
@@ -53,10 +57,38 @@ def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_scores,
+    "op2_exact_topk": nearest_vectors,
     "op3_simhash_dedup": near_duplicates,
     "op5_exact_dedup": exact_copies,
     "op9_packing": packed,
     "op10_token_counts": token_totals,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_exact_topk": """
+        WITH whole AS (
+            SELECT vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+            FROM (SELECT DISTINCT * FROM whole WHERE vec_id % 50 = 0) q
+            JOIN whole c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+        ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+                   vec_id, score
+            FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op5_exact_dedup": """
+        WITH folded AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents),
+        groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM folded GROUP BY t)
+        SELECT doc_id, keep_id, group_size,
+               row_number() OVER (PARTITION BY doc_id, t) = 1 AND doc_id IS NOT DISTINCT FROM keep_id AS kept,
+               sha256(t) AS text_sha256
+        FROM folded JOIN groups USING (t)""",
+}
