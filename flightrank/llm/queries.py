@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightrank.llm import exact_dedup, packing, simhash, token_counts, topk, toxicity
+from flightrank.llm import exact_dedup, packing, sharding, simhash, token_counts, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,19 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return sharding.shard_by_bytes(docs).select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(_documents(spark, sf_dir))
 
@@ -59,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_scores,
     "op2_exact_topk": nearest_vectors,
     "op3_simhash_dedup": near_duplicates,
+    "op4_histogram_sharding": sharded,
     "op5_exact_dedup": exact_copies,
     "op9_packing": packed,
     "op10_token_counts": token_totals,
@@ -82,6 +96,37 @@ ORACLES: dict[str, str] = {
                    vec_id, score
             FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    # CRC-32 is a fold over bytes, eight bits at a time, with a table made by its rule.
+    "op4_histogram_sharding": """
+        WITH RECURSIVE crc_steps(n, step, c) AS (
+            SELECT n, 0, CAST(n AS BIGINT) FROM range(256) t(n)
+            UNION ALL
+            SELECT n, step + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END
+            FROM crc_steps WHERE step < 8),
+        crc_table AS (SELECT list(c ORDER BY n) AS steps FROM crc_steps WHERE step = 8),
+        keyed AS (
+            SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, '')) + 8 AS size,
+                   CAST('0x' || substr(sha256(coalesce(text, '')), 1, 15) AS BIGINT) AS h,
+                   CAST('0x' || substr(sha256(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS r
+            FROM documents),
+        total AS (SELECT sum(size) AS bytes, greatest(1, CAST(ceil(sum(size) / (24 * 16777216)) AS BIGINT)) AS cells FROM keyed),
+        large AS (
+            SELECT h FROM keyed, total GROUP BY h, bytes HAVING sum(size) * 24 * 100 > bytes),
+        elements AS (
+            SELECT keyed.*, CASE WHEN h IN (SELECT h FROM large) THEN r ELSE 0 END AS e FROM keyed),
+        starts AS (
+            SELECT h, e, sum(sum(size)) OVER (ORDER BY h, e) - sum(size) AS start FROM elements GROUP BY h, e),
+        placed AS (
+            SELECT elements.*, CAST(start * 24 // bytes AS INT) AS shard, xor(elements.h, r) % cells AS cell
+            FROM elements JOIN starts USING (h, e), total)
+        SELECT doc_id, CAST(size AS BIGINT) AS size,
+               xor(list_reduce(
+                   list_transform(regexp_extract_all(hex(t), '..'), lambda b: CAST('0x' || b AS BIGINT)),
+                   lambda c, b: xor(c // 256, steps[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS text_crc32,
+               'bytes' AS law, shard,
+               row_number() OVER (PARTITION BY shard ORDER BY cell, h, r) - 1 AS slot,
+               CAST(NULL AS INT) AS grown_shard
+        FROM placed, crc_table""",
     "op5_exact_dedup": """
         WITH folded AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t

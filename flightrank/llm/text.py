@@ -29,18 +29,27 @@ def fresh_name(wanted: str, columns: Sequence[str]) -> str:
     return wanted
 
 
-def numbered(table: DataFrame, group: str, cell: str, order: Sequence[str], name: str) -> DataFrame:
+def numbered(
+    table: DataFrame,
+    group: str,
+    cell: str,
+    order: Sequence[str],
+    name: str,
+    cells: DataFrame | None = None,
+) -> DataFrame:
     """Add ``name``: a number from 0 without gaps within ``group``, in the order of
     ``cell`` and then ``order``.
 
     A window over a whole group would sort it in one task. Here a task sorts one
     cell of a group, and the counts of the cells before it come from prefix sums
     over the cell totals. ``cell`` is a whole number that the caller chooses so
-    that a cell's rows fit one task, whatever the size of the group.
+    that a cell's rows fit one task, whatever the size of the group. ``cells``:
+    the rows of each group and cell, ``_rows``, if they can be had cheaper.
     """
     inside = Window.partitionBy(group, cell).orderBy(*order)
     before = Window.partitionBy(group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
-    cells = table.groupBy(group, cell).agg(F.count(F.lit(1)).alias("_rows"))
+    if cells is None:
+        cells = table.groupBy(group, cell).agg(F.count(F.lit(1)).alias("_rows"))
     bases = cells.select(
         group, cell, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base")
     )
