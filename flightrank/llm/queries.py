@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightrank.llm import exact_dedup, packing, sharding, simhash, token_counts, topk, toxicity
+from flightrank.llm import (
+    exact_dedup,
+    packing,
+    sharding,
+    simhash,
+    token_counts,
+    token_files,
+    topk,
+    toxicity,
+)
+from flightrank.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +68,12 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     return token_counts.count_tokens(docs, VOCABULARY)
 
 
+def token_files_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "token-files")
+    token_files.write_token_files(_documents(spark, sf_dir), VOCABULARY, folder)
+    return token_files.read_token_files(spark, folder)
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), count_tokens)
 
@@ -74,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op3_simhash_dedup": near_duplicates,
     "op4_histogram_sharding": sharded,
     "op5_exact_dedup": exact_copies,
+    "op6_token_files": token_files_read_back,
     "op9_packing": packed,
     "op10_token_counts": token_totals,
 }
