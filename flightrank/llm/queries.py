@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from flightrank.llm import (
     exact_dedup,
     packing,
+    sentencepiece_fst,
     sharding,
     simhash,
     token_counts,
@@ -23,6 +24,7 @@ from flightrank.session import shared_folder
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +76,14 @@ def token_files_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+def sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    encoded = sentencepiece_fst.encode_documents(docs, PIECES)
+    return sentencepiece_fst.decode_documents(encoded, PIECES).select(
+        "doc_id", "n_pieces", "ids_crc32", F.crc32("text").alias("decoded_crc32")
+    )
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), count_tokens)
 
@@ -91,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op4_histogram_sharding": sharded,
     "op5_exact_dedup": exact_copies,
     "op6_token_files": token_files_read_back,
+    "op7_sentencepiece": sentence_pieces,
     "op9_packing": packed,
     "op10_token_counts": token_totals,
 }

@@ -26,11 +26,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flightrank.llm.recent import Recent
 from flightrank.llm.shipping import ship
 
 LIMIT = 512
-KNOWN = 400_000
-KNOWN_LENGTH = 64
 
 # Fixed value: how a byte-level vocabulary of this kind splits a text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -83,19 +82,6 @@ def merges_made(piece: bytes, ranks: dict[tuple[bytes, bytes], int]) -> int:
     return merges
 
 
-class _Known(dict):
-    """Counts of pieces seen so far; a missing one is counted, and kept if it is short."""
-
-    def __init__(self, count):
-        self.count = count
-
-    def __missing__(self, key: str) -> int:
-        found = self.count(key)
-        if len(key) <= KNOWN_LENGTH:
-            self[key] = found
-        return found
-
-
 class Counter:
     """Counts tokens for one vocabulary file."""
 
@@ -116,9 +102,9 @@ class Counter:
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.cuts = not any(" " in s for s in special)
         self.split = regex.compile(SPLIT)
-        self.pieces = _Known(self._piece)
-        self.first = _Known(self._whole)
-        self.spaced = _Known(lambda rest: self._whole(f" {rest}"))
+        self.pieces = Recent(self._piece)
+        self.first = Recent(self._whole)
+        self.spaced = Recent(lambda rest: self._whole(f" {rest}"))
 
     def _piece(self, piece: str) -> int:
         data = piece.encode("utf-8", "replace")
@@ -134,9 +120,6 @@ class Counter:
             return 0
         if not self.cuts:
             return self._whole(text)
-        for known in (self.pieces, self.first, self.spaced):
-            if len(known) > KNOWN:
-                known.clear()
         parts = _CUT.split(text) if _SPACE_BEFORE_SPACE.search(text) else text.split(" ")
         return self.first[parts[0]] + sum(map(self.spaced.__getitem__, parts[1:]))
 

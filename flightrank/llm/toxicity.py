@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flightrank.llm.recent import Recent
 from flightrank.llm.shipping import ship
 from flightrank.llm.text import fresh_name, schema_with
 
@@ -55,7 +56,6 @@ THRESHOLD = 0.7
 
 _WORD = re.compile(r"[^\W\d_]+")
 _START, _END = "^", "$"
-_KNOWN_WORDS = 500_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -77,7 +77,7 @@ class Models:
 
     def __init__(self, strings: dict[str, float], contexts: dict[str, float]):
         self.strings, self.contexts = strings, contexts
-        self.known: dict[str, float] = {}
+        self.known = Recent(self.difference)
 
     def __getstate__(self):
         return self.strings, self.contexts
@@ -87,16 +87,11 @@ class Models:
 
     def difference(self, word: str) -> float:
         """Toxic minus ordinary log-likelihood of a word."""
-        found = self.known.get(word)
-        if found is None:
-            strings, contexts = self.strings, self.contexts
-            found = 0.0
-            for s in strings_of(word):
-                own = strings.get(s)
-                found += contexts.get(s[:-1], 0.0) if own is None else own
-            if len(self.known) >= _KNOWN_WORDS:
-                self.known.clear()
-            self.known[word] = found
+        strings, contexts = self.strings, self.contexts
+        found = 0.0
+        for s in strings_of(word):
+            own = strings.get(s)
+            found += contexts.get(s[:-1], 0.0) if own is None else own
         return found
 
     def features(self, text: str | None) -> list[float]:
@@ -104,7 +99,7 @@ class Models:
         words = words_of(text)
         if not words:
             return [0.0] * FEATURES
-        each = np.fromiter(map(self.difference, words), float, len(words))
+        each = np.fromiter(map(self.known.__getitem__, words), float, len(words))
         total = np.concatenate([[0.0], np.cumsum(each)])
         mean = float(total[-1] / len(words))
         worst = [
@@ -112,7 +107,7 @@ class Models:
             for size in WINDOWS
         ]
         # Each word once here: a text may repeat one word a thousand times.
-        highest = sorted(map(self.difference, set(words)), reverse=True)
+        highest = sorted(map(self.known.__getitem__, set(words)), reverse=True)
         spread = [sum(highest[:size]) / min(size, len(highest)) for size in WORST]
         return [mean, *worst, *spread, math.log(len(words))]
 
