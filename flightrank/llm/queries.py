@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flightrank.llm import (
     exact_dedup,
+    licenses,
     packing,
     sentencepiece_fst,
     sharding,
@@ -84,6 +85,11 @@ def sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), count_tokens)
 
@@ -102,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op5_exact_dedup": exact_copies,
     "op6_token_files": token_files_read_back,
     "op7_sentencepiece": sentence_pieces,
+    "op8_license_scan": licence_paragraphs,
     "op9_packing": packed,
     "op10_token_counts": token_totals,
 }

@@ -197,7 +197,7 @@ class Transducer:
         out: list[str] = []
         held = bytearray()
         for i in ids.tolist():
-            if not 0 <= i < len(self.names) or self.kinds[i] == CONTROL:
+            if not 0 <= i < len(self.names):
                 continue
             if self.kinds[i] == BYTE:
                 held.append(int(self.names[i][3:5], 16))
@@ -205,7 +205,8 @@ class Transducer:
             if held:
                 out.append(held.decode("utf-8", "each_byte"))
                 held.clear()
-            out.append(" ⁇ " if i == self.unknown else self.names[i])
+            if self.kinds[i] != CONTROL:
+                out.append(" ⁇ " if i == self.unknown else self.names[i])
         if held:
             out.append(held.decode("utf-8", "each_byte"))
         text = "".join(out)
