@@ -164,4 +164,4 @@ def shard_by_bytes(
     out = numbered(
         placed(docs.withColumns(made), names), names["shard"], names["cell"], order, names["slot"], counts
     )
-    return out.drop(*order, names["cell"])
+    return out.select(*docs.columns, *[names[c] for c in ("size", "shard", "slot")])

@@ -28,6 +28,7 @@ share of toxic labels, or about 0 without any; an empty table gives an empty res
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import defaultdict
@@ -44,13 +45,13 @@ from flightrank.llm.recent import Recent
 from flightrank.llm.shipping import ship
 from flightrank.llm.text import fresh_name, schema_with
 
-MAX_TOXIC = 4000
-MAX_ORDINARY = 8000
+MAX_TOXIC = 20_000
+MAX_ORDINARY = 40_000
 ORDER = 6
 MIN_COUNT = 2
 MAX_STRINGS = 200_000
-WINDOWS = (1, 3, 10, 40)
-WORST = (5, 20)
+WINDOWS = (1, 3, 10)
+WORST = 5
 DISCOUNTS = (0.75, 2.0, 4.0)
 THRESHOLD = 0.7
 
@@ -107,12 +108,11 @@ class Models:
             for size in WINDOWS
         ]
         # Each word once here: a text may repeat one word a thousand times.
-        highest = sorted(map(self.known.__getitem__, set(words)), reverse=True)
-        spread = [sum(highest[:size]) / min(size, len(highest)) for size in WORST]
-        return [mean, *worst, *spread, math.log(len(words))]
+        highest = heapq.nlargest(WORST, map(self.known.__getitem__, set(words)))
+        return [mean, *worst, sum(highest) / len(highest), math.log(len(words))]
 
 
-FEATURES = 2 + len(WINDOWS) + len(WORST)
+FEATURES = 3 + len(WINDOWS)
 
 
 def sampled(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
@@ -203,17 +203,14 @@ def _shared(strings: list[str]) -> dict[str, float]:
     """The shared model below the strings, of both classes: counts of distinct letters
     before a string."""
     floor = 1 / (len({s[-1] for s in strings}) + 1)
-    levels: list[dict[str, float]] = []
-    level = set(strings)
-    while level := {s for s in level if len(s) > 1}:
-        before: dict[str, float] = defaultdict(float)
-        for s in level:
-            before[s[1:]] += 1
-        levels.append(before)
-        level = set(before)
+    ends = {s[k:] for s in strings for k in range(len(s))}
+    kinds: dict[int, dict[str, float]] = defaultdict(lambda: defaultdict(float))
+    for s in ends:
+        if len(s) > 1:
+            kinds[len(s) - 1][s[1:]] += 1
     lower: dict[str, float] = {}
-    for before in reversed(levels):
-        lower |= _interpolated(before, lower, floor)
+    for length in sorted(kinds):
+        lower |= _interpolated(kinds[length], lower, floor)
     return lower
 
 

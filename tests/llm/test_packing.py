@@ -1,0 +1,83 @@
+import itertools
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from flightrank.llm import packing
+
+
+def padded(lengths, counts, bounds):
+    return sum(n * min(b for b in bounds if b >= x) for x, n in zip(lengths, counts))
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("buckets", [1, 2, 3, 5])
+def test_boundaries_equal_trying_all(seed, buckets):
+    rng = random.Random(seed)
+    lengths = sorted(rng.sample(range(1, 60), 9))
+    counts = [rng.randint(1, 40) for _ in lengths]
+    bounds = packing.best_boundaries(lengths, counts, buckets)
+    assert bounds[-1] == lengths[-1] and len(bounds) <= buckets and bounds == sorted(set(bounds))
+    least = min(
+        padded(lengths, counts, [*some, lengths[-1]])
+        for k in range(buckets)
+        for some in itertools.combinations(lengths[:-1], k)
+    )
+    assert padded(lengths, counts, bounds) == least
+
+
+def test_no_more_buckets_than_lengths():
+    assert packing.best_boundaries([4, 9], [1, 1], 16) == [4, 9]
+    assert packing.best_boundaries([], [], 4) == []
+
+
+def words(docs):
+    return docs.select("doc_id", F.coalesce(F.size(F.split("text", " ")), F.lit(0)).alias("n_tokens"))
+
+
+def check(rows, found, max_length, budget):
+    parts = defaultdict(list)
+    for r in found:
+        assert r.length <= r.bucket_length <= max_length
+        parts[r.doc_id].append((r.part, r.start, r.length))
+    totals = defaultdict(int)
+    for i, t in rows:
+        totals[i] += len(t.split(" ")) + 1 if t is not None else 1
+    assert {i: sum(p[2] for p in own) for i, own in parts.items()} == totals
+    batches = defaultdict(list)
+    for r in found:
+        batches[r.batch_id].append(r)
+    for own in batches.values():
+        assert len({r.bucket for r in own}) == 1
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+        assert len(own) * own[0].bucket_length <= budget
+    assert sorted(batches) == list(range(len(batches)))
+    for bucket in {r.bucket for r in found}:
+        sizes = [len(own) for own in batches.values() if own[0].bucket == bucket]
+        assert sorted(sizes)[1:] == [max(sizes)] * (len(sizes) - 1) or len(sizes) == 1
+
+
+@pytest.mark.parametrize("cell_rows", [7, 100_000])
+def test_all_tokens_are_packed_once(docs, cell_rows):
+    rng = random.Random(5)
+    rows = [(i, " ".join("w" * rng.choice([1, 3, 3, 10, 50]))) for i in range(300)]
+    rows += [(400 + i, "same text here") for i in range(150)] + [(900, None), (901, ""), (None, "a b"), (3, "x y")]
+    rows += [(999, "w " * 700 + "w")]
+    found = packing.pack(docs(*rows), words, max_length=64, buckets=4, token_budget=256, cell_rows=cell_rows).collect()
+    check(rows, found, 64, 256)
+    assert max(r.bucket for r in found) <= 3
+
+
+def test_buckets_are_those_of_the_whole_histogram(docs):
+    rows = [(i, " ".join("w" * n)) for i, n in enumerate([1, 1, 2, 7, 8, 8, 30])]
+    found = packing.pack(docs(*rows), words, max_length=64, buckets=3, token_budget=64).collect()
+    assert sorted({(r.bucket, r.bucket_length) for r in found}) == [(0, 3), (1, 9), (2, 31)]
+
+
+def test_empty_table_and_a_budget_too_small(docs):
+    empty = docs((1, "x")).limit(0)
+    assert packing.pack(empty, words).collect() == []
+    with pytest.raises(ValueError, match="max_length"):
+        packing.pack(empty, words, max_length=100, token_budget=50)
