@@ -6,6 +6,7 @@ from flightrank.functions.fields import (
     half_day,
     is_airport,
     is_carrier,
+    is_clock_time,
     remove_quotes,
     shift_date,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "half_day",
     "is_airport",
     "is_carrier",
+    "is_clock_time",
     "json_array",
     "python_float",
     "remove_quotes",

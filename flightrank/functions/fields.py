@@ -37,21 +37,39 @@ def delay_minutes(text: Column | str, legacy_len: bool = False) -> Column:
     return F.when(usable, number)
 
 
+# Fixed value: how the data write midnight at the end of the day.
+DAY_END = "2400"
+
+
+def is_clock_time(c: Column | str) -> Column:
+    """``HHMM`` with hours 00 to 23 and minutes 00 to 59, or 2400."""
+    c = _col(c)
+    return c.rlike("^([01][0-9]|2[0-3])[0-5][0-9]$") | (c == DAY_END)
+
+
 def clock_time(text: Column | str) -> Column:
-    """``HHMM`` with leading zeros; NULL unless the text is one to four digits."""
+    """``HHMM`` with leading zeros; NULL unless the text is a time of one to four digits."""
     text = _col(text)
-    return F.when(text.rlike("^[0-9]{1,4}$"), F.lpad(text, 4, "0"))
+    padded = F.when(text.rlike("^[0-9]{1,4}$"), F.lpad(text, 4, "0"))
+    return F.when(is_clock_time(padded), padded)
 
 
 def half_day(dep_time: Column | str) -> Column:
-    """AM before 12:00, PM from 12:00 on; NULL without a departure time."""
+    """AM before 12:00, PM from 12:00 to 24:00; NULL without a valid departure time."""
     dep_time = _col(dep_time)
-    return F.when(dep_time < "1200", "AM").when(dep_time.isNotNull(), "PM")
+    return F.when(is_clock_time(dep_time), F.when(dep_time < "1200", "AM").otherwise("PM"))
 
 
 def departure_time(flight_date: Column | str, dep_time: Column | str) -> Column:
-    """Event time of a flight, from its date and ``HHMM`` departure time."""
-    text = F.concat(F.date_format(_col(flight_date), "yyyy-MM-dd"), F.lit(" "), _col(dep_time))
+    """Event time of a flight, from its date and ``HHMM`` time; 2400 is the next midnight.
+
+    NULL without a date or a valid time.
+    """
+    dep_time = _col(dep_time)
+    day_end = dep_time == DAY_END
+    day = F.when(day_end, F.date_add(_col(flight_date), 1)).otherwise(_col(flight_date))
+    clock = F.when(day_end, "0000").otherwise(dep_time)
+    text = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), clock)
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd HHmm"))
 
 

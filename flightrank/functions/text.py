@@ -8,16 +8,25 @@ from pyspark.sql import types as T
 
 
 def python_float(c: Column | str) -> Column:
-    """A number as plain decimal text with at least one decimal, ``12446097.0``.
+    """A number as plain decimal text with at least one decimal: ``12446097.0``, ``0.0001``.
 
-    A cast to string would switch to ``1.2446097E7`` from ten million on.
+    A cast to string gives the shortest digits that stand for the number, but
+    from ten million on and below a thousandth with an exponent. A decimal of
+    enough places writes the same digits out; its trailing zeros go. Numbers
+    of 1e27 and more, or closer to zero than 1e-11, keep the exponent.
     """
     c = F.col(c) if isinstance(c, str) else c
     number = c.cast("double")
-    whole = number == F.floor(number)
-    small = F.abs(number) < 1e16
-    return F.when(whole & small, F.format_string("%d.0", number.cast("bigint"))).otherwise(
-        number.cast("string")
+    shortest, size = number.cast("string"), F.abs(number)
+
+    def written_out(decimal: str) -> Column:
+        return F.regexp_replace(shortest.try_cast(decimal).cast("string"), r"(\.\d+?)0+$", "$1")
+
+    return (
+        F.when(number == 0, "0.0")
+        .when((size >= 1e-11) & (size < 1e9), written_out("decimal(38,28)"))
+        .when((size >= 1e9) & (size < 1e27), written_out("decimal(38,10)"))
+        .otherwise(shortest)
     )
 
 
@@ -40,6 +49,10 @@ def json_array(schema: T.StructType) -> Column:
     return F.concat(F.lit("["), F.concat_ws(", ", *values), F.lit("]"))
 
 
+# Fixed value: the form of a report line.
+REPORT_LINE = "%s -> %s on %s: Flight: %s %s at %s. Arrival Delay: %s"
+
+
 def flight_report() -> Column:
     """``X -> Y on D: Flight: C N at T. Arrival Delay: d``; NULL fields read ``None``."""
 
@@ -47,7 +60,7 @@ def flight_report() -> Column:
         return F.coalesce(c, F.lit("None"))
 
     return F.format_string(
-        "%s -> %s on %s: Flight: %s %s at %s. Arrival Delay: %s",
+        REPORT_LINE,
         shown(F.col("origin")),
         shown(F.col("dest")),
         shown(F.date_format("flight_date", "yyyy-MM-dd")),

@@ -1,17 +1,20 @@
 """Does a sample follow a power law? Empirical CCDF, power-law and lognormal fits.
 
 The data stay in Spark. Only sums over the tail, one row of them, reach the
-small numeric helpers at the end, in one Arrow batch.
+small numeric helpers at the end. Values are distinct positive finite numbers;
+others are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from flightrank.operators.cumulative import sums_from_top
@@ -39,31 +42,81 @@ def ccdf(samples: DataFrame, column: str) -> DataFrame:
     return sums_from_top(values, "x", ["n"]).select("x", "n", (F.col("from_n") / total).alias("p_ge"))
 
 
+def ln_ratio(x: Column, reference: Column) -> Column:
+    """ln(x / reference), exact for neighbours whose logarithms are the same number."""
+    near = F.abs(x - reference) < reference / 2
+    return F.when(near, F.log1p((x - reference) / reference)).otherwise(F.ln(x / reference))
+
+
 def powerlaw_alpha(samples: DataFrame, column: str, xmin: float | None = None) -> DataFrame:
-    """Exponent of the continuous power law above ``xmin``, by default the least value."""
-    values = samples.select(F.col(column).cast("double").alias("x")).filter(F.col("x") > 0)
+    """Exponent of the continuous power law above ``xmin``, by default the least value.
+
+    NULL if no value is above ``xmin``: equal values have no exponent.
+    """
+    values = value_counts(samples, column)
     if xmin is not None:
         values = values.filter(F.col("x") >= xmin)
+    low = values.agg(F.min("x")).scalar() if xmin is None else F.lit(float(xmin))
+    excess = F.col("n") * ln_ratio(F.col("x"), low)
     sums = values.agg(
-        F.min("x").alias("least"), F.count("x").alias("n_tail"), F.sum(F.ln("x")).alias("sum_ln")
+        F.min("x").alias("least"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_tail"),
+        F.sum(excess).alias("excess"),
     )
-    low = F.col("least") if xmin is None else F.lit(float(xmin))
     return sums.select(
-        low.alias("xmin"),
+        (F.col("least") if xmin is None else F.lit(float(xmin))).alias("xmin"),
         "n_tail",
-        (1 + F.col("n_tail") / (F.col("sum_ln") - F.col("n_tail") * F.ln(low))).alias("alpha"),
+        (1 + F.try_divide(F.col("n_tail"), F.col("excess"))).alias("alpha"),
     )
 
 
+# Up to so many distinct values, one task compares all with all.
+FEW_VALUES = 4096
+FIT = "xmin double, n_tail long, alpha double, d double"
+
+
 def powerlaw_fit(
-    samples: DataFrame, column: str, buckets: int = 256, spread: int = 16
+    samples: DataFrame, column: str, buckets: int = 256, spread: int = 16, few: int = FEW_VALUES
 ) -> DataFrame:
     """The power law that fits best: one row ``xmin, n_tail, alpha, d``.
 
     Every distinct value but the largest is tried as ``xmin``; the one with the
     least Kolmogorov-Smirnov distance ``d`` wins, the smaller one on a tie.
+    Without two distinct values there is no fit and no row.
+
+    Up to ``few`` distinct values meet in one task, which makes at most
+    few * few / 2 comparisons. Beyond that ``_fit`` rules out candidates and
+    cells by bounds first; how many are left depends on the data, at worst all,
+    which is half the square of the distinct values, spread over all tasks.
     """
-    return _fit(written_once(value_counts(samples, column), "value-counts"), buckets, spread)
+    values = written_once(value_counts(samples, column), "value-counts")
+    return _best_fit(values, buckets, spread, few)
+
+
+def _best_fit(values: DataFrame, buckets: int, spread: int, few: int) -> DataFrame:
+    if values.limit(few + 1).count() <= few:
+        return values.coalesce(1).mapInPandas(_fit_few, FIT)
+    return _fit(values, buckets, spread)
+
+
+def _fit_few(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The fit of at most ``FEW_VALUES`` distinct values."""
+    found = pd.concat([pd.DataFrame({"x": [], "n": []}), *batches]).sort_values("x")
+    x, n = found["x"].to_numpy(float), found["n"].to_numpy(float)
+    best = None
+    for i in range(len(x) - 1):
+        tail, counts = x[i:], n[i:]
+        near = tail < 1.5 * tail[0]
+        ln = np.where(near, np.log1p((tail - tail[0]) / tail[0]), np.log(tail / tail[0]))
+        excess, size = float(counts @ ln), counts.sum()
+        if not excess > 0:
+            continue
+        alpha = 1 + size / excess
+        seen = (np.cumsum(counts) - counts) / size
+        d = float(np.abs(seen - (1 - np.exp((1 - alpha) * ln))).max())
+        if best is None or d < best[3]:
+            best = (float(tail[0]), int(size), alpha, d)
+    yield pd.DataFrame([best] if best else [], columns=["xmin", "n_tail", "alpha", "d"])
 
 
 # Candidates measured exactly in advance, only to tell the others apart from them.
@@ -80,7 +133,10 @@ def _fit(values: DataFrame, buckets: int, spread: int) -> DataFrame:
     whose bound is not above the candidate's own lower bound cannot change it.
     Only what is left meets the single values, by an equality join on the cell.
     """
-    logs = values.withColumn("ln", F.ln("x")).withColumn("n_ln", F.col("n") * F.col("ln"))
+    # Logarithms relative to the largest value: the sums over short tails are then small,
+    # and their differences keep their digits.
+    largest = values.agg(F.max("x")).scalar()
+    logs = values.withColumn("ln", ln_ratio(F.col("x"), largest)).withColumn("n_ln", F.col("n") * F.col("ln"))
     total = values.agg(F.sum("n")).scalar()
     below = total - F.col("from_n")
     # Cells of like many values and of like many samples: a few values may hold most samples.
@@ -103,7 +159,7 @@ def _fit(values: DataFrame, buckets: int, spread: int) -> DataFrame:
     # does not merge by size.
     tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tail_ln = F.col("from_n_ln") - F.col("from_n") * F.col("ln")
-    candidates = points.filter(F.col("x") < values.agg(F.max("x")).scalar()).select(
+    candidates = points.filter((F.col("x") < values.agg(F.max("x")).scalar()) & (tail_ln > 0)).select(
         F.col("x").alias("m"), F.col("ln").alias("m_ln"), F.col("from_n").alias("n_tail"),
         F.col("below").alias("m_below"), F.col("cell").alias("m_cell"),
         (1 + F.col("from_n") / tail_ln).alias("alpha"),
@@ -172,57 +228,50 @@ def _fit(values: DataFrame, buckets: int, spread: int) -> DataFrame:
     return measured(alive).orderBy("d", "xmin").limit(1)
 
 
+COMPARISON = (
+    "xmin double, n_tail long, alpha double, d double, mu double, sigma double, "
+    "ratio double, p_value double, favoured string"
+)
+
+
 def lognormal_fit(
-    samples: DataFrame, column: str, buckets: int = 256, spread: int = 16
+    samples: DataFrame, column: str, buckets: int = 256, spread: int = 16, few: int = FEW_VALUES
 ) -> DataFrame:
     """Power law against lognormal on the same tail, one row.
 
     ``ratio`` is the normalised log-likelihood ratio; below zero it favours the
     lognormal. ``p_value`` tells how likely a ratio that far from zero is when
-    both fit alike.
+    both fit alike. ``favoured`` is ``neither`` without a power law, without a
+    lognormal (the best one is then the power law itself, ratio 0) or when the
+    ratio is 0.
     """
     values = written_once(value_counts(samples, column), "value-counts")
-    fit = written_once(_fit(values, buckets, spread), "powerlaw-fit")
-    # Parameters are single values, so they enter the tail as constants.
-    xmin, alpha = fit.select("xmin").scalar(), fit.select("alpha").scalar()
-    n, y = F.col("n"), F.col("y")
-    tail = values.filter(F.col("x") >= xmin).select("n", (F.ln("x") - F.ln(xmin)).alias("y"))
+    found = _compared(values, _best_fit(values, buckets, spread, few).first())
+    return values.sparkSession.createDataFrame([found], COMPARISON)
+
 
-    moments = tail.agg((F.sum(n * y) / F.sum(n)).alias("m1"), (F.sum(n * y * y) / F.sum(n)).alias("m2"))
-    solve = F.pandas_udf(_cut_normal_rows, "mu double, sigma double, ln_c double")
-    shape = written_once(moments.select(solve("m1", "m2").alias("s")).select("s.*"), "cut-normal")
-    mu, sigma, ln_c = (shape.select(c).scalar() for c in ("mu", "sigma", "ln_c"))
+def _compared(values: DataFrame, fit: Row | None) -> tuple:
+    if fit is None:
+        return (None,) * 8 + ("neither",)
+    n, y = F.col("n"), F.col("y")
+    tail = values.filter(F.col("x") >= fit.xmin).select("n", ln_ratio(F.col("x"), F.lit(fit.xmin)).alias("y"))
+    moments = tail.agg(F.sum(n * y) / F.sum(n), F.sum(n * y * y) / F.sum(n)).first()
+    shape = _cut_normal(*moments)
+    if shape is None:
+        return (*fit, None, None, 0.0, 1.0, "neither")
+    mu, sigma, ln_c = shape
 
     # Log-likelihoods of ln x; the change of variable cancels in the difference.
-    law = F.ln(alpha - 1) - (alpha - 1) * y
-    normal = -F.ln(sigma) - 0.5 * math.log(2 * math.pi) - F.pow((y - mu) / sigma, 2) / 2 - ln_c
+    law = math.log(fit.alpha - 1) - (fit.alpha - 1) * y
+    normal = -math.log(sigma) - 0.5 * math.log(2 * math.pi) - F.pow((y - mu) / sigma, 2) / 2 - ln_c
     gaps = tail.select("n", (law - normal).alias("gap"))
-    mean = gaps.agg(F.sum(n * F.col("gap")) / F.sum(n)).scalar()
-    off = F.col("gap") - mean
-    sums = gaps.agg(
-        F.sum(n * F.col("gap")).alias("total"), F.sum(n * off * off).alias("squares")
-    )
-    # Without a best lognormal the two are the same in the limit: ratio 0.
-    ratio = F.coalesce(F.col("total") / F.sqrt("squares"), F.lit(0.0))
-    erfc = F.pandas_udf(_erfc_rows, "double")
-    tested = sums.select(ratio.alias("ratio")).select(
-        "ratio", erfc(F.abs("ratio") / math.sqrt(2)).alias("p_value")
-    )
-    return tested.select(
-        xmin.alias("xmin"),
-        fit.select("n_tail").scalar().alias("n_tail"),
-        alpha.alias("alpha"),
-        fit.select("d").scalar().alias("d"),
-        (mu + F.ln(xmin)).alias("mu"),
-        sigma.alias("sigma"),
-        "ratio",
-        "p_value",
-        F.when(F.col("ratio") < 0, "lognormal").otherwise("power_law").alias("favoured"),
-    )
-
-
-def _erfc_rows(x: pd.Series) -> pd.Series:
-    return x.map(math.erfc)
+    total = gaps.agg(F.sum(n * F.col("gap"))).first()[0]
+    off = F.col("gap") - total / fit.n_tail
+    squares = gaps.agg(F.sum(n * off * off)).first()[0]
+    ratio = total / math.sqrt(squares) if squares > 0 else 0.0
+    favoured = "neither" if ratio == 0 else "lognormal" if ratio < 0 else "power_law"
+    p_value = math.erfc(abs(ratio) / math.sqrt(2))
+    return (*fit, mu + math.log(fit.xmin), sigma, ratio, p_value, favoured)
 
 
 def _hazard_excess(a: float) -> tuple[float, float]:
@@ -266,8 +315,3 @@ def _cut_normal(m1: float, m2: float) -> tuple[float, float, float] | None:
         else -0.5 * a * a - 0.5 * math.log(2 * math.pi) - math.log(first + a)
     )
     return -a * sigma, sigma, ln_c
-
-
-def _cut_normal_rows(m1: pd.Series, m2: pd.Series) -> pd.DataFrame:
-    rows = [_cut_normal(*r) or (None, None, None) for r in zip(m1, m2)]
-    return pd.DataFrame(rows, columns=["mu", "sigma", "ln_c"], dtype="float64")

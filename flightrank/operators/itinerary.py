@@ -108,9 +108,49 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
 
-def two_leg_best(flights: DataFrame, gap_days: int = 2, blank_as_zero: bool = False) -> DataFrame:
-    """Best trip X-Y-Z for every X, Y, Z and date: morning leg, then an afternoon leg
-    ``gap_days`` later.
+def join_legs(legs: DataFrame, others: DataFrame, gap_days: int = 2) -> DataFrame:
+    """Trips from the morning legs of ``legs`` and the afternoon legs of ``others``."""
+    first = prefixed(legs.filter(F.col("half_day") == "AM").drop("half_day"), "a_")
+    second = prefixed(others.filter(F.col("half_day") == "PM").drop("half_day"), "b_")
+    meet = (F.col("a_dest") == F.col("b_origin")) & (
+        shift_date("a_flight_date", gap_days) == F.col("b_flight_date")
+    )
+    return first.join(second, meet).select(*trip_columns(CHOICE, CHOICE))
+
+
+def on_trip(
+    flights: DataFrame,
+    origin: str | None,
+    stop: str | None,
+    dest: str | None,
+    date: str | None,
+    gap_days: int,
+) -> DataFrame:
+    """The flights, or legs, that can be part of a trip for which some of these are given."""
+
+    def fits(start: str | None, end: str | None, days: int) -> Column:
+        wanted = F.lit(True)
+        for column, value in (("origin", start), ("dest", end)):
+            if value is not None:
+                wanted = wanted & (F.col(column) == value)
+        if date is not None:
+            wanted = wanted & (F.col("flight_date") == F.date_add(F.lit(date).cast("date"), days))
+        return wanted
+
+    return flights.filter(fits(origin, stop, 0) | fits(stop, dest, gap_days))
+
+
+def two_leg_best(
+    flights: DataFrame,
+    gap_days: int = 2,
+    blank_as_zero: bool = False,
+    origin: str | None = None,
+    stop: str | None = None,
+    dest: str | None = None,
+    date: str | None = None,
+) -> DataFrame:
+    """Best trip X-Y-Z for every X, Y, Z and date, or for those given: morning leg, then an
+    afternoon leg ``gap_days`` later.
 
     The legs' delays add up, so the best trip is made of the best flight of
     each leg. Choosing those first leaves one row per route, date and half of
@@ -118,11 +158,21 @@ def two_leg_best(flights: DataFrame, gap_days: int = 2, blank_as_zero: bool = Fa
     of them. Both sides of the join read that reduced table from one written
     copy: the flights are scanned once.
     """
-    both = best_flights(flights, blank_as_zero).filter(is_airport("dest"))
+    asked = on_trip(flights, origin, stop, dest, date, gap_days)
+    both = best_flights(asked, blank_as_zero).filter(is_airport("dest"))
     legs = written_once(both, "best-legs", partition_by=("half_day",))
-    first = prefixed(legs.filter(F.col("half_day") == "AM").drop("half_day"), "a_")
-    second = prefixed(legs.filter(F.col("half_day") == "PM").drop("half_day"), "b_")
-    meet = (F.col("a_dest") == F.col("b_origin")) & (
-        shift_date("a_flight_date", gap_days) == F.col("b_flight_date")
-    )
-    return first.join(second, meet).select(*trip_columns(CHOICE, CHOICE))
+    return chosen_trips(join_legs(legs, legs, gap_days), origin, stop, dest, date)
+
+
+def chosen_trips(
+    trips: DataFrame,
+    origin: str | None = None,
+    stop: str | None = None,
+    dest: str | None = None,
+    date: str | None = None,
+) -> DataFrame:
+    wanted = {"origin": origin, "stop": stop, "dest": dest, "flight_date": date}
+    for column, value in wanted.items():
+        if value is not None:
+            trips = trips.filter(F.col(column) == value)
+    return trips

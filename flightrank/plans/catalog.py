@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,10 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightrank import sinks, sources, streaming
-from flightrank.functions import day_first_date, python_float, shift_date
+from flightrank.functions import (
+    clock_time,
+    day_first_date,
+    departure_time,
+    half_day,
+    python_float,
+    shift_date,
+)
 from flightrank.operators import distribution, itinerary, ranking
 from flightrank.plans import questions
 from flightrank.plans.adapters import event_flights, event_stream, flights, table
+from flightrank.schema import ALL_FIELDS, MIN_FIELDS
 from flightrank.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,13 +74,95 @@ def _parse_flight_rejects(all_flights: DataFrame) -> DataFrame:
     lines = sources.render_lines(all_flights)
     blank_end = F.col("value").endswith(",")
     cut = F.when(blank_end, F.substring_index("value", ",", 40)).otherwise(F.col("value"))
-    rejected = sources.rejected_lines(lines.select(cut.alias("value")))
+    rejected = sources.rejected_lines(lines.select(cut.alias("value")), ALL_FIELDS)
     number = F.replace(F.get(F.split("value", ","), F.lit(10)), F.lit('"'), F.lit(""))
     return rejected.select(
         number.alias("flight_num"), F.col("n_fields").cast("bigint").alias("n_fields")
     )
 
 
+def _popular_from_short_lines(all_flights: DataFrame) -> DataFrame:
+    """Airports of lines cut after 34, 36 or 44 fields, or not at all, by the flight's number."""
+    lines = sources.render_lines(all_flights)
+    number = F.replace(F.get(F.split("value", ","), F.lit(10)), F.lit('"'), F.lit("")).cast("bigint")
+    cut = F.col("value")
+    for rest, fields in enumerate((34, 36, 44)):
+        cut = F.when(number % 4 == rest, F.substring_index("value", ",", fields)).otherwise(cut)
+    flights = sources.parse_flights(lines.select(cut.alias("value")), min_fields=MIN_FIELDS)
+    return questions.popular_airports(flights, k=None)
+
+
+def _route_carriers_with_malformed_codes(all_flights: DataFrame) -> DataFrame:
+    """Best carriers of every route where some flights have a carrier or origin of a wrong length."""
+    number = F.col("flight_num").cast("bigint")
+    flights = all_flights.withColumns(
+        {
+            "carrier": F.when(number % 7 == 0, F.substring("carrier", 1, 1)).otherwise(F.col("carrier")),
+            "origin": F.when(number % 11 == 0, F.concat("origin", F.lit("X"))).otherwise(F.col("origin")),
+        }
+    )
+    return questions.carriers_on_route(flights)
+
+
+def _odd_departure_times(all_flights: DataFrame) -> DataFrame:
+    """Departure times, some of them 2400, 2460, 1275 or 9999, with half of the day and event time."""
+    number = F.col("flight_num").cast("bigint")
+    odd = F.get(F.array(*map(F.lit, ("2400", "2460", "1275", "9999", "5"))), (number % 10).cast("int"))
+    given = all_flights.select("flight_num", "flight_date", F.coalesce(odd, "dep_time").alias("text"))
+    timed = given.withColumn("dep_time", clock_time("text"))
+    return timed.select(
+        "flight_num",
+        "text",
+        "dep_time",
+        half_day("dep_time").alias("half_day"),
+        departure_time("flight_date", "dep_time").alias("departed"),
+    )
+
+
+def _mean_texts(all_flights: DataFrame) -> DataFrame:
+    """Means that are no whole numbers, small and large, as text."""
+    means = ranking.mean_delay(all_flights, ["origin", "carrier"], "arr_delay")
+    scaled = F.floor(F.col("mean_delay") * 64) / 64
+    return means.select(
+        "origin",
+        "carrier",
+        python_float(scaled).alias("mean_text"),
+        python_float(scaled / 1024).alias("small_text"),
+        python_float(scaled * 16777216).alias("large_text"),
+    )
+
+
+def _all_result_messages(all_flights: DataFrame) -> DataFrame:
+    """The messages of the rankings of carriers, destinations and routes, written and read back
+    as a stream's are."""
+    answers = {
+        "carriers": (questions.carriers(all_flights), ["carrier"]),
+        "carriers_from": (questions.carriers_from(all_flights, ORIGIN), ["carrier"]),
+        "carriers_from_all": (questions.carriers_from(all_flights), ["origin", "carrier"]),
+        "destinations_from": (questions.destinations_from(all_flights, ORIGIN), ["dest"]),
+        "destinations_from_all": (questions.destinations_from(all_flights), ["origin", "dest"]),
+        "carriers_on_route": (questions.carriers_on_route(all_flights, ORIGIN, DEST), ["carrier"]),
+        "carriers_on_route_all": (questions.carriers_on_route(all_flights), ["origin", "dest", "carrier"]),
+    }
+    read = [
+        sources.parse_messages(sinks.answer_messages(rows, entity, "mean_delay")).withColumn("question", F.lit(name))
+        for name, (rows, entity) in answers.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, read)
+
+
+def _latest_through_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest value per user, upserted in four batches by time."""
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    path = shared_folder(spark, "store")
+    write = streaming.upsert_results(
+        path, ["user_id"], lambda b: ranking.latest_per_key(b, ["user_id"], ["ts", "event_id"])
+    )
+    for i in range(4):
+        write(events.filter(F.floor((F.dayofmonth("ts") - 1) / 8) == i), i)
+    return streaming.read_latest(spark, path).select("user_id", "event_id", "value")
+
+
 def _quoted_pair(first: str, second: str) -> Column:
     return F.concat(F.lit('"'), F.col(first), F.lit(" "), F.col(second), F.lit('"'))
 
@@ -143,8 +234,7 @@ def _delay_records(all_flights: DataFrame) -> DataFrame:
 
 def _result_message_roundtrip(all_flights: DataFrame) -> DataFrame:
     top = questions.carriers_from(all_flights)
-    pairs = top.select(F.concat_ws(" ", "origin", "carrier").alias("key"), "mean_delay")
-    return sources.parse_messages(sinks.messages(pairs))
+    return sources.parse_messages(sinks.answer_messages(top, ["origin", "carrier"], "mean_delay"))
 
 
 def _latest_result_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +283,14 @@ def _lognormal_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution.lognormal_fit(_part_counts(spark, sf_dir), "n")
 
 
+def _lognormal_fit_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order totals in thousands, which have a lognormal."""
+    thousands = table(spark, sf_dir, "orders").select((F.floor(F.col("o_totalprice") / 1000) + 1).alias("n"))
+    fit = distribution.lognormal_fit(thousands, "n")
+    rounded = ("alpha", "d", "mu", "sigma", "ratio", "p_value")
+    return fit.withColumns({c: F.round(c, 6) for c in rounded})
+
+
 def _best_flight_on_route_date(all_flights: DataFrame) -> DataFrame:
     return itinerary.best_flight_on_date(all_flights, TRIP[0], TRIP[1], TRIP[3], "AM").select(
         "origin", "dest", "flight_date", "half_day", "carrier", "flight_num", "dep_time", "arr_delay"
@@ -214,6 +312,15 @@ QUERIES: dict[str, Query] = {
     "route_carrier_topk_departure": _on_flights(
         lambda f: questions.carriers_on_route(f, metric="dep_delay")
     ),
+    "route_carrier_malformed_codes": _on_flights(_route_carriers_with_malformed_codes),
+    "popularity_short_lines": _on_flights(_popular_from_short_lines),
+    "odd_departure_times": _on_flights(_odd_departure_times),
+    "mean_texts": _on_flights(_mean_texts),
+    "one_trip": _on_flights(
+        lambda f: itinerary.two_leg_best(f, 2, False, TRIP[0], TRIP[1], TRIP[2], TRIP[3])
+    ),
+    "result_messages_all": _on_flights(_all_result_messages),
+    "latest_through_store": _latest_through_store,
     "route_mean_delay": _on_flights(questions.route_delays),
     "best_flight_on_date": _on_flights(itinerary.best_flights),
     "best_flight_on_route_date": _on_flights(_best_flight_on_route_date),
@@ -239,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "powerlaw_alpha": _powerlaw_alpha,
     "powerlaw_fit": _powerlaw_fit,
     "lognormal_fit": _lognormal_fit,
+    "lognormal_fit_orders": _lognormal_fit_orders,
     "stream_popularity_running": _on_stream(
         lambda f: streaming.drain_latest(streaming.running_popularity(f))
     ),
@@ -246,7 +354,9 @@ QUERIES: dict[str, Query] = {
         lambda f: streaming.drain_latest(streaming.running_carriers(f))
     ),
     "stream_popularity_tumbling": _on_stream(
-        lambda f: streaming.drain_appended(streaming.windowed_popularity(f, "1 hour", "1 hour"))
+        lambda f: streaming.drain_updated(
+            streaming.windowed_popularity(f, "1 hour", "1 hour"), ["window_start", "airport"]
+        )
     ),
     "stream_batch_rank": _on_stream(
         lambda f: streaming.drain_ranked(f, questions.popular_airports)
@@ -260,9 +370,7 @@ QUERIES: dict[str, Query] = {
     "stream_route_carrier": _on_stream(
         lambda f: streaming.drain_ranked(f, questions.carriers_on_route)
     ),
-    "stream_two_leg": _on_stream(
-        lambda f: streaming.drain_appended(streaming.two_leg_stream(f))
-    ),
+    "stream_two_leg": _on_stream(streaming.drain_trips),
     "stream_latest_results": _on_stream(
         lambda f: streaming.drain_upserted(f, ["carrier"], questions.carriers)
     ),

@@ -118,6 +118,70 @@ def _number_text(column: str) -> str:
     return f"concat(CAST(CAST({column} AS bigint) AS varchar), '.0')"
 
 
+def _decimal_text(column: str, halvings: int) -> str:
+    """``column`` / 2**halvings written out: 10**halvings times it is whole."""
+    digits = f"lpad(CAST(CAST(abs({column}) AS hugeint) * {5 ** halvings} AS varchar), {halvings + 12}, '0')"
+    whole = f"CAST(CAST(substr({digits}, 1, 12) AS bigint) AS varchar)"
+    rest = f"regexp_replace(substr({digits}, 13), '(.)0+$', '\\1')"
+    return f"CASE WHEN {column} = 0 THEN '0.0' ELSE concat(CASE WHEN {column} < 0 THEN '-' ELSE '' END, {whole}, '.', {rest}) END"
+
+
+def _fit(samples: str) -> str:
+    """The best power law of the column ``n`` of ``samples``, as the table ``fit``."""
+    return f"""WITH RECURSIVE samples AS ({samples}),
+v AS (SELECT CAST(n AS double) AS x, count(*) AS n FROM samples GROUP BY samples.n),
+c AS (
+  SELECT m.x AS m, sum(t.n) AS n_tail, sum(t.n * ln(t.x / m.x)) AS s
+  FROM v m JOIN v t ON t.x >= m.x WHERE m.x < (SELECT max(x) FROM v) GROUP BY m.x),
+a AS (SELECT m, n_tail, 1 + n_tail / s AS alpha FROM c),
+below AS (SELECT x, sum(n) OVER (ORDER BY x) - n AS b FROM v),
+d AS (
+  SELECT a.m, max(abs((t.b - o.b) / n_tail - (1 - pow(t.x / a.m, 1 - alpha)))) AS d
+  FROM a JOIN below o ON o.x = a.m JOIN below t ON t.x >= a.m GROUP BY a.m),
+fit AS (
+  SELECT a.m AS xmin, CAST(n_tail AS bigint) AS n_tail, alpha, d
+  FROM a JOIN d ON a.m = d.m ORDER BY d.d, a.m LIMIT 1)"""
+
+
+def _upper(z: str) -> str:
+    """The share of a standard normal above ``z``, by the series of erf, whose terms have one sign."""
+    x = f"(abs({z}) / sqrt(2.0))"
+    # The logarithm of term k; for k = 0 the inner list is empty and its sum NULL.
+    odd = "coalesce(list_sum(list_transform(range(1, k + 1), lambda i: ln(2 * i + 1.0))), 0)"
+    term = f"exp(k * ln(2 * {x} * {x} + 1e-300) - {odd})"
+    series = f"list_sum(list_transform(range(0, 150), lambda k: {term}))"
+    return f"(0.5 * (1 - sign({z}) * 2 / sqrt(pi()) * exp(-{x} * {x}) * {x} * {series}))"
+
+
+def _lognormal(samples: str) -> str:
+    """Power law against lognormal: the cut normal's moments are met by bisection."""
+    hazard = f"(exp(-0.5 * a * a) / sqrt(2 * pi()) / {_upper('a')})"
+    return f"""{_fit(samples)},
+tail AS (SELECT v.n, ln(v.x / xmin) AS y FROM v, fit WHERE v.x >= xmin),
+moments AS (SELECT sum(n * y) / sum(n) AS m1, sum(n * y * y) / sum(n) AS m2 FROM tail),
+search(step, low, high) AS (
+  SELECT 0, CAST(-6 AS double), CAST(4 AS double)
+  UNION ALL
+  SELECT step + 1,
+         CASE WHEN (1 - a * (h - a)) / ((h - a) * (h - a)) < m2 / (m1 * m1) THEN a ELSE low END,
+         CASE WHEN (1 - a * (h - a)) / ((h - a) * (h - a)) < m2 / (m1 * m1) THEN high ELSE a END
+  FROM (SELECT *, {hazard} AS h FROM (SELECT *, (low + high) / 2 AS a FROM search WHERE step < 52)), moments),
+cut AS (
+  SELECT -a * m1 / (h - a) AS mu, m1 / (h - a) AS sigma, ln({_upper('a')}) AS ln_c
+  FROM (SELECT *, {hazard} AS h FROM (SELECT low AS a FROM search WHERE step = 52)), moments),
+gaps AS (
+  SELECT tail.n, ln(alpha - 1) - (alpha - 1) * y
+         + ln(sigma) + 0.5 * ln(2 * pi()) + pow((y - mu) / sigma, 2) / 2 + ln_c AS gap
+  FROM tail, fit, cut),
+total AS (SELECT sum(n * gap) AS t, sum(n * gap) / sum(n) AS mean FROM gaps),
+tested AS (SELECT any_value(t) / sqrt(sum(n * pow(gap - mean, 2))) AS ratio FROM gaps, total)
+SELECT xmin, n_tail, round(alpha, 6) AS alpha, round(d, 6) AS d, round(mu + ln(xmin), 6) AS mu,
+       round(sigma, 6) AS sigma, round(ratio, 6) AS ratio,
+       round(2 * {_upper('abs(ratio)')}, 6) AS p_value,
+       CASE WHEN ratio < 0 THEN 'lognormal' WHEN ratio > 0 THEN 'power_law' ELSE 'neither' END AS favoured
+FROM fit, cut, tested"""
+
+
 def _per_batch(sql: str) -> str:
     return f"SELECT *, CAST(0 AS bigint) AS batch_id FROM ({sql})"
 
@@ -142,6 +206,55 @@ SELECT airport, n, {_number_text('n')} AS n_text FROM counts""",
     ),
     "route_carrier_topk_all": _top_all(FLIGHTS, "origin, dest", "carrier", "arr_delay"),
     "route_carrier_topk_departure": _top_all(FLIGHTS, "origin, dest", "carrier", "dep_delay"),
+    "route_carrier_malformed_codes": f"""{FLIGHTS}, coded AS (
+  SELECT * EXCLUDE (carrier, origin),
+         CASE WHEN CAST(flight_num AS bigint) % 7 = 0 THEN substr(carrier, 1, 1) ELSE carrier END AS carrier,
+         CASE WHEN CAST(flight_num AS bigint) % 11 = 0 THEN concat(origin, 'X') ELSE origin END AS origin
+  FROM flights),
+means AS (
+  SELECT origin, dest, carrier, avg(arr_delay) AS mean_delay FROM coded
+  WHERE arr_delay IS NOT NULL AND length(carrier) = 2 AND length(origin) = 3
+  GROUP BY origin, dest, carrier)
+SELECT origin, dest, carrier, mean_delay, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY origin, dest ORDER BY mean_delay, carrier) AS rank FROM means)
+WHERE rank <= 10""",
+    "popularity_short_lines": f"""{FLIGHTS}
+SELECT airport, count(*) AS n FROM (
+  SELECT origin AS airport, flight_num FROM flights UNION ALL SELECT dest, flight_num FROM flights)
+WHERE CAST(flight_num AS bigint) % 4 <> 0 GROUP BY airport""",
+    "odd_departure_times": f"""{FLIGHTS}, given AS (
+  SELECT flight_num, flight_day, CAST(flight_num AS bigint) % 10 AS d, dep_time FROM flights),
+timed AS (
+  SELECT *, CASE d WHEN 0 THEN '2400' WHEN 1 THEN '2460' WHEN 2 THEN '1275' WHEN 3 THEN '9999'
+                   WHEN 4 THEN '5' ELSE dep_time END AS text FROM given),
+kept AS (SELECT *, CASE WHEN d IN (1, 2, 3) THEN NULL ELSE lpad(text, 4, '0') END AS t FROM timed)
+SELECT flight_num, text, t AS dep_time,
+       CASE WHEN t < '1200' THEN 'AM' WHEN t IS NOT NULL THEN 'PM' END AS half_day,
+       strftime(flight_day + to_hours(CAST(substr(t, 1, 2) AS int)) + to_minutes(CAST(substr(t, 3, 2) AS int)),
+                '%Y-%m-%d %H:%M:%S') AS departed
+FROM kept""",
+    "mean_texts": f"""{FLIGHTS}, means AS ({_means("origin, carrier", "arr_delay")} GROUP BY origin, carrier),
+scaled AS (SELECT origin, carrier, floor(mean_delay * 64) AS s FROM means)
+SELECT origin, carrier, {_decimal_text('s', 6)} AS mean_text, {_decimal_text('s', 16)} AS small_text,
+       concat(CAST(CAST(s * 262144 AS bigint) AS varchar), '.0') AS large_text FROM scaled""",
+    "one_trip": f"""SELECT * FROM ({_trips(FLIGHTS, "AND a.origin = 'N06' AND a.dest = 'N09' AND b.dest = 'N04' AND a.flight_date = '1995-10-06'")})""",
+    "result_messages_all": f"""SELECT carrier AS key, mean_delay AS metric, 'carriers' AS question
+FROM ({_top(FLIGHTS, "carrier", "arr_delay")})
+UNION ALL SELECT carrier, mean_delay, 'carriers_from'
+FROM ({_top(FLIGHTS, "origin, carrier", "dep_delay", "AND origin = 'N09'")})
+UNION ALL SELECT concat(origin, ' ', carrier), mean_delay, 'carriers_from_all'
+FROM ({_top_all(FLIGHTS, "origin", "carrier", "dep_delay")})
+UNION ALL SELECT dest, mean_delay, 'destinations_from'
+FROM ({_top(FLIGHTS, "origin, dest", "dep_delay", "AND origin = 'N09'")})
+UNION ALL SELECT concat(origin, ' ', dest), mean_delay, 'destinations_from_all'
+FROM ({_top_all(FLIGHTS, "origin", "dest", "dep_delay")})
+UNION ALL SELECT carrier, mean_delay, 'carriers_on_route'
+FROM ({_top(FLIGHTS, "origin, dest, carrier", "arr_delay", "AND origin = 'N09' AND dest = 'N11'")})
+UNION ALL SELECT concat(origin, ' ', dest, ' ', carrier), mean_delay, 'carriers_on_route_all'
+FROM ({_top_all(FLIGHTS, "origin, dest", "carrier", "arr_delay")})""",
+    "latest_through_store": """SELECT user_id, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
+  FROM events) WHERE place = 1""",
     "route_mean_delay": f"""{FLIGHTS} {_means("origin, dest", "arr_delay")} GROUP BY origin, dest""",
     "best_flight_on_date": f"""{FLIGHTS}{BEST}
 SELECT origin, dest, flight_date, half_day, arr_delay, carrier, flight_num, dep_time FROM best""",
@@ -206,6 +319,7 @@ d AS (
   FROM a JOIN seen ON a.m = seen.m GROUP BY a.m)
 SELECT a.m AS xmin, CAST(n_tail AS bigint) AS n_tail, round(alpha, 6) AS alpha, round(d, 6) AS d
 FROM a JOIN d ON a.m = d.m ORDER BY d.d, a.m LIMIT 1""",
+    "lognormal_fit_orders": _lognormal("SELECT floor(o_totalprice / 1000) + 1 AS n FROM orders"),
     "stream_popularity_running": f"""{EVENTS}{MOVEMENTS}
 SELECT airport, n FROM counts ORDER BY n DESC, airport LIMIT 10""",
     "stream_carrier_running": _top(EVENTS, "carrier", "arr_delay"),
@@ -213,18 +327,12 @@ SELECT airport, n FROM counts ORDER BY n DESC, airport LIMIT 10""",
   SELECT date_trunc('hour', departed) AS h, origin AS airport FROM flights
   UNION ALL SELECT date_trunc('hour', departed), dest FROM flights)
 SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS window_start, airport, count(*) AS n FROM ends
-WHERE h + INTERVAL 1 HOUR <= (SELECT max(departed) - INTERVAL 1 HOUR FROM flights)
 GROUP BY h, airport""",
     "stream_batch_rank": _per_batch(f"""{EVENTS}{MOVEMENTS}
 SELECT airport, n FROM counts ORDER BY n DESC, airport LIMIT 10"""),
     "stream_origin_carrier": _per_batch(_top_all(EVENTS, "origin", "carrier", "dep_delay")),
     "stream_origin_dest": _per_batch(_top_all(EVENTS, "origin", "dest", "dep_delay")),
     "stream_route_carrier": _per_batch(_top_all(EVENTS, "origin, dest", "carrier", "arr_delay")),
-    # A day is closed when a flight a day later has been seen in both halves.
-    "stream_two_leg": _trips(
-        EVENTS,
-        """AND b.flight_day <= (SELECT min(latest) - 1 FROM (
-  SELECT max(flight_day) AS latest FROM flights WHERE arr_delay IS NOT NULL GROUP BY half_day))""",
-    ),
+    "stream_two_leg": _trips(EVENTS),
     "stream_latest_results": _per_batch(_top(EVENTS, "carrier", "arr_delay")),
 }

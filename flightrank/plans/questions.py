@@ -53,7 +53,8 @@ def carriers_on_route(
     k: int = 10,
 ) -> DataFrame:
     """Carriers by mean arrival delay on one route, or on every route with ``rank``."""
-    return _top_for(flights, ["origin", "dest"], [origin, dest], "carrier", metric, k)
+    known = flights.filter(is_carrier("carrier") & is_airport("origin"))
+    return _top_for(known, ["origin", "dest"], [origin, dest], "carrier", metric, k)
 
 
 def _top_for(
@@ -82,12 +83,20 @@ def key_results(lines: DataFrame, k: int | None = None, ascending: bool = False)
 
 
 def pair_results(
-    lines: DataFrame, first: str, second: str, metric: str, wanted: str | None = None
+    lines: DataFrame,
+    first: str,
+    second: str,
+    metric: str,
+    wanted: str | None = None,
+    k: int | None = None,
 ) -> DataFrame:
-    """``first second<tab>metric`` lines in order, for one ``first`` or for all."""
+    """``first second<tab>metric`` lines in order, for one ``first`` or for all; of each
+    ``first`` the best ``k`` only, if that is given."""
     rows = parse_pair_metric(lines, first, second, metric)
     if wanted is not None:
         rows = rows.filter(F.col(first) == wanted)
+    if k is not None:
+        rows = top_k_per_key(rows, [first], metric, [second], k).drop("rank")
     return rows.orderBy(first, metric, second)
 
 

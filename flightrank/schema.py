@@ -30,8 +30,13 @@ FIELD_POSITION = {
     "arr_delay": 44,
 }
 
-# A line must reach the highest position that is read.
-MIN_FIELDS = max(FIELD_POSITION.values()) + 1
+# Fixed value: lines with fewer fields are never read.
+MIN_FIELDS = 35
+
+# Lines must reach the last field for questions about the arrival delay. Others
+# read nothing behind the departure delay.
+ALL_FIELDS = max(FIELD_POSITION.values()) + 1
+FIELDS_FOR = {"dep_delay": MIN_FIELDS, "arr_delay": ALL_FIELDS}
 
 # Fixed value: first field of a header line.
 HEADER_MARK = "YEAR"

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flightrank.functions import flight_report, json_array
 from flightrank.session import shared_folder
@@ -18,6 +21,17 @@ def messages(results: DataFrame) -> DataFrame:
     return results.select(json_array(results.schema).alias("value"))
 
 
+def answer_messages(results: DataFrame, entity: Sequence[str], metric: str) -> DataFrame:
+    """One message of two parts per row, ``["ATL AA", 0.5]``, as ``parse_messages`` reads them.
+
+    ``entity``: the columns that tell the rows of an answer apart, joined by a
+    space. An answer about one airport names the carrier alone; one about every
+    airport names the airport as well.
+    """
+    names = [F.date_format(c, "yyyy-MM-dd") if dict(results.dtypes)[c] == "date" else c for c in entity]
+    return messages(results.select(F.concat_ws(" ", *names).alias("entity"), metric))
+
+
 def report_lines(flights: DataFrame) -> DataFrame:
     """One line of text per flight."""
     return flights.select(flight_report().alias("line"))

@@ -1,6 +1,14 @@
-from flightrank.sources.flight_lines import flights_by_name, parse_flights, rejected_lines, render_lines
+from flightrank.sources.flight_lines import (
+    counted,
+    flights_by_name,
+    parse_flights,
+    rejected_lines,
+    render_lines,
+)
 from flightrank.sources.results import (
+    READABLE,
     RECORD_SHAPES,
+    counted_results,
     parse_best_flights,
     parse_frequencies,
     parse_key_metric,
@@ -11,7 +19,10 @@ from flightrank.sources.results import (
 from flightrank.sources.streams import file_stream, kafka_lines, text_stream
 
 __all__ = [
+    "READABLE",
     "RECORD_SHAPES",
+    "counted",
+    "counted_results",
     "file_stream",
     "flights_by_name",
     "kafka_lines",

@@ -6,11 +6,17 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flightrank.functions import clock_time, delay_minutes, remove_quotes
-from flightrank.schema import FIELD_POSITION, HEADER_MARK, HEADER_NAMES, MIN_FIELDS
+from flightrank.schema import ALL_FIELDS, FIELD_POSITION, HEADER_MARK, HEADER_NAMES
 
 
 def _fields() -> Column:
-    return F.split(F.col("value").cast("string"), ",")
+    """The fields that are read and, unsplit, whatever comes after them."""
+    return F.split(F.col("value").cast("string"), ",", ALL_FIELDS + 1)
+
+
+def _n_fields() -> Column:
+    text = F.col("value").cast("string")
+    return F.length(text) - F.length(F.replace(text, F.lit(","))) + 1
 
 
 def _is_header(fields: Column) -> Column:
@@ -30,26 +36,40 @@ def _typed(raw: dict[str, Column], legacy_len: bool) -> list[Column]:
     ]
 
 
+def counted(lines: DataFrame, as_name: str | Observation, min_fields: int = ALL_FIELDS) -> DataFrame:
+    """``lines`` with their counts observed: all, too short ones, headers.
+
+    An ``Observation`` reports them after a batch action. For a stream give a
+    name: the counts of a micro-batch are then in its progress, under that name.
+    """
+    header = _is_header(_fields())
+    return lines.observe(
+        as_name,
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if((F.size(_fields()) < min_fields) & ~header).alias("short"),
+        F.count_if(header).alias("headers"),
+    )
+
+
 def parse_flights(
-    lines: DataFrame, legacy_len: bool = False, line_counts: Observation | None = None
+    lines: DataFrame,
+    legacy_len: bool = False,
+    line_counts: str | Observation | None = None,
+    min_fields: int = ALL_FIELDS,
 ) -> DataFrame:
     """Parse a ``value`` column of comma-separated lines, batch or stream.
 
-    Lines that end before the last field read here, and header lines, are left
-    out; ``line_counts`` reports how many there were after an action, and
-    ``rejected_lines`` returns the short ones.
+    Lines of fewer than ``min_fields`` fields (``schema.FIELDS_FOR`` a metric) and
+    header lines are left out: ``line_counts`` reports how many there were (see ``counted``) and
+    ``rejected_lines`` returns the short ones. A field behind the end of a line
+    is NULL.
     """
     if line_counts is not None:
-        lines = lines.observe(
-            line_counts,
-            F.count(F.lit(1)).alias("lines"),
-            F.count_if(F.size(_fields()) < MIN_FIELDS).alias("short"),
-            F.count_if(_is_header(_fields())).alias("headers"),
-        )
+        lines = counted(lines, line_counts, min_fields)
     # The one-element explode keeps the filter above the split: pushed below it,
     # or into a join under it, the filter would split every line again.
     split = lines.select(F.explode(F.array(_fields())).alias("fields"))
-    kept = split.filter((F.size("fields") >= MIN_FIELDS) & ~_is_header(F.col("fields")))
+    kept = split.filter((F.size("fields") >= min_fields) & ~_is_header(F.col("fields")))
     raw = {
         name: remove_quotes(F.get(F.col("fields"), F.lit(position)))
         for name, position in FIELD_POSITION.items()
@@ -57,12 +77,12 @@ def parse_flights(
     return kept.select(*_typed(raw, legacy_len))
 
 
-def rejected_lines(lines: DataFrame) -> DataFrame:
-    """The lines too short to hold every field, with their field count."""
-    text = F.col("value").cast("string")
-    split = lines.select(F.inline(F.array(F.struct(text.alias("value"), _fields().alias("fields")))))
-    short = (F.size("fields") < MIN_FIELDS) & ~_is_header(F.col("fields"))
-    return split.filter(short).select("value", F.size("fields").alias("n_fields"))
+def rejected_lines(lines: DataFrame, min_fields: int = ALL_FIELDS) -> DataFrame:
+    """The lines that ``parse_flights`` finds too short, with their field count."""
+    text = F.col("value").cast("string").alias("value")
+    rows = F.struct(text, _n_fields().alias("n_fields"), _is_header(_fields()).alias("header"))
+    split = lines.select(F.inline(F.array(rows)))
+    return split.filter((F.col("n_fields") < min_fields) & ~F.col("header")).drop("header")
 
 
 def flights_by_name(
@@ -106,7 +126,7 @@ def render_lines(flights: DataFrame, whole_minutes: bool = False) -> DataFrame:
         at[position + 1] = F.lit(' ST"')
     # Empty fields between two filled ones make one constant run of commas.
     pieces, commas = [], ""
-    for position in range(MIN_FIELDS):
+    for position in range(ALL_FIELDS):
         if position in at:
             pieces += [F.lit(commas), F.coalesce(at[position], F.lit(""))]
             commas = ""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flightrank.functions import delay_minutes, is_airport, remove_quotes
@@ -29,6 +31,35 @@ def _tab_field(i: int) -> Column:
     return remove_quotes(F.get(F.split("value", "\t"), F.lit(i)))
 
 
+def _flight_parts(i: int) -> Column:
+    return F.split(_tab_field(i), " ")
+
+
+def _message_parts() -> Column:
+    return F.split(F.translate(F.col("value").cast("string"), "()[]\"'", ""), ",")
+
+
+# Whether a line of each kind can be read; a line that cannot is left out.
+READABLE: dict[str, Callable[[], Column]] = {
+    "key": lambda: delay_minutes(_tab_field(1)).isNotNull(),
+    "pair": lambda: READABLE["key"]() & (F.size(F.split(_tab_field(0), " ")) == 2),
+    "best_flight": lambda: (F.size(_flight_parts(0)) == 4)
+    & (F.size(_flight_parts(1)) == 4)
+    & delay_minutes(F.get(_flight_parts(1), F.lit(3))).isNotNull(),
+    "frequency": lambda: delay_minutes(F.get(F.split(F.trim("value"), "\\s+"), F.lit(0))).isNotNull(),
+    "message": lambda: (F.size(_message_parts()) == 2)
+    & delay_minutes(F.trim(F.get(_message_parts(), F.lit(1)))).isNotNull(),
+}
+
+
+def counted_results(lines: DataFrame, kind: str, as_name: str | Observation) -> DataFrame:
+    """``lines`` with their counts observed: all, and those that ``kind`` cannot read."""
+    readable = F.coalesce(READABLE[kind](), F.lit(False))
+    return lines.observe(
+        as_name, F.count(F.lit(1)).alias("lines"), F.count_if(~readable).alias("unreadable")
+    )
+
+
 def parse_key_metric(lines: DataFrame) -> DataFrame:
     """``"key"<tab>number`` lines; lines without a readable number are left out."""
     return lines.select(
@@ -52,9 +83,7 @@ def parse_pair_metric(lines: DataFrame, first: str, second: str, metric: str) ->
 
 def parse_best_flights(lines: DataFrame) -> DataFrame:
     """``"X Y date AM"<tab>"carrier number time delay"`` lines."""
-    pair = lines.select(
-        F.split(_tab_field(0), " ").alias("route"), F.split(_tab_field(1), " ").alias("flight")
-    )
+    pair = lines.select(_flight_parts(0).alias("route"), _flight_parts(1).alias("flight"))
 
     def part(column: str, i: int) -> Column:
         return F.get(F.col(column), F.lit(i))
@@ -85,10 +114,8 @@ def parse_frequencies(lines: DataFrame) -> DataFrame:
 
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Result messages such as ``["STX", -2.8]``: brackets and quotes dropped, two parts kept."""
-    bare = F.translate(F.col("value").cast("string"), "()[]\"'", "")
-    parts = F.split(bare, ",")
     return (
-        messages.select(parts.alias("parts"))
+        messages.select(_message_parts().alias("parts"))
         .filter(F.size("parts") == 2)
         .select(
             F.get("parts", F.lit(0)).alias("key"),

@@ -1,13 +1,25 @@
 from flightrank.streaming.rankings import (
+    LEG,
+    best_legs,
     best_legs_stream,
     running_carriers,
     running_popularity,
     two_leg_stream,
+    untimed,
     windowed_popularity,
 )
-from flightrank.streaming.run import drain_appended, drain_latest, drain_ranked, drain_upserted
+from flightrank.streaming.run import (
+    drain_appended,
+    drain_latest,
+    drain_ranked,
+    drain_trips,
+    drain_updated,
+    drain_upserted,
+    publish_trips,
+)
 from flightrank.streaming.sinks import (
     BATCH_INTERVAL,
+    MAX_PARTS,
     publish_batches,
     publish_to_kafka,
     read_latest,
@@ -18,18 +30,25 @@ from flightrank.streaming.sinks import (
 
 __all__ = [
     "BATCH_INTERVAL",
+    "LEG",
+    "MAX_PARTS",
+    "best_legs",
     "best_legs_stream",
     "drain_appended",
     "drain_latest",
     "drain_ranked",
+    "drain_trips",
+    "drain_updated",
     "drain_upserted",
     "publish_batches",
     "publish_to_kafka",
+    "publish_trips",
     "read_latest",
     "running_carriers",
     "running_popularity",
     "show_on_console",
     "two_leg_stream",
+    "untimed",
     "upsert_results",
     "windowed_popularity",
     "write_batches",

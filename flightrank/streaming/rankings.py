@@ -27,10 +27,13 @@ def running_carriers(flights: DataFrame, metric: str = "arr_delay", k: int = 10)
 def windowed_popularity(
     flights: DataFrame, interval: str = "60 seconds", late: str = "1 hour"
 ) -> DataFrame:
-    """Flights per airport in windows of departure time; for append mode.
+    """Flights per airport in windows of departure time.
 
-    A window is emitted once, when the watermark passes its end, and its state
-    is then dropped.
+    For update mode with a keyed store (``drain_updated``): a window is emitted
+    whenever its count changes, the open ones too, and its state is dropped when
+    the watermark passes its end. Append mode emits a window once, at its end,
+    and so never the last ones. Flights without a readable time belong to no
+    window; ``untimed`` counts them.
     """
     timed = flights.withColumn("departed", departure_time("flight_date", "dep_time"))
     return (
@@ -42,6 +45,29 @@ def windowed_popularity(
     )
 
 
+def untimed(flights: DataFrame, as_name: str) -> DataFrame:
+    """``flights`` with the number of those without a readable time observed, in the progress
+    of a stream under ``as_name``."""
+    missing = departure_time("flight_date", "dep_time").isNull()
+    return flights.observe(as_name, F.count_if(missing).alias("untimed"))
+
+
+def best_legs(flights: DataFrame, late: str = "1 day") -> DataFrame:
+    """Best flight per route, day and half of the day, from one reading of the source.
+
+    For update mode with a keyed store: a leg is emitted whenever a better
+    flight comes. State holds one row per route and half for the days that the
+    watermark has not passed.
+    """
+    known = candidates(flights).filter(F.col("half_day").isNotNull() & is_airport("dest"))
+    days = known.withColumn("day", F.col("flight_date").cast("timestamp")).withWatermark("day", late)
+    best = best_per(days, ("origin", "dest", "day", "half_day"))
+    return best.withColumn("flight_date", F.col("day").cast("date")).drop("day")
+
+
+LEG = ["origin", "dest", "flight_date", "half_day"]
+
+
 def best_legs_stream(flights: DataFrame, half: str, late: str = "1 day") -> DataFrame:
     """Best flight per route and day in one half of the day; for append mode.
 

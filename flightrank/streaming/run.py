@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from flightrank.operators.itinerary import join_legs
 from flightrank.session import shared_folder
+from flightrank.streaming.rankings import LEG, best_legs
 from flightrank.streaming.sinks import Transform, read_latest, upsert_results, write_batches
 
 
@@ -46,19 +50,73 @@ def drain_latest(stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{out}/batch_id={done[-1]}")
 
 
+def _empty(stream: DataFrame, transform: Transform | None = None) -> DataFrame:
+    """The result of a stream that had no batch."""
+    none = stream.sparkSession.createDataFrame([], stream.schema)
+    result = transform(none) if transform else none
+    return result.withColumn("batch_id", F.lit(None).cast("bigint")).filter(F.lit(False))
+
+
 def drain_ranked(stream: DataFrame, transform: Transform) -> DataFrame:
     """Rank every micro-batch on its own; the result of each carries its ``batch_id``."""
     spark = stream.sparkSession
     folder = shared_folder(spark, "stream")
     out = f"{folder}/out"
-    _finish(stream.writeStream.foreachBatch(write_batches(out, transform)), folder)
+    write, done = write_batches(out, transform), []
+
+    def write_and_note(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        done.append(batch_id)
+
+    _finish(stream.writeStream.foreachBatch(write_and_note), folder)
+    if not done:
+        return _empty(stream, transform)
     return spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
-def drain_upserted(stream: DataFrame, keys: list[str], transform: Transform) -> DataFrame:
+def drain_upserted(
+    stream: DataFrame, keys: list[str], transform: Transform | None = None, mode: str = "append"
+) -> DataFrame:
     """Keep the latest result per key over all micro-batches."""
     spark = stream.sparkSession
     folder = shared_folder(spark, "stream")
     out = f"{folder}/out"
-    _finish(stream.writeStream.foreachBatch(upsert_results(out, keys, transform)), folder)
-    return read_latest(spark, out)
+    write, done = upsert_results(out, keys, transform), []
+
+    def write_and_note(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        done.append(batch_id)
+
+    _finish(stream.writeStream.outputMode(mode).foreachBatch(write_and_note), folder)
+    return read_latest(spark, out) if done else _empty(stream, transform)
+
+
+def drain_updated(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of an update-mode stream in their last form, open windows among them."""
+    return drain_upserted(stream, keys, mode="update").drop("batch_id").select(*stream.columns)
+
+
+def drain_trips(flights: DataFrame, gap_days: int = 2, late: str = "1 day") -> DataFrame:
+    """Best trip for every X, Y, Z and date of a stream of flights, the last days among them."""
+    legs = drain_updated(best_legs(flights, late), LEG)
+    return join_legs(legs, legs, gap_days)
+
+
+def publish_trips(
+    store: str,
+    publish: Callable[[DataFrame, int], None],
+    gap_days: int = 2,
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer for ``best_legs`` in update mode: keeps the legs in ``store``
+    and publishes the trips that a batch's legs change."""
+    keep = upsert_results(store, LEG)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        keep(batch, batch_id)
+        legs = read_latest(batch.sparkSession, store)
+        changed = legs.filter(F.col("batch_id") == batch_id).drop("batch_id")
+        legs = legs.drop("batch_id")
+        first, second = join_legs(changed, legs, gap_days), join_legs(legs, changed, gap_days)
+        publish(first.unionByName(second).distinct(), batch_id)
+
+    return write

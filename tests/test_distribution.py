@@ -1,5 +1,5 @@
 import math
-import os
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -40,10 +40,12 @@ SAMPLES = {
 @pytest.mark.parametrize("buckets", [4, 64])
 def test_fit_equals_brute_force(spark, name, buckets):
     d, xmin, n_tail, alpha = brute_fit(SAMPLES[name])
-    [row] = distribution.powerlaw_fit(frame(spark, SAMPLES[name]), "n", buckets, spread=3).collect()
-    assert (row.xmin, row.n_tail) == (xmin, n_tail)
-    assert row.alpha == pytest.approx(alpha, rel=1e-9)
-    assert row.d == pytest.approx(d, abs=1e-9)
+    for few in (0, distribution.FEW_VALUES):
+        fit = distribution.powerlaw_fit(frame(spark, SAMPLES[name]), "n", buckets, spread=3, few=few)
+        [row] = fit.collect()
+        assert (row.xmin, row.n_tail) == (xmin, n_tail)
+        assert row.alpha == pytest.approx(alpha, rel=1e-9)
+        assert row.d == pytest.approx(d, abs=1e-9)
 
 
 def test_values_that_cannot_be_fitted_are_ignored(spark):
@@ -116,15 +118,69 @@ def test_lognormal_samples_favour_the_lognormal(spark):
     assert row.ratio == pytest.approx(ratio, rel=1e-6)
     assert row.p_value == pytest.approx(math.erfc(abs(ratio) / math.sqrt(2)), rel=1e-6)
     assert row.favoured == ("lognormal" if ratio < 0 else "power_law")
+    assert math.isfinite(row.mu) and row.sigma > 0
 
 
-@pytest.mark.skipif("FREQUENCY_FILE" not in os.environ, reason="needs the published frequency file")
-def test_published_frequencies(spark):
+@pytest.mark.parametrize("few", [0, distribution.FEW_VALUES])
+def test_published_frequencies(spark, few):
     """Published ratio -3.485522 and p 0.000491 for 285 airports."""
-    frequencies = sources.parse_frequencies(spark.read.text(os.environ["FREQUENCY_FILE"]))
-    [row] = distribution.lognormal_fit(frequencies, "n").collect()
+    path = Path(__file__).parent / "data" / "airport_counts.txt"
+    frequencies = sources.parse_frequencies(spark.read.text(str(path)))
+    assert frequencies.count() == 285
+    [row] = distribution.lognormal_fit(frequencies, "n", few=few).collect()
     assert (row.xmin, row.n_tail, row.favoured) == (62742.0, 181, "lognormal")
     assert row.alpha == pytest.approx(1.497533, abs=1e-5)
     assert row.d == pytest.approx(0.102513, abs=1e-5)
     assert row.ratio == pytest.approx(-3.485522, abs=1e-3)
     assert row.p_value == pytest.approx(0.000491, abs=1e-5)
+
+
+EDGES = {
+    "none": [],
+    "one value": [3.0, 3.0, 3.0],
+    "nothing usable": [0.0, -1.0, float("nan"), float("inf")],
+}
+
+
+@pytest.mark.parametrize("few", [0, distribution.FEW_VALUES])
+@pytest.mark.parametrize("name", EDGES)
+def test_without_two_values_there_is_no_fit_and_no_favourite(spark, name, few):
+    df = frame(spark, EDGES[name])
+    assert distribution.powerlaw_fit(df, "n", few=few).collect() == []
+    [row] = distribution.lognormal_fit(df, "n", few=few).collect()
+    assert (row.xmin, row.mu, row.ratio, row.favoured) == (None, None, None, "neither")
+    [alpha] = distribution.powerlaw_alpha(df, "n").collect()
+    assert alpha.alpha is None
+
+
+def test_alpha_ignores_values_that_are_no_numbers(spark):
+    values = [1.0, 2.0, 4.0, float("nan"), float("inf"), -1.0]
+    [row] = distribution.powerlaw_alpha(frame(spark, values), "n").collect()
+    assert row.n_tail == 3 and row.alpha == pytest.approx(1 + 3 / math.log(8))
+    [row] = distribution.powerlaw_alpha(frame(spark, values), "n", 2.0).collect()
+    assert (row.xmin, row.n_tail) == (2.0, 2) and row.alpha == pytest.approx(1 + 2 / math.log(2))
+
+
+@pytest.mark.parametrize("few", [0, distribution.FEW_VALUES])
+def test_large_neighbours_with_the_same_logarithm(spark, few):
+    values = [5.0, 7.0, 1e16, 1e16 + 2]
+    [row] = distribution.powerlaw_fit(frame(spark, values), "n", few=few).collect()
+    ln = [math.log1p(2 / 1e16)]
+    expected = 1 + 2 / ln[0] if row.xmin == 1e16 else brute_fit(values[:3] + [1e16])[3]
+    assert row.alpha == pytest.approx(expected, rel=1e-3)
+
+
+def test_no_favourite_when_the_lognormal_has_no_maximum(spark):
+    pareto = np.round((1 - RNG.random(3000)) ** (-1 / 0.4), 3)
+    [row] = distribution.lognormal_fit(frame(spark, pareto), "n").collect()
+    assert (row.mu is None) == (row.favoured == "neither")
+
+
+def test_a_fit_of_few_values_takes_few_jobs(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("few-values", "fit")
+    try:
+        distribution.lognormal_fit(frame(spark, SAMPLES["lognormal"][:300]), "n").collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("few-values")) < 14

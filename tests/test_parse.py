@@ -5,8 +5,11 @@ from helpers import flight, lines, raw_line, table
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from flightrank import sinks, sources
+from flightrank.functions import departure_time, half_day, python_float
+from flightrank.schema import FIELDS_FOR
 
 
 def parsed(spark, *values, **options):
@@ -56,6 +59,34 @@ def test_header_and_short_lines_are_left_out_and_counted(spark):
     assert sorted(r.n_fields for r in rejected.collect()) == [1, 34, 40, 44]
 
 
+def test_a_question_needs_only_the_fields_it_reads(spark):
+    given_lines = lines(spark, raw_line(year='"YEAR"'), raw_line(fields=34), raw_line(fields=36), raw_line(fields=44))
+    counts = Observation("lines")
+    kept = sources.parse_flights(given_lines, line_counts=counts, min_fields=FIELDS_FOR["dep_delay"])
+    assert [(r.origin, r.dest, r.dep_delay, r.arr_delay) for r in kept.collect()] == [("ATL", "ORD", 1.0, None)] * 2
+    assert counts.get == {"lines": 4, "short": 1, "headers": 1}
+    rejected = sources.rejected_lines(given_lines, FIELDS_FOR["dep_delay"])
+    assert [r.n_fields for r in rejected.collect()] == [34]
+
+
+def test_fields_behind_the_last_one_read_change_nothing(spark):
+    [row] = parsed(spark, raw_line(arr="-2.00") + ",x,,y")
+    assert row.arr_delay == -2.0
+
+
+def test_lines_of_results_are_counted(spark):
+    def counts(kind, *values):
+        seen = Observation(kind)
+        sources.counted_results(lines(spark, *values), kind, seen).collect()
+        return seen.get
+
+    assert counts("key", '"ATL"\t12.5', "DFW\tx", "alone", "") == {"lines": 4, "unreadable": 3}
+    assert counts("pair", '"ATL DL"\t4.5', "ATL\t1.0", "A B\tbad") == {"lines": 3, "unreadable": 2}
+    assert counts("best_flight", '"A B 2008-01-02 AM"\t"DL 1 0900 4.0"', "x") == {"lines": 2, "unreadable": 1}
+    assert counts("frequency", "12 ORD", "x y") == {"lines": 2, "unreadable": 1}
+    assert counts("message", '["STX", -2.8]', '["a", "b", 1]', '["ATL", "late"]') == {"lines": 3, "unreadable": 2}
+
+
 def test_city_without_inner_comma_is_a_short_line(spark):
     assert parsed(spark, raw_line(cities=('"Atlanta"', '"Chicago, IL"'))) == []
 
@@ -67,13 +98,47 @@ def test_malformed_codes_stay_for_the_questions_to_judge(spark):
 
 @pytest.mark.parametrize(
     "text, value",
-    [('"955"', "0955"), ('"0005"', "0005"), ('"5"', "0005"), ('""', None), ("", None), ('"9:05"', None)],
+    [('"955"', "0955"), ('"0005"', "0005"), ('"5"', "0005"), ('""', None), ("", None), ('"9:05"', None), ('"2400"', "2400"),
+     ('"2460"', None), ('"1275"', None), ('"9999"', None), ('"2359"', "2359")],
 )
 def test_departure_time(spark, text, value):
     [row] = parsed(spark, raw_line(time=text))
     assert row.dep_time == value
 
 
+def test_midnight_ends_its_day(spark):
+    df = spark.createDataFrame([("2400",), ("0000",), ("1159",), ("1200",), ("2460",), (None,)], "t string")
+    day = F.lit("2008-02-29").cast("date")
+    rows = df.select(half_day("t"), departure_time(day, "t").cast("string")).collect()
+    assert [tuple(r) for r in rows] == [
+        ("PM", "2008-03-01 00:00:00"), ("AM", "2008-02-29 00:00:00"), ("AM", "2008-02-29 11:59:00"),
+        ("PM", "2008-02-29 12:00:00"), (None, None), (None, None),
+    ]
+
+
+@pytest.mark.parametrize(
+    "number, text",
+    [
+        (12446097.0, "12446097.0"), (12446097.5, "12446097.5"), (0.0001, "0.0001"), (-2.8, "-2.8"),
+        (0.0, "0.0"), (-0.0, "0.0"), (28.142857142857142, "28.142857142857142"), (1e15, "1000000000000000.0"),
+        (1.5e-7, "0.00000015"), (123456789012.25, "123456789012.25"), (-1e-4, "-0.0001"), (1e16, "10000000000000000.0"),
+        (None, None), (float("nan"), "NaN"), (float("inf"), "Infinity"), (1e30, "1.0E30"),
+    ],
+)
+def test_numbers_as_plain_text(spark, number, text):
+    df = spark.createDataFrame([(number,)], "x double")
+    assert df.select(python_float("x")).first()[0] == text
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(-1e20, 1e20, allow_nan=False), min_size=1, max_size=200))
+def test_numbers_read_back_as_they_were(spark, numbers):
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    for row in df.select("x", python_float("x").alias("t")).collect():
+        assert float(row.t) == row.x
+        assert "E" not in row.t or abs(row.x) < 1e-11
+
+
 def test_bad_date_is_null(spark):
     [row] = parsed(spark, raw_line(date="2008-02-31"))
     assert row.flight_date is None
@@ -98,7 +163,7 @@ flights = st.builds(
     origin=st.from_regex(r"[A-Z]{3}", fullmatch=True),
     dest=st.from_regex(r"[A-Z]{3}", fullmatch=True),
     date=st.dates(datetime.date(1987, 1, 1), datetime.date(2030, 12, 31)).map(str) | st.none(),
-    time=st.from_regex(r"[0-2][0-9][0-5][0-9]", fullmatch=True) | st.none(),
+    time=st.from_regex(r"([01][0-9]|2[0-3])[0-5][0-9]|2400", fullmatch=True) | st.none(),
     dep=st.floats(-2000, 2000) | st.none(),
     arr=st.floats(-2000, 2000) | st.none(),
 )

@@ -1,7 +1,8 @@
 import pytest
 from helpers import flight, lines, table
+from pyspark.sql import Observation
 
-from flightrank import jobs
+from flightrank import jobs, sinks, sources
 from flightrank.operators import ranking
 from flightrank.operators.popularity import airport_counts
 from flightrank.plans import questions
@@ -52,6 +53,28 @@ def test_route_metric_is_an_argument(spark):
     assert [r.carrier for r in departure] == ["BB", "AA"]
 
 
+def test_malformed_codes_are_not_ranked_on_a_route(spark):
+    flights = table(spark, flight(carrier="A", arr=-99.0), flight(carrier="BB", arr=1.0), flight(origin="ATLX", arr=-5.0))
+    assert [r.carrier for r in questions.carriers_on_route(flights, "ATL", "ORD").collect()] == ["BB"]
+    assert {r.origin for r in questions.carriers_on_route(flights).collect()} == {"ATL"}
+
+
+def test_published_answers_can_be_read_back(spark):
+    rows = [flight(origin=f"A{i % 3:02}", dest=f"D{i % 5:02}", carrier=f"{i % 7:02}", dep=i / 7, arr=i / 3) for i in range(200)]
+    flights = table(spark, *rows)
+    asked = {
+        "carriers": [], "carriers-from": ["--origin", "A01"], "destinations-from": ["--origin", "A01"],
+        "carriers-on-route": ["--origin", "A01", "--dest", "D02"], "popular-airports": [], "route-delays": [],
+    }
+    for name, options in [*asked.items(), *((n, []) for n in ("carriers-from", "destinations-from", "carriers-on-route"))]:
+        args = jobs.checked(jobs.parser().parse_args([name, "--lines", "x", *options]))
+        found = jobs.JOBS[name].on_flights(flights, args)
+        entity, metric = jobs.JOBS[name].entity(args), jobs.JOBS[name].result
+        read = sources.parse_messages(sinks.answer_messages(found, entity, metric)).collect()
+        expected = [(" ".join(r[c] for c in entity), float(r[metric])) for r in found.collect()]
+        assert sorted(map(tuple, read)) == sorted(expected) and expected
+
+
 def test_one_airport_equals_its_part_of_all(spark):
     rows = [
         flight(origin=f"A{i % 3:02}", dest=f"D{i % 13:02}", carrier=f"{i % 17:02}", dep=float(i % 29))
@@ -151,8 +174,56 @@ def test_jobs_from_lines(spark, line_file):
     assert (best.origin, best.stop, best.dest, best.total_delay) == ("ATL", "ORD", "LAX", -1.0)
 
 
+@pytest.mark.parametrize(
+    "argv, wrong",
+    [
+        (["best-flight", "--lines", "x", "--origin", "ATL", "--dest", "ORD", "--date", "05/01/2008"], "half_day"),
+        (["trip-legs", "--lines", "x", "--origin", "ATL"], "needs"),
+        (["carriers", "--lines", "x", "--origin", "ATL"], "does not take: origin"),
+        (["carriers-from", "--lines", "x", "--descending"], "does not take"),
+        (["route-delays", "--results", "x"], "cannot be answered"),
+        (["carriers", "--results", "x", "--metric", "arr_delay"], "does not take: metric"),
+        (["carriers", "--brokers", "h:1", "--topic", "t"], "out_topic"),
+        (["trips", "--brokers", "h:1", "--topic", "t", "--out-topic", "o", "--checkpoint", "c"], "store"),
+        (["trips", "--lines", "x", "--date", "2008-01-05"], "does not match"),
+        (["carriers", "--lines", "x", "--interval", "1 second"], "only for a stream"),
+    ],
+)
+def test_arguments_that_are_missing_or_would_be_ignored(argv, wrong):
+    with pytest.raises(ValueError, match=wrong):
+        jobs.checked(jobs.parser().parse_args(argv))
+    with pytest.raises(SystemExit):
+        jobs.main(argv)
+
+
+def test_jobs_take_the_arguments_of_a_trip(spark, line_file):
+    given = ["trips", "--lines", line_file]
+    assert len(job(spark, *given, "--origin", "ATL", "--stop", "ORD", "--date", "05/01/2008")) == 1
+    assert job(spark, *given, "--origin", "DFW") == []
+    assert job(spark, *given, "--date", "06/01/2008") == []
+
+
+def test_jobs_report_their_lines(spark, line_file, tmp_path, capsys):
+    counts = Observation("lines")
+    jobs.answer(spark, jobs.parser().parse_args(["carriers", "--lines", line_file]), counts).collect()
+    assert counts.get == {"lines": 4, "short": 0, "headers": 1}
+    path = tmp_path / "r.tsv"
+    path.write_text('"ATL DL"\t4.5\n"ATL AA"\tx\n')
+    counts = Observation("results")
+    jobs.answer(spark, jobs.parser().parse_args(["carriers-from", "--results", str(path)]), counts).collect()
+    assert counts.get == {"lines": 2, "unreadable": 1}
+
+
+def test_metric_and_k_act_on_every_job_that_takes_them(spark, line_file):
+    by_arrival = job(spark, "carriers-from", "--origin", "ATL", "--lines", line_file, "--metric", "arr_delay")
+    assert [r.carrier for r in by_arrival] == ["AA", "BB"]
+    assert len(job(spark, "carriers-from", "--origin", "ATL", "--lines", line_file, "--k", "1")) == 1
+
+
 def test_jobs_from_results(spark, tmp_path):
     path = tmp_path / "r.tsv"
     path.write_text('"ATL DL"\t4.5\n"ATL AA"\t1.5\n"ORD AA"\t0.5\n')
     rows = job(spark, "carriers-from", "--origin", "ATL", "--results", str(path))
     assert [r.carrier for r in rows] == ["AA", "DL"]
+    rows = job(spark, "carriers-from", "--results", str(path), "--k", "1")
+    assert [(r.origin, r.carrier) for r in rows] == [("ATL", "AA"), ("ORD", "AA")]

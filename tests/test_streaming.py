@@ -4,7 +4,7 @@ import random
 import pytest
 from helpers import flight, lines, raw_line, table
 
-from flightrank import sources, streaming
+from flightrank import jobs, sinks, sources, streaming
 from flightrank.operators import itinerary
 from flightrank.plans import questions
 from flightrank.schema import FLIGHT
@@ -82,6 +82,88 @@ def test_windows_close_with_the_watermark_and_late_rows_are_dropped(spark, feed)
     ]
 
 
+def test_open_windows_are_in_the_result_and_late_rows_are_not(spark, feed):
+    stream = feed(
+        [flight(time="0900"), flight(time="0930")],
+        [flight(time="1300")],
+        [flight(time="1301")],
+        [flight(time="0905"), flight(time="1305")],  # 09:05 comes too late
+        [flight(time="2000"), flight(time=None)],
+    )
+    windows = streaming.drain_updated(
+        streaming.windowed_popularity(stream, "1 hour", "1 hour"), ["window_start", "airport"]
+    )
+    found = sorted((r.window_start.strftime("%H%M"), r.n) for r in windows.filter("airport = 'ATL'").collect())
+    assert found == [("0900", 2), ("1300", 3), ("2000", 1)]
+
+
+def test_trips_of_all_days_whatever_batch_their_legs_come_in(spark, feed):
+    batches = [some_flights(60, [2 * i + 1, 2 * i + 2], seed=i) for i in range(4)]
+    everything = itinerary.two_leg_best(table(spark, *sum(batches, [])))
+    assert as_rows(streaming.drain_trips(feed(*batches))) == as_rows(everything)
+    assert everything.count() > 0
+
+
+def test_a_job_publishes_trips_as_their_legs_come(spark, tmp_path):
+    """Two legs in two files, one trip; a better second leg later changes it."""
+    folder, store = tmp_path / "in", str(tmp_path / "store")
+    args = jobs.parser().parse_args(
+        ["trips", "--brokers", "none", "--topic", "t", "--out-topic", "o", "--checkpoint", str(tmp_path / "c"),
+         "--store", store, "--origin", "ATL"]
+    )
+    published = []
+
+    def publish(answer, entity, metric):
+        def write(batch, batch_id):
+            rows = sources.parse_messages(sinks.answer_messages(answer(batch), entity, metric)).collect()
+            published.append([tuple(r) for r in rows])
+
+        return write
+
+    def run(*values):
+        lines(spark, *values).coalesce(1).write.mode("append").text(str(folder))
+        writer = jobs.stream(spark, args, sources.text_stream(spark, str(folder)), publish)
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    run(raw_line())
+    run(raw_line(origin='"ORD"', dest='"LAX"', date="2008-01-07", time='"1300"', arr="1.00"))
+    second = dict(origin='"ORD"', dest='"LAX"', date="2008-01-07", time='"1400"')
+    run(raw_line(carrier='"BB"', arr="-2.00", **second), raw_line(origin='"SEA"', date="2008-01-07"))
+    key = "ATL ORD LAX 2008-01-05"
+    assert [p for p in published if p] == [[(key, -1.0)], [(key, -4.0)]]
+
+
+def test_a_fit_is_about_all_flights_so_far(spark, tmp_path):
+    folder = tmp_path / "in"
+    args = jobs.parser().parse_args(
+        ["popularity-fit", "--brokers", "none", "--topic", "t", "--out-topic", "o", "--checkpoint", str(tmp_path / "c")]
+    )
+    tails = []
+
+    def publish(answer, entity, metric):
+        return lambda batch, batch_id: tails.append(answer(batch).first().n_tail)
+
+    for codes in (["AAA", "BBB", "BBB"], ["CCC", "CCC", "CCC", "CCC"]):
+        rows = [raw_line(origin=f'"{c}"', dest='"ZZZ"') for c in codes]
+        lines(spark, *rows).coalesce(1).write.mode("append").text(str(folder))
+        writer = jobs.stream(spark, args, sources.text_stream(spark, str(folder)), publish)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    assert len(tails) == 2 and tails[1] >= tails[0]
+
+
+def test_line_counts_of_a_stream_are_in_its_progress(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    lines(spark, raw_line(year="YEAR"), raw_line(), raw_line(fields=30)).coalesce(1).write.text(folder)
+    stream = sources.parse_flights(sources.text_stream(spark, folder), line_counts="flight_lines")
+    query = (
+        stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    seen = [p["observedMetrics"]["flight_lines"] for p in query.recentProgress if p["observedMetrics"]]
+    assert [r.asDict() for r in seen] == [{"lines": 3, "short": 1, "headers": 1}]
+
+
 def test_trips_stream_equals_the_batch_on_closed_days(spark, feed):
     batches = [some_flights(60, [2 * i + 1, 2 * i + 2], seed=i) for i in range(4)]
     stream = feed(*batches)
@@ -115,6 +197,43 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     assert [(r.carrier, r.mean_delay, r.batch_id) for r in rows] == [("AA", 2.0, 1)]
 
 
+def test_a_store_of_another_run_is_refused(spark, tmp_path):
+    path = str(tmp_path / "store")
+    write = streaming.upsert_results(path, ["carrier"], questions.carriers)
+    for i in range(3):
+        write(table(spark, flight(arr=float(i))), i)
+    with pytest.raises(ValueError, match="another run"):
+        write(table(spark, flight(arr=9.0)), 0)
+    assert [r.mean_delay for r in streaming.read_latest(spark, path).collect()] == [2.0]
+
+
+def test_a_reset_after_one_batch_replaces_it(spark, tmp_path):
+    path = str(tmp_path / "store")
+    write = streaming.upsert_results(path, ["carrier"], questions.carriers)
+    write(table(spark, flight(carrier="AA")), 0)
+    write(table(spark, flight(carrier="BB")), 0)
+    assert [r.carrier for r in streaming.read_latest(spark, path).collect()] == ["BB"]
+
+
+def test_a_store_keeps_a_bounded_number_of_parts(spark, tmp_path):
+    path = tmp_path / "store"
+    write = streaming.upsert_results(str(path), ["carrier"], questions.carriers)
+    for i in range(25):
+        write(table(spark, flight(carrier=f"{i % 13:02}", arr=float(i))), i)
+        if i == 12:  # runs again
+            write(table(spark, flight(carrier=f"{i % 13:02}", arr=float(i))), i)
+    rows = streaming.read_latest(spark, str(path)).collect()
+    assert {r.carrier: r.mean_delay for r in rows} == {
+        f"{c:02}": float(max(i for i in range(25) if i % 13 == c)) for c in range(13)
+    }
+    assert len(list(path.glob("part-*"))) <= 2 * streaming.MAX_PARTS
+
+
+def test_an_empty_store_says_so(spark, tmp_path):
+    with pytest.raises(ValueError, match="no results"):
+        streaming.read_latest(spark, str(tmp_path / "none"))
+
+
 def test_a_restarted_stream_goes_on_where_it_stopped(spark, tmp_path):
     folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
 
@@ -141,6 +260,14 @@ def test_a_restarted_stream_goes_on_where_it_stopped(spark, tmp_path):
 def test_an_empty_stream_has_an_empty_result(spark, feed):
     result = streaming.drain_latest(streaming.running_popularity(feed([])))
     assert result.collect() == []
+    ranked = streaming.drain_ranked(feed_nothing(spark, feed), questions.popular_airports)
+    assert ranked.collect() == [] and ranked.columns == ["airport", "n", "batch_id"]
+    kept = streaming.drain_upserted(feed_nothing(spark, feed), ["carrier"], questions.carriers)
+    assert kept.collect() == [] and kept.columns == ["carrier", "mean_delay", "batch_id"]
+
+
+def feed_nothing(spark, feed):
+    return sources.file_stream(spark, f"{spark.conf.get('spark.checkpoint.dir')}/no[p]e", FLIGHT)
 
 
 def test_kafka_without_its_connector_says_so(spark):
