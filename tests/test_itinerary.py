@@ -38,6 +38,21 @@ def test_best_flight_per_half_day_with_ties(spark):
     assert sorted((r.half_day, r.flight_num) for r in best) == [("AM", "1"), ("PM", "4")]
 
 
+def test_flights_are_sorted_once(spark):
+    """One exchange, and the only sort lies behind it."""
+    plan = itinerary.best_flights(table(spark, flight()))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+    assert plan.index("Sort [") < plan.index("Exchange")
+
+
+def test_a_busy_key_can_be_split(spark):
+    rows = [flight(num=str(i), arr=float(i * 7 % 101), date=f"2008-01-{5 if i % 3 else 6:02}") for i in range(300)]
+    known = itinerary.candidates(table(spark, *rows))
+    whole = itinerary.best_per(known, ("origin", "flight_date")).collect()
+    split = itinerary.best_per(known, ("origin", "flight_date"), spread=5).collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, split)) and len(whole) == 2
+
+
 def test_a_cancelled_flight_wins_only_on_request(spark):
     flights = table(spark, flight(num="1", arr=None), flight(num="2", arr=3.0))
 
