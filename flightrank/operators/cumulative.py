@@ -14,16 +14,19 @@ def bucket_of(value: Column, cuts: Column) -> Column:
 
 
 def sums_from_top(
-    table: DataFrame, value: str, parts: Sequence[str], buckets: int = 256
+    table: DataFrame, value: str, parts: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
     """Add ``bucket`` and, for each of ``parts``, ``from_<part>``: its sum over all rows
-    whose ``value`` is at least this row's.
+    whose ``value`` is at least this row's, and ``total_<part>``, over all rows.
 
     ``table`` has one row per value. A window without a partition would sort
     all of it in one task. Here quantiles cut the values into buckets of like
     size, each bucket sums its own rows, and the totals of the higher buckets
-    (at most ``buckets`` rows in all) are added.
+    (at most ``buckets`` rows in all) are added. By default there are some for
+    each shuffle partition, which the size of the data decides.
     """
+    if buckets is None:
+        buckets = max(256, 4 * int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / buckets for i in range(1, buckets)]
     cuts = table.agg(F.percentile_approx(value, shares, 10 * buckets)).scalar()
     cut = table.withColumn("cuts", cuts)
@@ -38,6 +41,7 @@ def sums_from_top(
             F.coalesce(F.sum(f"all_{p}").over(higher), F.lit(0)).alias(f"above_{p}")
             for p in parts
         ],
+        *[F.sum(f"all_{p}").over(Window.partitionBy()).alias(f"total_{p}") for p in parts],
     )
 
     inside = (
@@ -51,4 +55,5 @@ def sums_from_top(
         *table.columns,
         "bucket",
         *[(F.col(f"own_{p}") + F.col(f"above_{p}")).alias(f"from_{p}") for p in parts],
+        *[f"total_{p}" for p in parts],
     )

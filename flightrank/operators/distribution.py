@@ -38,8 +38,8 @@ def value_counts(samples: DataFrame, column: str) -> DataFrame:
 def ccdf(samples: DataFrame, column: str) -> DataFrame:
     """P(X >= x) for every distinct value x."""
     values = written_once(value_counts(samples, column), "value-counts")
-    total = values.agg(F.sum("n").cast("double")).scalar()
-    return sums_from_top(values, "x", ["n"]).select("x", "n", (F.col("from_n") / total).alias("p_ge"))
+    share = F.col("from_n") / F.col("total_n").cast("double")
+    return sums_from_top(values, "x", ["n"]).select("x", "n", share.alias("p_ge"))
 
 
 def ln_ratio(x: Column, reference: Column) -> Column:

@@ -163,6 +163,28 @@ def _latest_through_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.read_latest(spark, path).select("user_id", "event_id", "value")
 
 
+def _in_batches(
+    plan: Callable[[DataFrame], DataFrame], keys: list[str], transform: Callable[[DataFrame], DataFrame] | None, mode: str
+) -> Query:
+    """A stream that stops and goes on again for every eight days of events, upserted by key."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = shared_folder(spark, "feed")
+        events = table(spark, sf_dir, "events")
+        write = streaming.upsert_results(f"{folder}/store", keys, transform)
+        for i in range(4):
+            part = events.filter(F.floor((F.dayofmonth("ts") - 1) / 8) == i)
+            part.write.mode("append").parquet(f"{folder}/events")
+            flown = event_flights(sources.file_stream(spark, f"{folder}/events", events.schema))
+            writer = plan(flown).writeStream.outputMode(mode).foreachBatch(write)
+            writer = writer.option("checkpointLocation", f"{folder}/checkpoint")
+            writer.trigger(availableNow=True).start().awaitTermination()
+        # Batches without data, which only move the watermark, count as well.
+        return _dates_as_text(streaming.read_latest(spark, f"{folder}/store").drop("batch_id"))
+
+    return run
+
+
 def _quoted_pair(first: str, second: str) -> Column:
     return F.concat(F.lit('"'), F.col(first), F.lit(" "), F.col(second), F.lit('"'))
 
@@ -371,6 +393,10 @@ QUERIES: dict[str, Query] = {
         lambda f: streaming.drain_ranked(f, questions.carriers_on_route)
     ),
     "stream_two_leg": _on_stream(streaming.drain_trips),
+    "stream_latest_in_batches": _in_batches(lambda f: f, ["carrier"], questions.carriers, "append"),
+    "stream_windows_in_batches": _in_batches(
+        lambda f: streaming.windowed_popularity(f, "1 hour", "1 hour"), ["window_start", "airport"], None, "update"
+    ),
     "stream_latest_results": _on_stream(
         lambda f: streaming.drain_upserted(f, ["carrier"], questions.carriers)
     ),

@@ -334,5 +334,17 @@ SELECT airport, n FROM counts ORDER BY n DESC, airport LIMIT 10"""),
     "stream_origin_dest": _per_batch(_top_all(EVENTS, "origin", "dest", "dep_delay")),
     "stream_route_carrier": _per_batch(_top_all(EVENTS, "origin, dest", "carrier", "arr_delay")),
     "stream_two_leg": _trips(EVENTS),
+    "stream_latest_in_batches": f"""{EVENTS}, parts AS (
+  SELECT *, CAST((day(flight_day) - 1) // 8 AS bigint) AS batch_id FROM flights WHERE arr_delay IS NOT NULL),
+means AS (SELECT batch_id, carrier, avg(arr_delay) AS mean_delay FROM parts GROUP BY batch_id, carrier),
+best AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY mean_delay, carrier) AS place FROM means)
+SELECT carrier, mean_delay FROM (
+  SELECT *, row_number() OVER (PARTITION BY carrier ORDER BY batch_id DESC) AS latest FROM best WHERE place <= 10)
+WHERE latest = 1""",
+    "stream_windows_in_batches": f"""{EVENTS}, ends AS (
+  SELECT date_trunc('hour', departed) AS h, origin AS airport FROM flights
+  UNION ALL SELECT date_trunc('hour', departed), dest FROM flights)
+SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS window_start, airport, count(*) AS n FROM ends
+GROUP BY h, airport""",
     "stream_latest_results": _per_batch(_top(EVENTS, "carrier", "arr_delay")),
 }

@@ -1,5 +1,11 @@
 """Every query against its SQL on the given tables."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from compare import connect, oracle_rows, spark_rows
 
@@ -32,3 +38,21 @@ def test_query_equals_sql(spark, db, name):
 def test_lognormal_fit_gives_one_row(spark):
     [row] = QUERIES["lognormal_fit"](spark, SF_DIR).collect()
     assert row.n_tail > 0 and 0 <= row.p_value <= 1
+
+
+def test_the_rest_works_without_the_training_data_package(tmp_path):
+    """A copy of the repository without ``llm`` and the pipeline still registers its own queries."""
+    root = Path(__file__).resolve().parents[1]
+    ignored = shutil.ignore_patterns("llm", ".git", "spark-warehouse", "__pycache__")
+    shutil.copytree(root / "flightrank", tmp_path / "flightrank", ignore=ignored)
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert run.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))], run.stderr
+
+
+def test_no_other_module_imports_the_training_data_package():
+    root = Path(__file__).resolve().parents[1] / "flightrank"
+    outside = [p for p in root.rglob("*.py") if "llm" not in p.parts]
+    assert outside and not [p for p in outside if "flightrank.llm" in p.read_text()]
