@@ -6,8 +6,9 @@ rank. The count is the bytes less the merges; no identifiers are made. A piece
 of n bytes takes n log n steps, however long it is.
 
 A special string inside a text is one token. A text is cut before every space
-that a letter, digit or sign follows, since a piece always starts there, and the
-counts of the pieces seen so far are kept, a bounded number of them.
+that no other space follows, since a piece always starts there. Each different
+part of a batch is counted once, and the counts of parts and pieces seen lately
+are kept, a bounded number of them.
 
 Defined results: null is the empty text, of no bytes and no tokens; rows that
 repeat are each counted; an empty table gives an empty result.
@@ -21,22 +22,22 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flightrank.llm.parts import before_spaces, numbered_parts, sums
 from flightrank.llm.recent import Recent
 from flightrank.llm.shipping import ship
 
 LIMIT = 512
+TEXTS = 8192  # counted at once
 
 # Fixed value: how a byte-level vocabulary of this kind splits a text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_SPACE_BEFORE_SPACE = re.compile(r" \s| $")
-_CUT = re.compile(r" (?=\S)")
-
 
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in such a vocabulary's file.
@@ -48,37 +49,60 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def merges_made(piece: bytes, ranks: dict[tuple[bytes, bytes], int]) -> int:
+Ranks = dict[int, tuple[int, int]]
+
+
+def pair_key(left: int, right: int) -> int:
+    return left << 32 | right
+
+
+def merge_ranks(merges: list[tuple[bytes, bytes]]) -> Ranks:
+    """Of each pair of symbols its rank and what it becomes; the first 256 symbols are the bytes."""
+    symbols = {bytes([b]): b for b in range(256)}
+    for left, right in merges:
+        symbols.setdefault(left + right, len(symbols))
+    return {
+        pair_key(symbols[left], symbols[right]): (rank, symbols[left + right])
+        for rank, (left, right) in enumerate(merges)
+    }
+
+
+def merges_made(piece: bytes, ranks: Ranks) -> int:
     """How many merges byte-pair encoding makes in a piece."""
     size = len(piece)
-    parts: list[bytes | None] = [piece[i : i + 1] for i in range(size)]
+    parts = list(piece)
     after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-    rank_of = ranks.get
+    found = ranks.get
+    # An entry is rank * size + place, so the least is the lowest rank farthest left.
     heap = []
     for i in range(size - 1):
-        rank = rank_of((parts[i], parts[i + 1]))
-        if rank is not None:
-            heap.append((rank, i))
+        pair = found(parts[i] << 32 | parts[i + 1])
+        if pair is not None:
+            heap.append(pair[0] * size + i)
     heapq.heapify(heap)
     merges = 0
     while heap:
-        rank, i = heapq.heappop(heap)
+        rank, i = divmod(heapq.heappop(heap), size)
         j = after[i]
-        if parts[i] is None or j >= size or rank_of((parts[i], parts[j])) != rank:
+        if j >= size or parts[i] < 0:
+            continue
+        pair = found(parts[i] << 32 | parts[j])
+        if pair is None or pair[0] != rank:
             continue  # one of the two was merged meanwhile
         merges += 1
-        parts[i] += parts[j]
-        parts[j] = None
-        after[i] = after[j]
-        if after[i] < size:
-            before[after[i]] = i
-            rank = rank_of((parts[i], parts[after[i]]))
-            if rank is not None:
-                heapq.heappush(heap, (rank, i))
-        if before[i] >= 0:
-            rank = rank_of((parts[before[i]], parts[i]))
-            if rank is not None:
-                heapq.heappush(heap, (rank, before[i]))
+        merged = parts[i] = pair[1]
+        parts[j] = -1
+        j = after[i] = after[j]
+        if j < size:
+            before[j] = i
+            pair = found(merged << 32 | parts[j])
+            if pair is not None:
+                heapq.heappush(heap, pair[0] * size + i)
+        j = before[i]
+        if j >= 0:
+            pair = found(parts[j] << 32 | merged)
+            if pair is not None:
+                heapq.heappush(heap, pair[0] * size + j)
     return merges
 
 
@@ -94,34 +118,29 @@ class Counter:
             raise ValueError(f"{vocabulary}: not a plain byte-level vocabulary")
         letters = byte_letters()
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.ranks = {
-            tuple(bytes(letters[c] for c in side) for side in pair): rank
-            for rank, pair in enumerate(merges)
-        }
+        self.ranks = merge_ranks([tuple(bytes(letters[c] for c in side) for side in pair) for pair in merges])
         special = sorted((t["content"] for t in parts["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.cuts = not any(" " in s for s in special)
         self.split = regex.compile(SPLIT)
-        self.pieces = Recent(self._piece)
-        self.first = Recent(self._whole)
-        self.spaced = Recent(lambda rest: self._whole(f" {rest}"))
+        self.pieces = Recent(self._piece, 400_000)
+        self.known = Recent(self._part)
 
     def _piece(self, piece: str) -> int:
         data = piece.encode("utf-8", "replace")
         return len(data) - merges_made(data, self.ranks)
 
-    def _whole(self, text: str) -> int:
+    def _part(self, text: str) -> int:
         plain = self.special.split(text) if self.special else [text]
         known = self.pieces
-        return len(plain) - 1 + sum(known[p] for part in plain for p in self.split.findall(part))
+        return len(plain) - 1 + sum([known[p] for part in plain for p in self.split.findall(part)])
 
-    def count(self, text: str | None) -> int:
-        if not text:
-            return 0
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """The tokens of each text."""
         if not self.cuts:
-            return self._whole(text)
-        parts = _CUT.split(text) if _SPACE_BEFORE_SPACE.search(text) else text.split(" ")
-        return self.first[parts[0]] + sum(map(self.spaced.__getitem__, parts[1:]))
+            return np.array([self._part(t) for t in texts], np.int64)
+        different, codes, starts = numbered_parts(texts, before_spaces)
+        return sums(list(map(self.known.__getitem__, different)), codes, starts)
 
 
 @functools.lru_cache(maxsize=2)
@@ -138,13 +157,15 @@ def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(vocabulary).count
+        counts = counter(vocabulary).counts
         for batch in batches:
-            counts = [count(t.as_py()) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64())],
-                ["doc_id", "n_bytes", "n_tokens"],
-            )
+            for at in range(0, batch.num_rows, TEXTS):
+                rows = batch.slice(at, TEXTS)
+                found = counts(rows.column(2).fill_null("").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), rows.column(1), pa.array(found, pa.int64())],
+                    ["doc_id", "n_bytes", "n_tokens"],
+                )
 
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
     kind = docs.schema["doc_id"].dataType.simpleString()
