@@ -24,9 +24,11 @@ table gives no files and an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import array
 import functools
+import json
 import os
-import re
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,22 +41,31 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from flightrank.llm.parts import before_spaces, joined, numbered_parts, sums
 from flightrank.llm.shipping import ship
+from flightrank.llm.token_counts import byte_letters
 
 END_ID = 0
-KNOWN = 400_000
+KNOWN = 250_000
 KNOWN_LENGTH = 64
+TEXTS = 4096  # encoded at once
+SIGNS = ".,;:!?"
 
-_SPACE_BEFORE_SPACE = re.compile(r" \s| $")
-_CUT = re.compile(r" (?=\S)")
+
+def _is_word(part: str) -> bool:
+    """Whether a part is letters, after a space or not, which the vocabulary's split leaves whole.
+
+    Only scripts whose letters have been settled for long are looked at.
+    """
+    return (part[1:] if part[:1] == " " else part).isalpha() and max(part) < "\u0530"
 
 
 class Encoder:
     """Whole texts to ids with the tokenizers library.
 
     A piece of a text starts at every space that something else follows, so a text
-    may be cut there. The library encodes each such part once; the ids of short
-    parts are kept, a bounded number of them.
+    may be cut there, and a word ends before a sign. The library encodes each such
+    part once; the ids of short parts are kept, a bounded number of them.
     """
 
     def __init__(self, vocabulary: str):
@@ -66,30 +77,82 @@ class Encoder:
         self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
         special = self.library.get_added_tokens_decoder().values()
         self.cuts = not any(" " in t.content or t.lstrip or t.rstrip for t in special)
+        rules = json.loads(self.library.to_str())
+        split = rules["pre_tokenizer"] or {}
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex", True)
+        # Whether the library's model may be given a word itself, spelt as the file spells bytes.
+        self.plain = plain and not split.get("add_prefix_space") and not rules["normalizer"]
+        self.spelling = str.maketrans({chr(b): letter for letter, b in byte_letters().items()})
+        self.signs = dict(zip(SIGNS, self._bytes(list(SIGNS))))
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _parts(self, text: str) -> list[str]:
-        """What a text is cut into; a part after the first stands for a space and itself."""
-        if not self.cuts:
-            return [text]
-        return _CUT.split(text) if _SPACE_BEFORE_SPACE.search(text) else text.split(" ")
+    def _packed(self, ids: list[int]) -> bytes:
+        packed = array.array("H" if self.kind.itemsize == 2 else "I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _bytes(self, texts: list[str]) -> Iterator[bytes]:
         for found in self.library.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(found.ids, self.kind).tobytes()
+            yield self._packed(found.ids)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        tokenize, spelling = self.library.model.tokenize, self.spelling
+        for word in words:
+            spelt = word.encode().decode("latin-1").translate(spelling)
+            yield self._packed([token.id for token in tokenize(spelt)])
+
+    def _learn(self, parts: list[str]) -> None:
+        """Make the ids of all these parts known."""
         if len(self.known) > KNOWN:
-            self.known.clear()
-        known, long = self.known, {}
-        cut = [self._parts(t) for t in texts]
-        first = dict(zip(range(len(cut)), self._bytes([parts[0] for parts in cut])))
-        new = list({p for parts in cut for p in parts[1:]} - known.keys())
-        for part, found in zip(new, self._bytes([f" {p}" for p in new])):
-            (known if len(part) <= KNOWN_LENGTH else long)[part] = found
-        ids = known.__getitem__ if not long else lambda part: known.get(part) or long[part]
-        end = np.array([END_ID], self.kind).tobytes()
-        return [b"".join([first[i], *map(ids, parts[1:]), end]) for i, parts in enumerate(cut)]
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        signed, words, others = [], set(), []
+        for part in parts:
+            if part in known:
+                continue
+            found = older.get(part)
+            if found is not None:
+                known[part] = found
+            elif not self.plain:
+                others.append(part)
+            elif _is_word(part):
+                words.add(part)
+            elif part[-1:] in self.signs and _is_word(part[:-1]):
+                signed.append(part)
+                if part[:-1] not in known:
+                    words.add(part[:-1])
+            else:
+                others.append(part)
+        known.update(zip(others, self._bytes(others)))
+        known.update(zip(words, self._words(words)))
+        for part in signed:
+            known[part] = known[part[:-1]] + self.signs[part[-1]]
+
+    def _known(self, different: list[str]) -> list[bytes]:
+        """The ids of the different parts of some texts; those of long parts are not kept."""
+        self._learn(different)
+        found = list(map(self.known.__getitem__, different))
+        for part in different:
+            if len(part) > KNOWN_LENGTH:
+                self.known.pop(part, None)
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as bytes."""
+        if not self.cuts:
+            return list(self._bytes(texts))
+        different, codes, starts = numbered_parts(texts, before_spaces)
+        return joined(self._known(different), codes, starts)
+
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """How many ids each text has."""
+        if not self.cuts:
+            found = [len(ids) for ids in self._bytes(texts)]
+            return np.array(found, np.int64) // self.kind.itemsize
+        different, codes, starts = numbered_parts(texts, before_spaces)
+        return sums(list(map(len, self._known(different))), codes, starts) // self.kind.itemsize
 
 
 @functools.lru_cache(maxsize=2)
@@ -119,6 +182,25 @@ def _load(files: fs.FileSystem, path: str, kind: np.dtype) -> np.ndarray:
         return np.frombuffer(source.readall(), kind)
 
 
+def count_ids(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """``doc_id, n_tokens`` per row of ``docs``: how many ids the files hold of it, the end id
+    not counted."""
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = encoder(vocabulary).counts
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                rows = batch.slice(at, TEXTS)
+                found = counts(rows.column(1).fill_null("").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), pa.array(found, pa.int64())], ["doc_id", "n_tokens"]
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long")
+
+
 def write_token_files(docs: DataFrame, vocabulary: str, folder: str) -> DataFrame:
     """Write the files and return the manifest: ``part n_docs n_ids width base first_doc``."""
     spark = docs.sparkSession
@@ -133,12 +215,15 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str) -> DataFram
         has_id: list[bool] = []
         lengths: list[int] = []
 
+        end = np.array([END_ID], encode.kind).tobytes()
+
         def chunks() -> Iterator[bytes]:
             for batch in batches:
-                texts = batch.column(1).fill_null("").to_pylist()
-                for found in encode.encode(texts):
-                    lengths.append(len(found) // encode.kind.itemsize)
-                    yield found
+                for at in range(0, batch.num_rows, TEXTS):
+                    texts = batch.column(1).slice(at, TEXTS).fill_null("").to_pylist()
+                    for found in encode.encode(texts):
+                        lengths.append(len(found) // encode.kind.itemsize + 1)
+                        yield found + end
                 ids.extend(batch.column(0).fill_null(0).to_pylist())
                 has_id.extend(batch.column(0).is_valid().to_pylist())
 
