@@ -90,8 +90,12 @@ def licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs, licenses.train(docs))
 
 
+def count_ids(docs: DataFrame) -> DataFrame:
+    return token_files.count_ids(docs, VOCABULARY)
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_documents(spark, sf_dir), count_tokens)
+    return packing.pack(_documents(spark, sf_dir), count_ids)
 
 
 def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
