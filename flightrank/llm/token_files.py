@@ -46,7 +46,7 @@ from flightrank.llm.shipping import ship
 from flightrank.llm.token_counts import byte_letters
 
 END_ID = 0
-KNOWN = 250_000
+KNOWN = 300_000
 KNOWN_LENGTH = 64
 TEXTS = 4096  # encoded at once
 SIGNS = ".,;:!?"
@@ -57,7 +57,8 @@ def _is_word(part: str) -> bool:
 
     Only scripts whose letters have been settled for long are looked at.
     """
-    return (part[1:] if part[:1] == " " else part).isalpha() and max(part) < "\u0530"
+    letters = part[1:] if part[:1] == " " else part
+    return letters.isalpha() and (letters.isascii() or max(letters) < "\u0530")
 
 
 class Encoder:
