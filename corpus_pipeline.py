@@ -26,7 +26,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, queries.count_tokens)
+    return packing.pack(docs, queries.count_ids)
 
 
 STAGES = [
