@@ -78,11 +78,7 @@ def token_files_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _documents(spark, sf_dir)
-    encoded = sentencepiece_fst.encode_documents(docs, PIECES)
-    return sentencepiece_fst.decode_documents(encoded, PIECES).select(
-        "doc_id", "n_pieces", "ids_crc32", F.crc32("text").alias("decoded_crc32")
-    )
+    return sentencepiece_fst.round_trip(_documents(spark, sf_dir), PIECES)
 
 
 def licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
