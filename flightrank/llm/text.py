@@ -46,18 +46,17 @@ def numbered(
     that a cell's rows fit one task, whatever the size of the group. ``cells``:
     the rows of each group and cell, ``_rows``, if they can be had cheaper.
     """
+    place, base = (fresh_name(n, [*table.columns, name]) for n in ("_place", "_base"))
     inside = Window.partitionBy(group, cell).orderBy(*order)
     before = Window.partitionBy(group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     if cells is None:
         cells = table.groupBy(group, cell).agg(F.count(F.lit(1)).alias("_rows"))
-    bases = cells.select(
-        group, cell, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base")
-    )
-    counted = table.withColumn("_place", F.row_number().over(inside) - 1)
+    bases = cells.select(group, cell, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(base))
+    counted = table.withColumn(place, F.row_number().over(inside) - 1)
     return (
         counted.join(bases, [group, cell])
-        .withColumn(name, (F.col("_base") + F.col("_place")).cast("long"))
-        .drop("_base", "_place")
+        .withColumn(name, (F.col(base) + F.col(place)).cast("long"))
+        .drop(base, place)
     )
 
 
