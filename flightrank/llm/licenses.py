@@ -137,6 +137,7 @@ class Scanner:
     model: LogisticRegressionModel
     slope: float
     constant: float
+    shares: dict[str, float]  # of each word pair, its largest share of a template
 
 
 def _measured(texts: DataFrame, counts: CountVectorizerModel) -> DataFrame:
@@ -171,6 +172,13 @@ def train(docs: DataFrame) -> Scanner:
     counts = CountVectorizerModel.from_vocabulary(vocabulary, "_terms", "features")
     counts.setBinary(True)
 
+    # A template's word pairs, some ten each.
+    of_templates = own.select(F.array_distinct(pairs(F.col("w"))).alias("held")).collect()
+    shares: dict[str, float] = {}
+    for row in of_templates:
+        for pair in row.held:
+            shares[pair] = max(shares.get(pair, 0.0), 1 / len(row.held))
+
     ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
     chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     # At most SAMPLE_DOCS ids.
@@ -204,15 +212,22 @@ def train(docs: DataFrame) -> Scanner:
     ends = ends.select("label", array_to_vector(F.array("x")).alias("features"), "weight")
     calibrated = LogisticRegression(regParam=0.001, maxIter=20, weightCol="weight").fit(known_or_not.unionByName(ends))
     rows.unpersist()
-    return Scanner(families, counts, fitted, float(calibrated.coefficients[0]), float(calibrated.intercept))
+    return Scanner(families, counts, fitted, float(calibrated.coefficients[0]), float(calibrated.intercept), shares)
 
 
 def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     """A row per licence paragraph: ``doc_id paragraph family probability coverage``."""
-    measured = _measured(paragraphs(docs), scanner.counts)
-    # A paragraph without a term of the templates has the probability of the blank one.
-    possible = measured.filter(F.size(F.filter(vector_to_array("features"), lambda x: x > 0)) > 0)
-    judged = scanner.model.transform(possible).withColumn("p", vector_to_array("probability"))
+    # The one-element explode makes the words of a paragraph once, not for each use.
+    tokens = paragraphs(docs).select(
+        "doc_id", "paragraph", "text", F.explode(F.array(words(F.col("text")))).alias("tokens")
+    )
+    # The shares of a paragraph's pairs add up to no less than its coverage of any template.
+    # Most paragraphs cannot reach the least coverage that is reported, so they are not judged.
+    share = F.create_map(*[F.lit(x) for item in sorted(scanner.shares.items()) for x in item])
+    known = F.array_intersect(pairs(F.col("tokens")), F.map_keys(share))
+    at_most = F.aggregate(known, F.lit(0.0), lambda total, pair: total + F.element_at(share, pair))
+    possible = tokens.filter(at_most >= UNKNOWN_COVERAGE - 1e-9).drop("tokens")
+    judged = scanner.model.transform(_measured(possible, scanner.counts)).withColumn("p", vector_to_array("probability"))
     licence = 1 / (1 + F.exp(-(F.lit(scanner.slope) * _evidence(F.col("p")[0]) + scanner.constant)))
     likely = judged.select("doc_id", "paragraph", "p", "_pairs", licence.alias("probability"))
     likely = likely.filter(F.col("probability") >= THRESHOLD)
