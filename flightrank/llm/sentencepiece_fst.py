@@ -96,8 +96,8 @@ class Transducer:
         self.cuts = not any(pair[0] != SPACE and pair[1] == SPACE for pair in spanned)
         self.junctions: dict[tuple[str, str], bool] = {}
         self.whole = {name: True for name in normal if len(name) == 1}
-        self.segments = Recent(self._segment, 250_000)
-        self.parts = Recent(self._ids, 250_000)
+        self.segments = Recent(self._segment, 350_000)
+        self.parts = Recent(self._ids, 350_000)
 
     # Weights
 
