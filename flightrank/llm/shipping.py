@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
+import uuid
 import zipfile
 from pathlib import Path
 
 import flightrank
+from flightrank.session import shared_base
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
@@ -16,15 +18,21 @@ def ship(spark: SparkSession) -> None:
     """Send the package through ``addPyFile``, once per application.
 
     Functions are then sent by name, so what a worker has built (vocabularies,
-    known words) outlives a task.
+    known words) outlives a task. The archive lies in the shared folder and stays
+    there, for executors that join later.
     """
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
-    _shipped.add(context.applicationId)
     root = Path(flightrank.__file__).parent
-    archive = Path(tempfile.mkdtemp(prefix="flightrank-")) / "flightrank.zip"
-    with zipfile.ZipFile(archive, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
         for source in sorted(root.rglob("*.py")):
-            z.write(source, source.relative_to(root.parent))
-    context.addPyFile(str(archive))
+            archive.write(source, source.relative_to(root.parent))
+    path = f"{shared_base(spark)}/package-{uuid.uuid4().hex}/flightrank.zip"
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(context._jsc.hadoopConfiguration()).create(place)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
