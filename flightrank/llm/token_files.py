@@ -99,45 +99,51 @@ class Encoder:
             yield self._packed(found.ids)
 
     def _words(self, words: list[str]) -> Iterator[bytes]:
-        tokenize, spelling = self.library.model.tokenize, self.spelling
+        tokenize, spelling, space = self.library.model.tokenize, self.spelling, self.spelling[32]
         for word in words:
-            spelt = word.encode().decode("latin-1").translate(spelling)
+            if word.isascii() and word[0] == " ":
+                spelt = space + word[1:]
+            else:
+                spelt = word.encode().decode("latin-1").translate(spelling)
             yield self._packed([token.id for token in tokenize(spelt)])
 
     def _learn(self, parts: list[str]) -> None:
-        """Make the ids of all these parts known."""
+        """Make the ids of these parts known, which are not."""
         if len(self.known) > KNOWN:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        signed, words, others = [], set(), []
+        signed, words, others = [], [], []
         for part in parts:
-            if part in known:
-                continue
             found = older.get(part)
             if found is not None:
                 known[part] = found
             elif not self.plain:
                 others.append(part)
             elif _is_word(part):
-                words.add(part)
+                words.append(part)
             elif part[-1:] in self.signs and _is_word(part[:-1]):
                 signed.append(part)
-                if part[:-1] not in known:
-                    words.add(part[:-1])
             else:
                 others.append(part)
         known.update(zip(others, self._bytes(others)))
         known.update(zip(words, self._words(words)))
+        bare = list({part[:-1] for part in signed} - known.keys())
+        known.update(zip(bare, map(older.get, bare)))
+        new = [word for word in bare if known[word] is None]
+        known.update(zip(new, self._words(new)))
         for part in signed:
             known[part] = known[part[:-1]] + self.signs[part[-1]]
 
     def _known(self, different: list[str]) -> list[bytes]:
         """The ids of the different parts of some texts; those of long parts are not kept."""
-        self._learn(different)
-        found = list(map(self.known.__getitem__, different))
-        for part in different:
+        found = list(map(self.known.get, different))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        self._learn([different[i] for i in missing])
+        for i in missing:
+            part = different[i]
+            found[i] = self.known[part]
             if len(part) > KNOWN_LENGTH:
-                self.known.pop(part, None)
+                del self.known[part]
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
