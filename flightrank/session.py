@@ -33,7 +33,7 @@ def shared_base(spark: SparkSession) -> str:
     that read them were used, so ``clear_shared`` deletes them, not the queries.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return (base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate").rstrip("/")
+    return (base or f"{spark.conf.get('spark.sql.warehouse.dir')}/flightrank-intermediate").rstrip("/")
 
 
 _made: list[str] = []
