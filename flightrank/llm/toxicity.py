@@ -49,7 +49,8 @@ MAX_TOXIC = 20_000
 MAX_ORDINARY = 40_000
 ORDER = 6
 MIN_COUNT = 2
-MAX_STRINGS = 200_000
+MAX_STRINGS = 150_000
+KEEP = 150_000  # differences of words that a task keeps while scoring
 WINDOWS = (1, 3, 10)
 WORST = 5
 DISCOUNTS = (0.75, 2.0, 4.0)
@@ -76,12 +77,12 @@ class Models:
     times the same shared probability, so the difference is that of the shares.
     """
 
-    def __init__(self, strings: dict[str, float], contexts: dict[str, float]):
-        self.strings, self.contexts = strings, contexts
-        self.known = Recent(self.difference)
+    def __init__(self, strings: dict[str, float], contexts: dict[str, float], keep: int = 50_000):
+        self.strings, self.contexts, self.keep = strings, contexts, keep
+        self.known = Recent(self.difference, keep)
 
     def __getstate__(self):
-        return self.strings, self.contexts
+        return self.strings, self.contexts, self.keep
 
     def __setstate__(self, state):
         self.__init__(*state)
@@ -307,12 +308,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[Models, Cu
     curves = [fit_curve(x[:, i], toxic) for i in range(len(choices))]
     losses = [c.loss(x[:, i], toxic) for i, c in enumerate(curves)]
     best = int(np.argmin(losses))
+    sent.unpersist()
     return choices[best], curves[best]
 
 
 def with_scores(docs: DataFrame, models: Models, curve: Curve, name: str) -> DataFrame:
     """``docs`` with the score of each whole text in the column ``name``."""
     ship(docs.sparkSession)
+    models = Models(models.strings, models.contexts, KEEP)
     sent = docs.sparkSession.sparkContext.broadcast((models, curve))
     at = docs.columns.index("text")
 
