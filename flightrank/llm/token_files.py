@@ -69,7 +69,9 @@ class Encoder:
     part once; the ids of short parts are kept, a bounded number of them.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, keep: int = KNOWN, only_count: bool = False):
+        """``only_count``: keep how many ids a part has, not the ids."""
+        self.keep, self.only_count = keep, only_count
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -85,20 +87,22 @@ class Encoder:
         self.plain = plain and not split.get("add_prefix_space") and not rules["normalizer"]
         self.spelling = str.maketrans({chr(b): letter for letter, b in byte_letters().items()})
         self.signs = dict(zip(SIGNS, self._bytes(list(SIGNS))))
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known: dict[str, bytes | int] = {}
+        self.older: dict[str, bytes | int] = {}
 
-    def _packed(self, ids: list[int]) -> bytes:
+    def _packed(self, ids: list[int]) -> bytes | int:
+        if self.only_count:
+            return len(ids)
         packed = array.array("H" if self.kind.itemsize == 2 else "I", ids)
         if sys.byteorder == "big":
             packed.byteswap()
         return packed.tobytes()
 
-    def _bytes(self, texts: list[str]) -> Iterator[bytes]:
+    def _bytes(self, texts: list[str]) -> Iterator[bytes | int]:
         for found in self.library.encode_batch_fast(texts, add_special_tokens=False):
             yield self._packed(found.ids)
 
-    def _words(self, words: list[str]) -> Iterator[bytes]:
+    def _words(self, words: list[str]) -> Iterator[bytes | int]:
         tokenize, spelling, space = self.library.model.tokenize, self.spelling, self.spelling[32]
         for word in words:
             if word.isascii() and word[0] == " ":
@@ -109,7 +113,7 @@ class Encoder:
 
     def _learn(self, parts: list[str]) -> None:
         """Make the ids of these parts known, which are not."""
-        if len(self.known) > KNOWN:
+        if len(self.known) > self.keep:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
         signed, words, others = [], [], []
@@ -134,7 +138,7 @@ class Encoder:
         for part in signed:
             known[part] = known[part[:-1]] + self.signs[part[-1]]
 
-    def _known(self, different: list[str]) -> list[bytes]:
+    def _known(self, different: list[str]) -> list[bytes | int]:
         """The ids of the different parts of some texts; those of long parts are not kept."""
         found = list(map(self.known.get, different))
         missing = [i for i, ids in enumerate(found) if ids is None]
@@ -154,12 +158,11 @@ class Encoder:
         return joined(self._known(different), codes, starts)
 
     def counts(self, texts: list[str]) -> np.ndarray:
-        """How many ids each text has."""
+        """How many ids each text has, for ``only_count``."""
         if not self.cuts:
-            found = [len(ids) for ids in self._bytes(texts)]
-            return np.array(found, np.int64) // self.kind.itemsize
+            return np.array(list(self._bytes(texts)), np.int64)
         different, codes, starts = numbered_parts(texts, before_spaces)
-        return sums(list(map(len, self._known(different))), codes, starts) // self.kind.itemsize
+        return sums(self._known(different), codes, starts)
 
 
 @functools.lru_cache(maxsize=2)
@@ -167,6 +170,12 @@ def encoder(vocabulary: str) -> Encoder:
     return Encoder(vocabulary)
 
 
+@functools.lru_cache(maxsize=1)
+def id_counter(vocabulary: str) -> Encoder:
+    """Smaller than an encoder: counting shares its workers with other stages."""
+    return Encoder(vocabulary, KNOWN // 2, only_count=True)
+
+
 def _opened(folder: str) -> tuple[fs.FileSystem, str]:
     place = urlparse(folder)
     if place.scheme in ("", "file"):
@@ -195,10 +204,10 @@ def count_ids(docs: DataFrame, vocabulary: str) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = encoder(vocabulary).counts
+        counts = id_counter(vocabulary).counts
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                rows = batch.slice(at, TEXTS)
+            for at in range(0, batch.num_rows, TEXTS // 2):
+                rows = batch.slice(at, TEXTS // 2)
                 found = counts(rows.column(1).fill_null("").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array(found, pa.int64())], ["doc_id", "n_tokens"]
