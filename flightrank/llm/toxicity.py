@@ -15,9 +15,9 @@ those rows choose among ``DISCOUNTS``.
 
 The models are fitted on a bounded sample of labelled rows: the ``MAX_TOXIC``
 and ``MAX_ORDINARY`` first by a hash of the id. A word counts once per text.
-Strings of letters counted fewer than ``MIN_COUNT`` times are rare, and the
-``MAX_STRINGS`` most frequent are kept, which bounds the broadcast. Scoring
-reads every whole text.
+Strings of letters counted fewer than ``MIN_COUNT`` times are rare; all others are
+kept, as sorted 64-bit hashes with a number each, so 16 bytes a string are sent and
+the bounded sample bounds the broadcast. Scoring reads every whole text.
 
 Defined results: null and empty texts, and texts without a letter, have
 differences of zero and get the score of such a text; ids without a label are
@@ -32,7 +32,7 @@ import heapq
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,8 +49,9 @@ MAX_TOXIC = 20_000
 MAX_ORDINARY = 40_000
 ORDER = 6
 MIN_COUNT = 2
-MAX_STRINGS = 150_000
 KEEP = 150_000  # differences of words that a task keeps while scoring
+GROUP = 1 << 18  # letters of the texts whose new words are looked up together
+LOOK_UP = 20_000  # words looked up together
 WINDOWS = (1, 3, 10)
 WORST = 5
 DISCOUNTS = (0.75, 2.0, 4.0)
@@ -70,6 +71,48 @@ def strings_of(word: str) -> list[str]:
     return [marked[max(0, i - ORDER + 1) : i + 1] for i in range(1, len(marked))]
 
 
+def _hashes(words: list[str], base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all ``strings_of`` the words, in order, the hashes of each and of each without its
+    last letter; and where the words start in both.
+
+    A string's hash is the polynomial of its letters in ``base``, modulo 2**64.
+    """
+    marked = "".join(f"{_START}{w}{_END}" for w in words)
+    letters = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    starts = np.cumsum(sizes) - sizes
+    place = np.arange(len(letters)) - np.repeat(starts, sizes)
+    context, power = np.zeros(len(letters), np.uint64), 1
+    for k in range(1, min(ORDER, len(letters))):
+        context[k:] += np.where(place[k:] >= k, letters[:-k] * np.uint64(power), np.uint64(0))
+        power = power * base % (1 << 64)
+    string = letters + context * np.uint64(base)
+    inside = place > 0
+    return string[inside], context[inside], starts - np.arange(len(words))
+
+
+def _hash(string: str, base: int) -> int:
+    found = 0
+    for letter in string:
+        found = (found * base + ord(letter)) % (1 << 64)
+    return found
+
+
+class Table:
+    """A number for each string, by sorted hashes."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+
+    def get(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the wanted hashes, 0 for others, and which are there."""
+        if not len(self.keys):
+            return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        there = self.keys[at] == wanted
+        return np.where(there, self.values[at], 0.0), there
+
+
 class Models:
     """What the two models differ by.
 
@@ -77,28 +120,50 @@ class Models:
     times the same shared probability, so the difference is that of the shares.
     """
 
-    def __init__(self, strings: dict[str, float], contexts: dict[str, float], keep: int = 50_000):
-        self.strings, self.contexts, self.keep = strings, contexts, keep
-        self.known = Recent(self.difference, keep)
+    def __init__(self, strings: Table, contexts: Table, base: int, keep: int = 50_000):
+        self.strings, self.contexts, self.base, self.keep = strings, contexts, base, keep
+        self.known, self.fresh = Recent(self.difference, keep), {}
 
     def __getstate__(self):
-        return self.strings, self.contexts, self.keep
+        return self.strings, self.contexts, self.base, self.keep
 
     def __setstate__(self, state):
         self.__init__(*state)
 
+    def differences(self, words: list[str]) -> list[float]:
+        """Toxic minus ordinary log-likelihood of each word."""
+        string, context, starts = _hashes(words, self.base)
+        found, there = self.strings.get(string)
+        left = np.flatnonzero(~there)
+        found[left] = self.contexts.get(context[left])[0]
+        return np.add.reduceat(found, starts).tolist()
+
     def difference(self, word: str) -> float:
-        """Toxic minus ordinary log-likelihood of a word."""
-        strings, contexts = self.strings, self.contexts
-        found = 0.0
-        for s in strings_of(word):
-            own = strings.get(s)
-            found += contexts.get(s[:-1], 0.0) if own is None else own
-        return found
-
-    def features(self, text: str | None) -> list[float]:
+        own = self.fresh.get(word)
+        return self.differences([word])[0] if own is None else own
+
+    def features(self, texts: Iterable[str | None]) -> Iterator[list[float]]:
+        """``_features`` of each text; the new words of some texts are looked up together."""
+        group, letters = [], 0
+        for text in texts:
+            group.append(words_of(text))
+            letters += len(text or "")
+            if letters >= GROUP:
+                yield from self._of_group(group)
+                group, letters = [], 0
+        yield from self._of_group(group)
+
+    def _of_group(self, group: list[list[str]]) -> Iterator[list[float]]:
+        known = self.known
+        new = [w for w in set().union(*group) if w not in known and w not in known.older]
+        for at in range(0, len(new), LOOK_UP):
+            part = new[at : at + LOOK_UP]
+            self.fresh.update(zip(part, self.differences(part)))
+        yield from map(self._features, group)
+        self.fresh.clear()
+
+    def _features(self, words: list[str]) -> list[float]:
         """Length-normalised differences: of the whole text, and of its worst stretches."""
-        words = words_of(text)
         if not words:
             return [0.0] * FEATURES
         each = np.fromiter(map(self.known.__getitem__, words), float, len(words))
@@ -159,7 +224,8 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_models(sample: DataFrame) -> list[Models]:
     """Models for each of ``DISCOUNTS``.
 
-    Strings are counted by Spark; the driver gets at most ``MAX_STRINGS`` of them.
+    Strings are counted by Spark; the driver gets those that reach ``MIN_COUNT``, some
+    25 bytes each.
     """
     words = (
         sample.filter("fit")
@@ -173,12 +239,10 @@ def fit_models(sample: DataFrame) -> list[Models]:
         .groupBy("string")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         .filter(F.col("n0") + F.col("n1") >= MIN_COUNT)
-        .orderBy(F.desc(F.col("n0") + F.col("n1")), "string")
-        .limit(MAX_STRINGS)
     )
-    kept = strings.toPandas()
-    strings, counts = kept["string"].tolist(), kept[["n0", "n1"]].to_numpy(float)
-    return [_models(strings, counts, d) for d in DISCOUNTS]
+    kept = strings.toArrow().sort_by("string")
+    counts = np.column_stack([kept[n].to_numpy().astype(float) for n in ("n0", "n1")])
+    return _models(kept["string"].to_pylist(), counts, DISCOUNTS)
 
 
 def _discount(counts: list[float]) -> float:
@@ -204,19 +268,26 @@ def _shared(strings: list[str]) -> dict[str, float]:
     """The shared model below the strings, of both classes: counts of distinct letters
     before a string."""
     floor = 1 / (len({s[-1] for s in strings}) + 1)
-    ends = {s[k:] for s in strings for k in range(len(s))}
-    kinds: dict[int, dict[str, float]] = defaultdict(lambda: defaultdict(float))
-    for s in ends:
-        if len(s) > 1:
-            kinds[len(s) - 1][s[1:]] += 1
     lower: dict[str, float] = {}
-    for length in sorted(kinds):
-        lower |= _interpolated(kinds[length], lower, floor)
+    for length in range(1, ORDER):
+        # One length at a time, which holds the fewest strings at once.
+        kinds: dict[str, float] = defaultdict(float)
+        for end in {s[-length - 1 :] for s in strings if len(s) > length}:
+            kinds[end[1:]] += 1
+        lower |= _interpolated(kinds, lower, floor)
     return lower
 
 
-def _models(strings: list[str], counts: np.ndarray, d: float) -> Models:
-    """Both classes' models with the discount ``d``, over the shared one of the same strings.
+def _hashed(*tables: list[str]) -> tuple[int, *tuple[np.ndarray, ...]]:
+    """A base by which no two strings of a table have one hash, and the tables' hashes."""
+    for base in range(0x9E3779B97F4A7C15, 1 << 64, 2):
+        hashes = [np.fromiter((_hash(s, base) for s in t), np.uint64, len(t)) for t in tables]
+        if all(len(np.unique(h)) == len(t) for h, t in zip(hashes, tables)):
+            return base, *hashes
+
+
+def _models(strings: list[str], counts: np.ndarray, discounts: tuple[float, ...]) -> list[Models]:
+    """Both classes' models for each discount, over the shared one of the same strings.
 
     Ordinary counts are scaled to the size of the toxic ones. Otherwise the class
     with fewer texts would leave more to the backoff everywhere, and any new word
@@ -225,25 +296,28 @@ def _models(strings: list[str], counts: np.ndarray, d: float) -> Models:
     size = counts.sum(0)
     counts = counts * (size.min() / np.maximum(size, 1))
     shared = _shared(strings)
-    total, left = defaultdict(lambda: [0.0, 0.0]), defaultdict(lambda: [0.0, 0.0])
-    for s, own in zip(strings, counts):
-        for c in (0, 1):
-            total[s[:-1]][c] += own[c]
-            left[s[:-1]][c] += min(own[c], d)
-
-    def backoff(h: str, c: int) -> float:
-        return left[h][c] / total[h][c] if total[h][c] else 1.0
-
-    contexts = {h: math.log(backoff(h, 1)) - math.log(backoff(h, 0)) for h in list(total)}
-    differ = {}
-    for s, own in zip(strings, counts):
-        h = s[:-1]
-        p = [
-            (max(own[c] - d, 0) / total[h][c] if total[h][c] else 0) + backoff(h, c) * shared[s[1:]]
-            for c in (0, 1)
-        ]
-        differ[s] = math.log(p[1]) - math.log(p[0])
-    return Models(differ, contexts)
+    below = np.fromiter((shared[s[1:]] for s in strings), float, len(strings))
+    del shared
+    number: dict[str, int] = {}
+    of = np.fromiter((number.setdefault(s[:-1], len(number)) for s in strings), np.int64, len(strings))
+    base, string_hashes, context_hashes = _hashed(strings, list(number))
+    by_string, by_context = np.argsort(string_hashes), np.argsort(context_hashes)
+    string_keys, context_keys = string_hashes[by_string], context_hashes[by_context]
+
+    def summed(each: np.ndarray) -> np.ndarray:
+        """By context and class."""
+        return np.column_stack([np.bincount(of, each[:, c], len(number)) for c in (0, 1)])
+
+    total, made = summed(counts), []
+    some = np.where(total > 0, total, 1.0)
+    for d in discounts:
+        backoff = np.where(total > 0, summed(np.minimum(counts, d)) / some, 1.0)
+        contexts = np.log(backoff[:, 1]) - np.log(backoff[:, 0])
+        p = np.maximum(counts - d, 0) / some[of] + backoff[of] * below[:, None]
+        differ = np.log(p[:, 1]) - np.log(p[:, 0])
+        # The keys are the same arrays in each, and sent once.
+        made.append(Models(Table(string_keys, differ[by_string]), Table(context_keys, contexts[by_context]), base))
+    return made
 
 
 @dataclass
@@ -294,7 +368,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[Models, Cu
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            found = [[x for m in sent.value for x in m.features(t)] for t in texts]
+            found = [sum(own, []) for own in zip(*(m.features(texts) for m in sent.value))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["toxic", "x"]
             )
@@ -315,14 +389,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[Models, Cu
 def with_scores(docs: DataFrame, models: Models, curve: Curve, name: str) -> DataFrame:
     """``docs`` with the score of each whole text in the column ``name``."""
     ship(docs.sparkSession)
-    models = Models(models.strings, models.contexts, KEEP)
+    models = Models(models.strings, models.contexts, models.base, KEEP)
     sent = docs.sparkSession.sparkContext.broadcast((models, curve))
     at = docs.columns.index("text")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models, curve = sent.value
         for batch in batches:
-            x = np.array([models.features(t.as_py()) for t in batch.column(at)], float)
+            x = np.array(list(models.features(t.as_py() for t in batch.column(at))), float)
             scores = curve.scores(x.reshape(batch.num_rows, FEATURES))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, name]

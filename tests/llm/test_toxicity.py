@@ -102,3 +102,13 @@ def test_strings_are_anchored_at_the_start_of_a_word():
 def test_held_out_of_a_missing_id(spark):
     row = spark.range(1).select(toxicity.held_out(F.lit(None).cast("long")).alias("h")).first()
     assert row.h is None
+
+
+def test_rare_toxic_strings_stay_among_many_frequent_ordinary_ones(spark):
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxy"
+    # Some 200,000 strings of count 3, before the toxic word's of count 2.
+    ordinary = " ".join("".join(rng.choices(letters, k=8)) for _ in range(40_000))
+    rows = [(0, True, ordinary)] * 3 + [(1, True, "zkrzvelz")] * 2
+    sample = spark.createDataFrame(rows, "toxic int, fit boolean, text string")
+    assert toxicity.fit_models(sample)[0].difference("zkrzvelz") > 1
