@@ -22,7 +22,7 @@ the bounded sample bounds the broadcast. Scoring reads every whole text.
 Defined results: null and empty texts, and texts without a letter, have
 differences of zero and get the score of such a text; ids without a label are
 only scored; a repeated label counts as toxic if one of its rows says so; rows
-that repeat are each scored; without labels of both classes every score is the
+that repeat are each scored, but of an id's rows one is learnt from; without labels of both classes every score is the
 share of toxic labels, or about 0 without any; an empty table gives an empty result.
 """
 
@@ -195,7 +195,11 @@ def sampled(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
         "doc_id", "toxic", (F.pmod("place", F.lit(5)) != 0).alias("fit")
     )
     # At most MAX_TOXIC + MAX_ORDINARY rows of three short columns.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # Of rows that repeat an id, one with a text, the first by a hash of it. Each task reduces
+    # its own rows before the shuffle, so an id with many rows sends one a task.
+    first = F.min(F.struct(F.col("text").isNull(), F.xxhash64("text"), "text"))["text"]
+    return found.groupBy("doc_id", "toxic", "fit").agg(first.alias("text"))
 
 
 def _words_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

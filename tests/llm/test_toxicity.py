@@ -112,3 +112,18 @@ def test_rare_toxic_strings_stay_among_many_frequent_ordinary_ones(spark):
     rows = [(0, True, ordinary)] * 3 + [(1, True, "zkrzvelz")] * 2
     sample = spark.createDataFrame(rows, "toxic int, fit boolean, text string")
     assert toxicity.fit_models(sample)[0].difference("zkrzvelz") > 1
+
+
+def test_the_sample_has_one_row_per_id(spark, docs):
+    rows, labels = corpus(60)
+    table = spark.createDataFrame(labels, LABELS)
+    repeated = rows + [(0, text) for _, text in rows] + [(0, None)] * 20
+    for partitions in (1, 5):
+        own = docs(*repeated, partitions=partitions)
+        sample = toxicity.sampled(own, table, F.lit(True)).collect()
+        assert sorted(r.doc_id for r in sample) == [i for i, _ in rows]
+        assert {r.doc_id: r.toxic for r in sample} == {i: t for i, _, t in labels}
+        texts = {r.doc_id: r.text for r in sample}
+        assert {i: t for i, t in texts.items() if i} == dict(rows[1:])
+        kept = texts[0] if partitions == 1 else kept
+        assert kept is not None and texts[0] == kept
