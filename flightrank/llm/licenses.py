@@ -1,6 +1,8 @@
 """License scans with a trained paragraph classifier.
 
-A paragraph is a line of a text. Its features are the words and word pairs of
+A paragraph is a line of a text, or a block of lines without a blank one among
+them, joined, so that wrapped notices are judged as a whole; it has the number of
+its first line. A block is reported for what none of its lines tells alone. Its features are the words and word pairs of
 the templates that occur in it, any other word counts for nothing. A sparse
 multinomial logistic regression tells licence families and ordinary text apart.
 It is fitted on the templates, each also with one word left out, and on the
@@ -13,7 +15,8 @@ paragraph holds ``COVERAGE`` of the word pairs of one of its templates. A
 paragraph that is probably a licence, but confirms a template only by
 ``UNKNOWN_COVERAGE``, is ``unknown``.
 
-Scanning reads every paragraph of every whole text, without a shuffle; the model
+Scanning reads every paragraph of every whole text; only paragraphs that may be
+reported are shuffled, by block; the model
 has one weight per family and feature of the templates.
 
 Defined results: null and empty texts have no paragraphs with a licence; a
@@ -28,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SAMPLE_DOCS = 2000
@@ -104,6 +107,27 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return lines.filter(F.length(F.trim("text")) > 0)
 
 
+def blocks(docs: DataFrame) -> DataFrame:
+    """``doc_id, lines`` of every block of lines: ``at``, the line's place in the text, and
+    its ``tokens``. Lines without a letter or digit, such as empty ones of a comment, end a block.
+    """
+    lines = F.transform(
+        F.split("text", "\n"),
+        lambda x, i: F.when(x.rlike(r"[\p{L}\p{N}]"), F.concat(i.cast("string"), F.lit("\t"), x)).otherwise(F.lit("")),
+    )
+    each = docs.select("doc_id", F.explode(F.split(F.array_join(lines, "\n"), "\n\n+")).alias("block"))
+    numbered = F.filter(F.split("block", "\n"), lambda x: F.length(x) > 0)
+    made = F.transform(
+        numbered,
+        lambda x: F.struct(
+            F.substring_index(x, "\t", 1).cast("int").alias("at"),
+            words(F.regexp_replace(x, r"^\d+\t(?:\W*(?i:dnl|rem)\s)?", "")).alias("tokens"),
+        ),
+    )
+    # The one-element explode makes the words of a block once, not for each use.
+    return each.filter(F.length("block") > 0).select("doc_id", F.explode(F.array(made)).alias("lines"))
+
+
 def templates(spark: SparkSession) -> DataFrame:
     rows = [(family, text) for family, texts in TEMPLATES.items() for text in texts]
     return spark.createDataFrame(rows, "family string, text string")
@@ -217,26 +241,46 @@ def train(docs: DataFrame) -> Scanner:
 
 def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     """A row per licence paragraph: ``doc_id paragraph family probability coverage``."""
-    # The one-element explode makes the words of a paragraph once, not for each use.
-    tokens = paragraphs(docs).select(
-        "doc_id", "paragraph", "text", F.explode(F.array(words(F.col("text")))).alias("tokens")
-    )
+    each = blocks(docs).withColumn("tokens", F.flatten("lines.tokens"))
     # The shares of a paragraph's pairs add up to no less than its coverage of any template.
     # Most paragraphs cannot reach the least coverage that is reported, so they are not judged.
     share = F.create_map(*[F.lit(x) for item in sorted(scanner.shares.items()) for x in item])
     known = F.array_intersect(pairs(F.col("tokens")), F.map_keys(share))
     at_most = F.aggregate(known, F.lit(0.0), lambda total, pair: total + F.element_at(share, pair))
-    possible = tokens.filter(at_most >= UNKNOWN_COVERAGE - 1e-9).drop("tokens")
-    judged = scanner.model.transform(_measured(possible, scanner.counts)).withColumn("p", vector_to_array("probability"))
+    # A line holds no pair that its block does not hold.
+    possible = each.filter(at_most >= UNKNOWN_COVERAGE - 1e-9).withColumn("_block", F.monotonically_increasing_id())
+    own = F.transform("lines", lambda x: F.struct(x["at"].alias("at"), F.lit(True).alias("line"), x["tokens"].alias("tokens")))
+    whole = F.array(F.struct(F.col("lines")[0]["at"].alias("at"), F.lit(False).alias("line"), "tokens"))
+    units = F.when(F.size("lines") > 1, F.concat(own, whole)).otherwise(own)
+    units = possible.select("doc_id", "_block", F.explode(units).alias("unit"))
+    units = units.select("doc_id", "_block", F.col("unit.at").alias("paragraph"), "unit.line", F.col("unit.tokens").alias("tokens"))
+    units = units.filter(at_most >= UNKNOWN_COVERAGE - 1e-9).withColumn("text", F.array_join("tokens", " ")).drop("tokens")
+    judged = scanner.model.transform(_measured(units, scanner.counts)).withColumn("p", vector_to_array("probability"))
     licence = 1 / (1 + F.exp(-(F.lit(scanner.slope) * _evidence(F.col("p")[0]) + scanner.constant)))
-    likely = judged.select("doc_id", "paragraph", "p", "_pairs", licence.alias("probability"))
+    likely = judged.select("doc_id", "_block", "paragraph", "line", "p", "_pairs", licence.alias("probability"))
     likely = likely.filter(F.col("probability") >= THRESHOLD)
     best = F.array_position("p", F.array_max(F.slice("p", 2, len(scanner.families) - 1)))
-    named = likely.withColumn("guess", F.element_at(F.array(*[F.lit(f) for f in scanner.families]), best.cast("int")))
-    coverage = F.lit(0.0)
-    for family, wanted in _template_pairs().items():
-        own = [_coverage(F.col("_pairs"), w) for w in wanted]
-        coverage = F.when(F.col("guess") == family, F.greatest(*own) if len(own) > 1 else own[0]).otherwise(coverage)
-    covered = named.withColumn("coverage", coverage).filter(F.col("coverage") >= UNKNOWN_COVERAGE)
-    confirmed = F.when(F.col("coverage") >= COVERAGE, F.col("guess")).otherwise(F.lit(UNKNOWN))
-    return covered.select("doc_id", "paragraph", confirmed.alias("family"), "probability", "coverage")
+    guess = F.element_at(F.array(*[F.lit(f) for f in scanner.families]), best.cast("int"))
+    each = [
+        F.struct(F.lit(family).alias("family"), F.greatest(*own, F.lit(0.0)).alias("coverage"))
+        for family, own in (
+            (f, [_coverage(F.col("_pairs"), w) for w in wanted]) for f, wanted in _template_pairs().items()
+        )
+    ]
+    named = likely.select("*", guess.alias("guess"), F.array(*each).alias("each")).drop("p", "_pairs")
+    # A line has one family, the guess; a block may hold notices of several.
+    sure = F.filter("each", lambda x: (x["coverage"] >= COVERAGE) & (~F.col("line") | (x["family"] == F.col("guess"))))
+    guessed = F.filter("each", lambda x: (x["family"] == F.col("guess")) & (x["coverage"] >= UNKNOWN_COVERAGE))
+    vague = F.transform(guessed, lambda x: F.struct(F.lit(UNKNOWN).alias("family"), x["coverage"].alias("coverage")))
+    found = named.withColumn("found", F.explode(F.when(F.size(sure) > 0, sure).otherwise(vague)))
+    found = found.select("doc_id", "_block", "paragraph", "line", "found.*", "probability")
+    # Only what is reported meets by block: a block tells what its lines alone do not.
+    inside = Window.partitionBy("_block")
+    by_lines = F.collect_set(F.when(F.col("line"), F.col("family"))).over(inside)
+    by_block = F.max(~F.col("line") & (F.col("family") != UNKNOWN)).over(inside)
+    lines_know = F.max(F.col("line") & (F.col("family") != UNKNOWN)).over(inside)
+    told = found.select("*", by_lines.alias("_lines"), (by_block & ~lines_know).alias("_wrapped"), lines_know.alias("_known"))
+    of_line = F.col("line") & ~((F.col("family") == UNKNOWN) & F.col("_wrapped"))
+    new = ~F.array_contains("_lines", F.col("family")) & ~((F.col("family") == UNKNOWN) & F.col("_known"))
+    told = told.filter(of_line | (~F.col("line") & new))
+    return told.select("doc_id", "paragraph", "family", "probability", "coverage")

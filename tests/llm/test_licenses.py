@@ -77,3 +77,25 @@ def test_runs_without_python_on_the_executors(docs, corpus, capsys):
 def test_every_template_names_one_family():
     texts = [t for own in licenses.TEMPLATES.values() for t in own]
     assert len(texts) == len(set(texts))
+
+
+GPL = """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * It is distributed in the hope that it will be useful.
+ */"""
+MIT = """Some Title
+
+# Permission is hereby granted, free of charge, to any person obtaining
+# a copy of this software and associated documentation files (the
+# "Software"), to deal in the Software without restriction."""
+
+
+def test_wrapped_notices_are_found_as_blocks(docs, corpus):
+    rows, _ = corpus
+    table = docs(*rows, (6000, GPL), (6001, MIT))
+    found = licenses.scan(table, licenses.train(table)).filter("doc_id >= 6000").collect()
+    assert {(r.doc_id, r.paragraph, r.family) for r in found} == {(6000, 1, "gpl-3.0"), (6001, 2, "mit")}
