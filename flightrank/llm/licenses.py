@@ -11,8 +11,8 @@ hash of the id) that resemble no template. A fifth of the rows is kept from the
 fit and calibrates the probability that a paragraph is a licence at all.
 
 A family is reported if the calibrated probability reaches ``THRESHOLD`` and the
-paragraph holds ``COVERAGE`` of the word pairs of one of its templates. A
-paragraph that is probably a licence, but confirms a template only by
+paragraph holds ``COVERAGE`` of the word pairs of one of its templates and the
+family's ``TERMS``, by which it differs from its neighbours. A paragraph that is probably a licence, but confirms a template only by
 ``UNKNOWN_COVERAGE``, is ``unknown``.
 
 Scanning reads every paragraph of every whole text; only paragraphs that may be
@@ -89,6 +89,30 @@ TEMPLATES = {
 }
 
 
+# What a text must say, as its words joined by single spaces, to name a family: the terms
+# by which the family differs from its neighbours.
+_GPL = r"(?:(?<!lesser )(?<!library )(?<!affero )general public license(?: as published by the free software foundation)?"
+TERMS = {
+    "apache-2.0": r"apache(?: software)? license(?: version)? v?2(?:\.0)?|apache-2\.0",
+    "mit": r"mit license|to any person obtaining a copy of this software and associated documentation files"
+    r"|(?:license|spdx-license-identifier) mit",
+    "gpl-3.0": _GPL + r"(?: either)?(?: version)? (?:v ?)?3(?:\.0)?)|gpl-3\.0(?:-only|-or-later)?|gplv3",
+    "lgpl": r"(?:lesser|library) general public license|lgpl-(?:2\.0|2\.1|3\.0)(?:-only|-or-later)?|lgplv?[23]?",
+    "bsd": r"redistribution and use in source and binary forms with or without modification are permitted"
+    r"|bsd(?: [234]-clause)? license|bsd-[234]-clause",
+    "mpl-2.0": r"mozilla public license(?: version)?(?: v\.?)? ?v?2(?:\.0)?|mpl-2\.0",
+    "cc-by-nc-4.0": r"cc by-nc 4\.0|cc-by-nc-4\.0|attribution-noncommercial 4\.0",
+    "cc-by-4.0": r"cc by 4\.0|cc-by-4\.0|creative commons attribution 4\.0",
+    "cc0": r"cc0(?: 1\.0)?|cc0-1\.0",
+    "all-rights-reserved": r"all rights reserved",
+}
+
+
+def says(text: Column, family: str) -> Column:
+    """Whether the joined words hold a family's terms, as whole words."""
+    return F.concat(F.lit(" "), text, F.lit(" ")).rlike(f" (?:{TERMS[family]}) ")
+
+
 def words(text: Column) -> Column:
     """Lower-case words; a hyphen or point inside a word is part of it."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"), F.lit(0))
@@ -257,19 +281,20 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     units = units.filter(at_most >= UNKNOWN_COVERAGE - 1e-9).withColumn("text", F.array_join("tokens", " ")).drop("tokens")
     judged = scanner.model.transform(_measured(units, scanner.counts)).withColumn("p", vector_to_array("probability"))
     licence = 1 / (1 + F.exp(-(F.lit(scanner.slope) * _evidence(F.col("p")[0]) + scanner.constant)))
-    likely = judged.select("doc_id", "_block", "paragraph", "line", "p", "_pairs", licence.alias("probability"))
+    likely = judged.select("doc_id", "_block", "paragraph", "line", "text", "p", "_pairs", licence.alias("probability"))
     likely = likely.filter(F.col("probability") >= THRESHOLD)
     best = F.array_position("p", F.array_max(F.slice("p", 2, len(scanner.families) - 1)))
     guess = F.element_at(F.array(*[F.lit(f) for f in scanner.families]), best.cast("int"))
     each = [
-        F.struct(F.lit(family).alias("family"), F.greatest(*own, F.lit(0.0)).alias("coverage"))
+        F.struct(F.lit(family).alias("family"), F.greatest(*own, F.lit(0.0)).alias("coverage"), says(F.col("text"), family).alias("says"))
         for family, own in (
             (f, [_coverage(F.col("_pairs"), w) for w in wanted]) for f, wanted in _template_pairs().items()
         )
     ]
-    named = likely.select("*", guess.alias("guess"), F.array(*each).alias("each")).drop("p", "_pairs")
+    named = likely.select("*", guess.alias("guess"), F.array(*each).alias("each")).drop("p", "_pairs", "text")
     # A line has one family, the guess; a block may hold notices of several.
-    sure = F.filter("each", lambda x: (x["coverage"] >= COVERAGE) & (~F.col("line") | (x["family"] == F.col("guess"))))
+    sure = F.filter("each", lambda x: x["says"] & (x["coverage"] >= COVERAGE) & (~F.col("line") | (x["family"] == F.col("guess"))))
+    sure = F.transform(sure, lambda x: F.struct(x["family"].alias("family"), x["coverage"].alias("coverage")))
     guessed = F.filter("each", lambda x: (x["family"] == F.col("guess")) & (x["coverage"] >= UNKNOWN_COVERAGE))
     vague = F.transform(guessed, lambda x: F.struct(F.lit(UNKNOWN).alias("family"), x["coverage"].alias("coverage")))
     found = named.withColumn("found", F.explode(F.when(F.size(sure) > 0, sure).otherwise(vague)))

@@ -99,3 +99,28 @@ def test_wrapped_notices_are_found_as_blocks(docs, corpus):
     table = docs(*rows, (6000, GPL), (6001, MIT))
     found = licenses.scan(table, licenses.train(table)).filter("doc_id >= 6000").collect()
     assert {(r.doc_id, r.paragraph, r.family) for r in found} == {(6000, 1, "gpl-3.0"), (6001, 2, "mit")}
+
+
+NEIGHBOURS = [
+    "This work is licensed under the GNU General Public License, version 2.",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution 3.0 International License.",
+    "Licensed under the Apache License, Version 1.1.",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.",
+]
+
+
+def test_neighbouring_licences_are_unknown(docs, corpus):
+    rows, _ = corpus
+    table = docs(*rows, *((6000 + i, t) for i, t in enumerate(NEIGHBOURS)))
+    found = licenses.scan(table, licenses.train(table)).filter("doc_id >= 6000").collect()
+    assert {r.doc_id: r.family for r in found} == {6000 + i: "unknown" for i in range(len(NEIGHBOURS))}
+
+
+def test_every_template_holds_its_own_terms_alone(spark):
+    known = licenses.templates(spark)
+    joined = known.select("family", licenses.F.array_join(licenses.words(licenses.F.col("text")), " ").alias("t"))
+    each = [licenses.says(licenses.F.col("t"), f).alias(f) for f in licenses.TERMS]
+    for row in joined.select("family", "t", *each).collect():
+        assert [f for f in licenses.TERMS if row[f]] == [row.family], row.t
