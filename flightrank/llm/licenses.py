@@ -13,7 +13,8 @@ fit and calibrates the probability that a paragraph is a licence at all.
 A family is reported if the calibrated probability reaches ``THRESHOLD`` and the
 paragraph holds ``COVERAGE`` of the word pairs of one of its templates and the
 family's ``TERMS``, by which it differs from its neighbours. A paragraph that is probably a licence, but confirms a template only by
-``UNKNOWN_COVERAGE``, is ``unknown``.
+``UNKNOWN_COVERAGE``, is ``unknown``, and so is any that is tagged as a licence
+(``EVIDENCE``) and confirms no family.
 
 Scanning reads every paragraph of every whole text; only paragraphs that may be
 reported are shuffled, by block; the model
@@ -48,33 +49,28 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file '
         "except in compliance with the License.",
-        "SPDX-License-Identifier: Apache-2.0",
     ],
     "mit": [
         "Released under the MIT License.",
         "Licensed under the MIT License.",
+        "MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
         "and associated documentation files",
-        "SPDX-License-Identifier: MIT",
     ],
     "gpl-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the "
         "GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
-        "SPDX-License-Identifier: GPL-3.0-only",
     ],
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License.",
-        "SPDX-License-Identifier: LGPL-3.0-only",
     ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
         "Licensed under the BSD 3-Clause License.",
-        "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "mpl-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "SPDX-License-Identifier: MPL-2.0",
     ],
     "cc-by-nc-4.0": [
         "Licensed under CC BY-NC 4.0.",
@@ -85,10 +81,35 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     ],
     "cc0": ["This work is dedicated to the public domain under CC0 1.0 Universal."],
+    "epl-2.0": [
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0",
+    ],
+    "agpl-3.0": ["This program is licensed under the GNU Affero General Public License, version 3."],
     "all-rights-reserved": ["All rights reserved.", "Copyright. All rights reserved."],
 }
 
 
+# SPDX identifiers, as tags and after "License:".
+IDENTIFIERS = {
+    "apache-2.0": ["Apache-2.0"],
+    "mit": ["MIT"],
+    "gpl-3.0": ["GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0"],
+    "lgpl": ["LGPL-3.0-only", "LGPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-2.1"],
+    "bsd": ["BSD-3-Clause", "BSD-2-Clause"],
+    "mpl-2.0": ["MPL-2.0"],
+    "cc-by-nc-4.0": ["CC-BY-NC-4.0"],
+    "cc-by-4.0": ["CC-BY-4.0"],
+    "cc0": ["CC0-1.0"],
+    "epl-2.0": ["EPL-2.0"],
+    "agpl-3.0": ["AGPL-3.0-only", "AGPL-3.0-or-later", "AGPL-3.0"],
+}
+for _family, _ids in IDENTIFIERS.items():
+    TEMPLATES[_family] += [f"{tag}: {i}" for i in _ids for tag in ("SPDX-License-Identifier", "License")]
+
+# Words, joined, that tell of a licence whatever its name: a tag, or a line "License: name".
+EVIDENCE = r"(?:^| )spdx-license-identifier |^licen[sc]e \S+$"
+
 # What a text must say, as its words joined by single spaces, to name a family: the terms
 # by which the family differs from its neighbours.
 _GPL = r"(?:(?<!lesser )(?<!library )(?<!affero )general public license(?: as published by the free software foundation)?"
@@ -104,6 +125,9 @@ TERMS = {
     "cc-by-nc-4.0": r"cc by-nc 4\.0|cc-by-nc-4\.0|attribution-noncommercial 4\.0",
     "cc-by-4.0": r"cc by 4\.0|cc-by-4\.0|creative commons attribution 4\.0",
     "cc0": r"cc0(?: 1\.0)?|cc0-1\.0",
+    "epl-2.0": r"eclipse public license(?: version)?(?: v\.?)? ?v?2(?:\.0)?|epl-2\.0",
+    "agpl-3.0": r"affero general public license(?: as published by the free software foundation)?(?: either)?"
+    r"(?: version)? (?:v ?)?3(?:\.0)?|agpl-3\.0(?:-only|-or-later)?",
     "all-rights-reserved": r"all rights reserved",
 }
 
@@ -272,17 +296,20 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     known = F.array_intersect(pairs(F.col("tokens")), F.map_keys(share))
     at_most = F.aggregate(known, F.lit(0.0), lambda total, pair: total + F.element_at(share, pair))
     # A line holds no pair that its block does not hold.
-    possible = each.filter(at_most >= UNKNOWN_COVERAGE - 1e-9).withColumn("_block", F.monotonically_increasing_id())
+    named = F.arrays_overlap("tokens", F.array(*[F.lit(w) for w in ("spdx-license-identifier", "license", "licence")]))
+    possible = each.filter((at_most >= UNKNOWN_COVERAGE - 1e-9) | named).withColumn("_block", F.monotonically_increasing_id())
     own = F.transform("lines", lambda x: F.struct(x["at"].alias("at"), F.lit(True).alias("line"), x["tokens"].alias("tokens")))
     whole = F.array(F.struct(F.col("lines")[0]["at"].alias("at"), F.lit(False).alias("line"), "tokens"))
     units = F.when(F.size("lines") > 1, F.concat(own, whole)).otherwise(own)
     units = possible.select("doc_id", "_block", F.explode(units).alias("unit"))
     units = units.select("doc_id", "_block", F.col("unit.at").alias("paragraph"), "unit.line", F.col("unit.tokens").alias("tokens"))
-    units = units.filter(at_most >= UNKNOWN_COVERAGE - 1e-9).withColumn("text", F.array_join("tokens", " ")).drop("tokens")
+    evident = F.col("text").rlike(EVIDENCE)
+    units = units.withColumn("text", F.array_join("tokens", " ")).filter((at_most >= UNKNOWN_COVERAGE - 1e-9) | evident)
+    units = units.drop("tokens")
     judged = scanner.model.transform(_measured(units, scanner.counts)).withColumn("p", vector_to_array("probability"))
     licence = 1 / (1 + F.exp(-(F.lit(scanner.slope) * _evidence(F.col("p")[0]) + scanner.constant)))
     likely = judged.select("doc_id", "_block", "paragraph", "line", "text", "p", "_pairs", licence.alias("probability"))
-    likely = likely.filter(F.col("probability") >= THRESHOLD)
+    likely = likely.withColumn("evident", evident).filter((F.col("probability") >= THRESHOLD) | F.col("evident"))
     best = F.array_position("p", F.array_max(F.slice("p", 2, len(scanner.families) - 1)))
     guess = F.element_at(F.array(*[F.lit(f) for f in scanner.families]), best.cast("int"))
     each = [
@@ -292,10 +319,12 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
         )
     ]
     named = likely.select("*", guess.alias("guess"), F.array(*each).alias("each")).drop("p", "_pairs", "text")
-    # A line has one family, the guess; a block may hold notices of several.
-    sure = F.filter("each", lambda x: x["says"] & (x["coverage"] >= COVERAGE) & (~F.col("line") | (x["family"] == F.col("guess"))))
+    # A line has the guessed family if that is confirmed; a block may hold notices of several.
+    every = F.filter("each", lambda x: x["says"] & (x["coverage"] >= COVERAGE))
+    guessed = F.filter(every, lambda x: x["family"] == F.col("guess"))
+    sure = F.when(F.col("line") & (F.size(guessed) > 0), guessed).otherwise(every)
     sure = F.transform(sure, lambda x: F.struct(x["family"].alias("family"), x["coverage"].alias("coverage")))
-    guessed = F.filter("each", lambda x: (x["family"] == F.col("guess")) & (x["coverage"] >= UNKNOWN_COVERAGE))
+    guessed = F.filter("each", lambda x: (x["family"] == F.col("guess")) & ((x["coverage"] >= UNKNOWN_COVERAGE) | F.col("evident")))
     vague = F.transform(guessed, lambda x: F.struct(F.lit(UNKNOWN).alias("family"), x["coverage"].alias("coverage")))
     found = named.withColumn("found", F.explode(F.when(F.size(sure) > 0, sure).otherwise(vague)))
     found = found.select("doc_id", "_block", "paragraph", "line", "found.*", "probability")

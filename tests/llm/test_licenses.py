@@ -124,3 +124,24 @@ def test_every_template_holds_its_own_terms_alone(spark):
     each = [licenses.says(licenses.F.col("t"), f).alias(f) for f in licenses.TERMS]
     for row in joined.select("family", "t", *each).collect():
         assert [f for f in licenses.TERMS if row[f]] == [row.family], row.t
+
+
+INDEPENDENT = {
+    "// SPDX-License-Identifier: GPL-3.0-or-later": "gpl-3.0",
+    "# SPDX-License-Identifier: BSD-2-Clause": "bsd",
+    "SPDX-License-Identifier: EPL-2.0": "epl-2.0",
+    "SPDX-License-Identifier: LGPL-2.1-or-later": "lgpl",
+    "SPDX-License-Identifier: Zlib": "unknown",
+    "SPDX-License-Identifier: GPL-2.0-only": "unknown",
+    "License: MIT": "mit",
+    "license: Apache-2.0": "apache-2.0",
+    "License: Zlib": "unknown",
+    "The MIT License (MIT)": "mit",
+}
+
+
+def test_tags_and_bare_names_written_apart_from_the_templates(docs, corpus):
+    rows, _ = corpus
+    table = docs(*rows, *((6000 + i, t) for i, t in enumerate(INDEPENDENT)), (7000, "He lost his license to drive."))
+    found = licenses.scan(table, licenses.train(table)).filter("doc_id >= 6000").collect()
+    assert {r.doc_id: r.family for r in found} == {6000 + i: f for i, f in enumerate(INDEPENDENT.values())}
