@@ -116,3 +116,12 @@ def test_pipeline_equals_a_brute_force_version(spark):
     assert [name for name, _ in importlib.import_module("corpus_pipeline").STAGES] == [
         "toxicity", "exact_dedup", "simhash_dedup", "packing"
     ]
+
+
+def test_toxicity_query_tells_held_out_labels_apart(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    scored = QUERIES["op1_toxicity"](spark, sf_dir).filter("held_out").join(labels, "doc_id").collect()
+    toxic, ordinary = (np.array([r.score for r in scored if r.toxic == t]) for t in (1, 0))
+    auc = np.mean((toxic[:, None] > ordinary) + (toxic[:, None] == ordinary) / 2)
+    assert auc >= 0.95 and np.mean(toxic >= 0.7) >= 0.8 and np.mean(ordinary >= 0.7) <= 0.01
