@@ -12,6 +12,7 @@ from flightrank.llm import (
     exact_dedup,
     licenses,
     packing,
+    quality,
     sentencepiece_fst,
     sharding,
     simhash,
@@ -100,6 +101,11 @@ def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return quality.judge(_documents(spark, sf_dir)).select("doc_id", *base, "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_scores,
     "op2_exact_topk": nearest_vectors,
@@ -111,8 +117,70 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": licence_paragraphs,
     "op9_packing": packed,
     "op10_token_counts": token_totals,
+    "op11_quality_rules": quality_verdicts,
 }
 
+
+def _quality_oracle() -> str:
+    """Counts by unnested words, then the rounds as a recursion over one row of rates."""
+    rules = list(quality.RULES.values())
+    cast = ", ".join(f"CASE WHEN {bad} THEN 0 WHEN {good} THEN 1 END AS v{j}" for j, (bad, good) in enumerate(rules))
+    odds = " + ".join(
+        f"CASE v{j} WHEN 1 THEN ln(g{j} / (1 - b{j})) WHEN 0 THEN ln((1 - g{j}) / b{j}) ELSE 0 END"
+        for j in range(len(rules))
+    )
+    posterior = f"1 / (1 + exp(-(ln(share / (1 - share)) + {odds})))"
+    weight = quality.PRIOR_WEIGHT
+
+    def rate(part: str, whole: str, prior: float) -> str:
+        return f"(coalesce(sum({part}), 0) + {weight * prior}) / (coalesce(sum({whole}), 0) + {weight})"
+
+    names = ", ".join(f"g{j}, b{j}" for j in range(len(rules)))
+    start = ", ".join(f"CAST({quality.START_ON_GOOD} AS DOUBLE), CAST({quality.START_ON_BAD} AS DOUBLE)" for _ in rules)
+    rates = ", ".join(
+        rate(f"CASE WHEN v{j} = 1 THEN n * p END", f"CASE WHEN v{j} IS NOT NULL THEN n * p END", quality.START_ON_GOOD)
+        + ", "
+        + rate(f"CASE WHEN v{j} = 0 THEN n * (1 - p) END", f"CASE WHEN v{j} IS NOT NULL THEN n * (1 - p) END", quality.START_ON_BAD)
+        for j in range(len(rules))
+    )
+    return f"""
+        WITH RECURSIVE texts AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        split AS (
+            SELECT r, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words,
+                   list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+            FROM texts),
+        windows AS (
+            SELECT r, i, array_to_string(words[i : i + {quality.WINDOW - 1}], ' ') AS w
+            FROM (SELECT r, words, unnest(range(1, len(words) - {quality.WINDOW - 2})) AS i FROM split)),
+        covered AS (
+            SELECT r, count(DISTINCT i + k) AS n_repeat_words
+            FROM windows JOIN (SELECT r, w FROM windows GROUP BY r, w HAVING count(*) > 1) USING (r, w), range({quality.WINDOW}) t(k)
+            GROUP BY r),
+        counted AS (
+            SELECT doc_id, len(words) AS n_words, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   len(list_distinct(words)) AS n_distinct, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   length(array_to_string(words, '')) AS word_chars,
+                   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   length(regexp_replace(t, '[^!?]', '', 'g')) AS n_marks,
+                   length(regexp_replace(t, '\\P{{L}}', '', 'g')) AS n_letters,
+                   length(regexp_replace(t, '\\P{{Lu}}', '', 'g')) AS n_capitals,
+                   length(regexp_replace(t, '[\\p{{L}}\\p{{Nd}}.,;:''\\x20\\x09-\\x0D-]', '', 'g')) AS n_odd
+            FROM split LEFT JOIN covered USING (r)),
+        voted AS (SELECT *, {cast} FROM counted),
+        combinations AS (SELECT {", ".join(f"v{j}" for j in range(len(rules)))}, CAST(count(*) AS DOUBLE) AS n FROM voted GROUP BY ALL),
+        model(round, share, {names}) AS (
+            SELECT 0, CAST({quality.START_SHARE} AS DOUBLE), {start}
+            UNION ALL
+            SELECT round + 1, {rate("n * p", "n", quality.START_SHARE)}, {rates}
+            FROM (SELECT *, {posterior} AS p FROM model, combinations WHERE round < {quality.ROUNDS}) GROUP BY round)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words AS base_failed,
+               n_words >= {quality.MIN_WORDS} AND 100 * n_repeat_words <= {quality.REPEAT_PERCENT} * n_words
+                   AND {posterior} >= {quality.KEEP} AS kept
+        FROM voted, model WHERE round = {quality.ROUNDS}"""
+
+
 ORACLES: dict[str, str] = {
     "op2_exact_topk": """
         WITH whole AS (
@@ -171,4 +239,5 @@ ORACLES: dict[str, str] = {
                row_number() OVER (PARTITION BY doc_id, t) = 1 AND doc_id IS NOT DISTINCT FROM keep_id AS kept,
                sha256(t) AS text_sha256
         FROM folded JOIN groups USING (t)""",
+    "op11_quality_rules": _quality_oracle(),
 }
