@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightrank.llm import (
+    centroids,
     exact_dedup,
+    filter_audit,
     licenses,
     packing,
     quality,
@@ -106,6 +108,14 @@ def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_documents(spark, sf_dir)).select("doc_id", *base, "kept")
 
 
+def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_scores,
     "op2_exact_topk": nearest_vectors,
@@ -118,6 +128,8 @@ QUERIES: dict[str, Query] = {
     "op9_packing": packed,
     "op10_token_counts": token_totals,
     "op11_quality_rules": quality_verdicts,
+    "op12_centroid_clustering": clustered,
+    "op13_filter_audit": filter_interactions,
 }
 
 
@@ -181,6 +193,46 @@ def _quality_oracle() -> str:
         FROM voted, model WHERE round = {quality.ROUNDS}"""
 
 
+def _cluster_oracle() -> str:
+    """Every round in turn, over one row per vector and component."""
+    # Whole division rounds towards zero; means round down.
+    mean = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+    steps = ""
+    for i in range(centroids.ROUNDS + 1):
+        steps += f""",
+        near{i} AS MATERIALIZED (
+            SELECT r, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+                SELECT r, cluster, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d
+                FROM parts JOIN centre{i} USING (j) GROUP BY r, cluster)
+            GROUP BY r)"""
+        if i < centroids.ROUNDS:
+            steps += f""",
+        centre{i + 1} AS MATERIALIZED (
+            SELECT cluster, j, coalesce(m, c) AS c FROM centre{i} LEFT JOIN (
+                SELECT cluster, j, {mean} AS m
+                FROM (SELECT cluster, j, sum(x) AS s, count(*) AS n FROM parts JOIN near{i} USING (r) GROUP BY cluster, j))
+            USING (cluster, j))"""
+    last = centroids.ROUNDS
+    return f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(embedding) = {centroids.LENGTH}
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS MATERIALIZED (SELECT r, unnest(range({centroids.LENGTH})) AS j, unnest(v) AS x FROM kept),
+        first AS (
+            SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS cluster, v
+            FROM kept WHERE vec_id IS NOT NULL ORDER BY cluster LIMIT {centroids.K}),
+        centre0 AS MATERIALIZED (SELECT cluster, unnest(range({centroids.LENGTH})) AS j, unnest(v) AS c FROM first){steps},
+        digests AS (
+            SELECT cluster, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM centre{last} GROUP BY cluster)
+        SELECT vec_id, CAST(cluster AS INT) AS cluster, distance,
+               CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+        FROM kept JOIN near{last} USING (r) JOIN digests USING (cluster)"""
+
+
 ORACLES: dict[str, str] = {
     "op2_exact_topk": """
         WITH whole AS (
@@ -240,4 +292,49 @@ ORACLES: dict[str, str] = {
                sha256(t) AS text_sha256
         FROM folded JOIN groups USING (t)""",
     "op11_quality_rules": _quality_oracle(),
+    "op12_centroid_clustering": _cluster_oracle(),
+    "op13_filter_audit": """
+        WITH split AS (
+            SELECT coalesce(source, '') AS part, coalesce(text, '') AS t, doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents),
+        labelled AS (
+            SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+            FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        failed AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+                   100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c,
+                   regexp_matches(t, '[#$%&*|]') AS d,
+                   coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+            FROM split LEFT JOIN labelled USING (doc_id)),
+        letters(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+        orders AS (
+            SELECT concat(p.l, q.l, r.l, s.l, u.l) AS filter_order
+            FROM letters p JOIN letters q ON q.l <> p.l JOIN letters r ON r.l NOT IN (p.l, q.l)
+            JOIN letters s ON s.l NOT IN (p.l, q.l, r.l) JOIN letters u ON u.l NOT IN (p.l, q.l, r.l, s.l)),
+        masks AS (
+            SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+                                CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+                   good, toxic, count(*) AS n
+            FROM failed GROUP BY ALL),
+        steps AS (
+            SELECT part, filter_order, CAST(step AS INT) AS step, substr(filter_order, step, 1) AS l, n, good, toxic, fails,
+                   contains(fails, substr(filter_order, step, 1)) AS failing,
+                   regexp_matches(fails, concat('[', substr(filter_order, 1, step - 1), '-]')) AS gone
+            FROM masks, orders, (SELECT unnest(range(1, 6)) AS step)),
+        counted AS (
+            SELECT part, filter_order, step, l,
+                   sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END) AS kept,
+                   sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END) AS removed,
+                   sum(CASE WHEN gone AND failing THEN n ELSE 0 END) AS redundant,
+                   sum(CASE WHEN fails = l THEN n ELSE 0 END) AS unique_fails,
+                   sum(CASE WHEN NOT gone AND failing AND good THEN n ELSE 0 END) AS good_lost,
+                   sum(CASE WHEN NOT gone AND failing AND toxic THEN n ELSE 0 END) AS toxic_lost
+            FROM steps GROUP BY ALL)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley
+        FROM counted""",
 }

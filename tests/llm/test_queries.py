@@ -20,7 +20,7 @@ TEXTS = duckdb.sql(f"SELECT doc_id, text FROM '{SF_DIR}/documents.parquet' ORDER
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 12))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
