@@ -47,14 +47,13 @@ RULES: dict[str, tuple[str, str]] = {
         "word_chars >= 4 * n_words AND word_chars <= 9 * n_words",
     ),
     "symbols": ("10 * n_symbols > n_words", "100 * n_symbols <= n_words"),
-    "letters": ("10 * n_letters < 8 * word_chars", "10 * n_letters >= 9 * word_chars"),
+    "letters": ("10 * n_letters < 9 * word_chars", "100 * n_letters >= 94 * word_chars"),
     "odd_characters": ("10 * n_odd > 3 * n_words", "10 * n_odd <= n_words"),
     "marks": ("10 * n_marks > n_words", "50 * n_marks <= n_words"),
     "capitals": ("10 * n_capitals > 3 * n_letters", "10 * n_capitals <= n_letters"),
     "duplicate_lines": ("10 * n_dup_lines > 3 * n_lines", "n_lines >= 5 AND 20 * n_dup_lines <= n_lines"),
     "repeated_passages": ("10 * n_repeat_words > n_words", "n_words >= 50 AND n_repeat_words = 0"),
     "variety": ("n_words >= 50 AND 5 * n_distinct < n_words", "2 * n_distinct >= n_words"),
-    "vocabulary": ("n_words >= 40 AND n_distinct < 25", "n_distinct >= 40"),
 }
 
 # Where the fit starts, and what it is held to as by so many documents seen before:
@@ -125,8 +124,8 @@ def counts(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     words = F.array_remove(F.split("text", SPACE), "")
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    # What is no letter is a small part of most texts, and the rest of the marks are counted there.
-    others = F.regexp_replace("text", r"[\p{L}\x20\x09-\x0D]+", "")
+    # What is neither letter nor digit is a small part of most texts: marks are counted there.
+    others = F.regexp_replace("text", r"[\p{L}\p{Nd}\x20\x09-\x0D]+", "")
     table = _once(texts, words=words, lines=lines, others=others)
     table = _once(table, hashes=F.transform("words", lambda w: F.xxhash64(w)))
     starts = F.sequence(F.lit(0), F.size("words") - WINDOW)
@@ -149,7 +148,7 @@ def counts(docs: DataFrame) -> DataFrame:
         "n_lines": F.size("lines"),
         "n_distinct": F.size(F.array_distinct("hashes")),
         "n_letters": word_chars - F.length("others"),
-        "n_odd": F.length(F.regexp_replace("others", r"[.,;:'\p{Nd}-]+", "")),
+        "n_odd": F.length(F.regexp_replace("others", "[.,;:'-]+", "")),
         "n_marks": of_others("!?"),
         "n_capitals": F.length(F.regexp_replace("text", r"\P{Lu}+", "")),
     }

@@ -175,7 +175,7 @@ def _quality_oracle() -> str:
                    length(array_to_string(words, '')) AS word_chars,
                    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
                    length(regexp_replace(t, '[^!?]', '', 'g')) AS n_marks,
-                   length(regexp_replace(t, '\\P{{L}}', '', 'g')) AS n_letters,
+                   length(regexp_replace(t, '[^\\p{{L}}\\p{{Nd}}]', '', 'g')) AS n_letters,
                    length(regexp_replace(t, '\\P{{Lu}}', '', 'g')) AS n_capitals,
                    length(regexp_replace(t, '[\\p{{L}}\\p{{Nd}}.,;:''\\x20\\x09-\\x0D-]', '', 'g')) AS n_odd
             FROM split LEFT JOIN covered USING (r)),
