@@ -15,7 +15,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from flightrank import sinks, sources, streaming
@@ -105,6 +104,14 @@ JOBS: dict[str, Job] = {
         takes=("metric",),
         metric="arr_delay",
     ),
+    "carrier-places": Job(
+        lambda f, a: questions.all_carriers_on_routes(f, a.metric),
+        _named("origin", "dest", "carrier"),
+        "mean_delay",
+        takes=("metric",),
+        metric="arr_delay",
+    ),
+    "airport-places": Job(lambda f, a: questions.all_airports(f), _named("airport"), "n"),
     "best-flight": Job(
         lambda f, a: itinerary.best_flight_on_date(f, a.origin, a.dest, _iso(a.date), a.half_day),
         _named("origin", "dest", "flight_date", "half_day", "carrier", "flight_num", "dep_time"),
@@ -157,6 +164,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-offsets", type=int, help="records per micro-batch")
     p.add_argument("--interval", help="time between micro-batches, such as '1 second'")
     p.add_argument("--out", help="folder for CSV results")
+    p.add_argument("--rejects", help="folder for the rows of --csv that cannot be read, with the reasons")
     p.add_argument("--out-topic")
     p.add_argument("--checkpoint")
     p.add_argument("--store", help="folder in which a stream of trips keeps the best legs")
@@ -178,6 +186,8 @@ def checked(args: Args) -> Args:
     is an error."""
     job = JOBS[args.job]
     given = {o for o in OPTIONS if getattr(args, o) is not None}
+    if args.rejects and not args.csv:
+        raise ValueError("only for --csv: rejects")
     allowed = {*job.needs, *job.takes}
     if args.results:
         if job.on_results is None:
@@ -215,9 +225,7 @@ def answer(spark: SparkSession, args: Args, counts: Observation | None = None) -
             lines = sources.counted_results(lines, job.results_kind, counts)
         return job.on_results(lines, args)
     if args.csv:
-        flights = sources.flights_by_name(spark, args.csv, legacy_len=args.legacy_len)
-        if counts is not None:
-            flights = flights.observe(counts, F.count(F.lit(1)).alias("lines"))
+        flights = sources.flights_by_name(spark, args.csv, legacy_len=args.legacy_len, line_counts=counts)
     else:
         needed = FIELDS_FOR[args.metric]
         flights = sources.parse_flights(spark.read.text(args.lines), args.legacy_len, counts, needed)
@@ -244,7 +252,7 @@ def stream(spark: SparkSession, args: Args, lines: DataFrame, publish: Publish)
         asked = itinerary.on_trip(flights, args.origin, args.stop, args.dest, date, args.gap_days)
         chosen = written(lambda t: itinerary.chosen_trips(t, args.origin, args.stop, args.dest, date))
         writer = streaming.best_legs(asked).writeStream.outputMode("update")
-        writer = writer.foreachBatch(streaming.publish_trips(args.store, chosen, args.gap_days))
+        writer = writer.foreachBatch(streaming.publish_trips(args.store, chosen, args.gap_days, streaming.LATE_DAYS))
     elif args.job == "popularity-fit":
         # A fit is about all flights so far, not about one micro-batch.
         fit = written(lambda counts: distribution.lognormal_fit(counts, "n"))
@@ -298,6 +306,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     counts = Observation("lines")
     sinks.write_csv(answer(spark, args, counts), args.out)
     print(counts.get, file=sys.stderr)
+    if args.rejects:
+        sources.rejected_by_name(spark, args.csv).write.json(args.rejects)
     clear_shared(spark)
 
 

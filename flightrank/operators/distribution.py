@@ -12,7 +12,7 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -70,13 +70,12 @@ def powerlaw_alpha(samples: DataFrame, column: str, xmin: float | None = None) -
     )
 
 
-# Up to so many distinct values, one task compares all with all.
-FEW_VALUES = 4096
 FIT = "xmin double, n_tail long, alpha double, d double"
+CANDIDATE = "m double, m_ln double, n_tail long, m_below long, alpha double"
 
 
 def powerlaw_fit(
-    samples: DataFrame, column: str, buckets: int = 256, spread: int = 16, few: int = FEW_VALUES
+    samples: DataFrame, column: str, cells: int | None = None, spread: int = 16
 ) -> DataFrame:
     """The power law that fits best: one row ``xmin, n_tail, alpha, d``.
 
@@ -84,148 +83,188 @@ def powerlaw_fit(
     least Kolmogorov-Smirnov distance ``d`` wins, the smaller one on a tie.
     Without two distinct values there is no fit and no row.
 
-    Up to ``few`` distinct values meet in one task, which makes at most
-    few * few / 2 comparisons. Beyond that ``_fit`` rules out candidates and
-    cells by bounds first; how many are left depends on the data, at worst all,
-    which is half the square of the distinct values, spread over all tasks.
+    The search is exact and does not compare every value with every other. The
+    values are cut into cells, about as many as the square root of their number.
+    Within a cell the empirical curve keeps within two offsets of its chord, one
+    above and one below, and the law, which is concave in ln x, within its
+    curvature of its own. Two chords are farthest apart at an end. So the ends of
+    a cell and those few numbers bound the distance anywhere inside it, up and
+    down. A candidate whose lower bound is above the upper bound of another
+    cannot win; of the others only those cells are opened whose bound is above the
+    distance that the ends already have. The offsets of a cell shrink faster than
+    the distances do, so few candidates and cells are left.
     """
-    values = written_once(value_counts(samples, column), "value-counts")
-    return _best_fit(values, buckets, spread, few)
-
-
-def _best_fit(values: DataFrame, buckets: int, spread: int, few: int) -> DataFrame:
-    if values.limit(few + 1).count() <= few:
-        return values.coalesce(1).mapInPandas(_fit_few, FIT)
-    return _fit(values, buckets, spread)
-
-
-def _fit_few(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The fit of at most ``FEW_VALUES`` distinct values."""
-    found = pd.concat([pd.DataFrame({"x": [], "n": []}), *batches]).sort_values("x")
-    x, n = found["x"].to_numpy(float), found["n"].to_numpy(float)
-    best = None
-    for i in range(len(x) - 1):
-        tail, counts = x[i:], n[i:]
-        near = tail < 1.5 * tail[0]
-        ln = np.where(near, np.log1p((tail - tail[0]) / tail[0]), np.log(tail / tail[0]))
-        excess, size = float(counts @ ln), counts.sum()
-        if not excess > 0:
-            continue
-        alpha = 1 + size / excess
-        seen = (np.cumsum(counts) - counts) / size
-        d = float(np.abs(seen - (1 - np.exp((1 - alpha) * ln))).max())
-        if best is None or d < best[3]:
-            best = (float(tail[0]), int(size), alpha, d)
-    yield pd.DataFrame([best] if best else [], columns=["xmin", "n_tail", "alpha", "d"])
-
-
-# Candidates measured exactly in advance, only to tell the others apart from them.
-PROBES = 8
-
-
-def _fit(values: DataFrame, buckets: int, spread: int) -> DataFrame:
-    """Exact search over all values without comparing every value with every other.
-
-    The values are cut into cells. Both distribution functions grow with x, so
-    the two ends of a cell bound the distance anywhere inside it. That gives
-    each candidate a lower bound, the distances at the ends. A candidate whose
-    lower bound is above the exact distance of another cannot win, and a cell
-    whose bound is not above the candidate's own lower bound cannot change it.
-    Only what is left meets the single values, by an equality join on the cell.
+    return _best_fit(written_once(value_counts(samples, column), "value-counts"), cells, spread)
+
+
+def _best_fit(values: DataFrame, cells: int | None = None, spread: int = 16) -> DataFrame:
+    spark = values.sparkSession
+    whole = values.agg(
+        F.count(F.lit(1)).alias("values"), F.sum("n").alias("samples"),
+        F.min("x").alias("least"), F.max("x").alias("largest"),
+    ).first()
+    if whole["values"] < 2:
+        return spark.createDataFrame([], FIT)
+    cells = cells or max(32, math.isqrt(whole["values"]))
+    points = _points(values, whole, cells)
+    grid = _grid(points)
+    # Little data but much work on it: a fixed number of tasks, which Spark
+    # does not merge by size.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounded = written_once(
+        _candidates(points, whole["largest"]).repartition(tasks, "m").mapInArrow(
+            _bounded(grid), f"{CANDIDATE}, low double, high double"
+        ),
+        "powerlaw-bounds",
+    )
+    reach = bounded.agg(F.min("high")).first()[0]
+    if reach is None:
+        return spark.createDataFrame([], FIT)
+    alive = bounded.filter(F.col("low") <= reach).drop("high")
+    return _measured(alive, points, grid, tasks, spread).orderBy("d", "xmin").limit(1)
+
+
+def _points(values: DataFrame, whole: Row, cells: int) -> DataFrame:
+    """Every value with the sums from it upwards, the samples below it, and its cell.
+
+    Cells hold like many values, like many samples, as a few values may hold most of
+    them, and are alike wide in ln x, as the last values may lie far apart. There are
+    at most three times ``cells`` that have values, and they rise with the values.
     """
     # Logarithms relative to the largest value: the sums over short tails are then small,
     # and their differences keep their digits.
-    largest = values.agg(F.max("x")).scalar()
-    logs = values.withColumn("ln", ln_ratio(F.col("x"), largest)).withColumn("n_ln", F.col("n") * F.col("ln"))
-    total = values.agg(F.sum("n")).scalar()
-    below = total - F.col("from_n")
-    # Cells of like many values and of like many samples: a few values may hold most samples.
-    share = F.floor(below * buckets / total)
-    points = written_once(
-        sums_from_top(logs, "x", ["n", "n_ln"], buckets).select(
-            "x", "ln", "from_n", "from_n_ln", below.alias("below"),
-            (F.col("bucket") + buckets * share).alias("cell"),
+    logs = values.withColumn("ln", ln_ratio(F.col("x"), F.lit(whole["largest"])))
+    logs = logs.withColumns({"n_ln": F.col("n") * F.col("ln"), "one": F.lit(1).cast("bigint")})
+    summed = sums_from_top(logs, "x", ["n", "n_ln", "one"])
+    below = F.lit(whole["samples"]) - F.col("from_n")
+    place = F.floor((F.lit(whole["values"]) - F.col("from_one")) * cells / F.lit(whole["values"]))
+    share = F.floor(below * cells / F.lit(whole["samples"]))
+    least = F.lit(whole["least"])
+    width = F.floor(cells * (1 - F.col("ln") / ln_ratio(least, F.lit(whole["largest"]))))
+    cell = place + (cells + 1) * (share + (cells + 1) * width)
+    return written_once(
+        summed.select(
+            "x", "ln", "from_n", "from_n_ln", below.alias("below"), cell.cast("long").alias("cell")
         ),
         "value-sums",
     )
-    # At most twice ``buckets`` rows, both numbers of a cell growing with x.
-    cells = points.groupBy("cell").agg(
+
+
+def _grid(points: DataFrame) -> dict[str, np.ndarray]:
+    """The ends of every cell and how far its points lie off the chord between them.
+
+    One row per cell comes to the driver: some times the square root of the values.
+    """
+    ends = points.groupBy("cell").agg(
         F.min("ln").alias("lo_ln"), F.max("ln").alias("hi_ln"),
         F.min("below").alias("lo_below"), F.max("below").alias("hi_below"),
     )
-    grid = cells.agg(F.collect_list(F.struct(*cells.columns))).scalar()
+    slope = F.coalesce(
+        F.try_divide(F.col("hi_below") - F.col("lo_below"), F.col("hi_ln") - F.col("lo_ln")), F.lit(0.0)
+    )
+    sloped = ends.withColumn("slope", slope)
+    off = F.col("below") - F.col("lo_below") - F.col("slope") * (F.col("ln") - F.col("lo_ln"))
+    rows = (
+        points.join(F.broadcast(sloped), "cell")
+        .groupBy(*sloped.columns)
+        .agg(F.greatest(F.max(off), F.lit(0.0)).alias("above"), F.greatest(F.max(-off), F.lit(0.0)).alias("under"))
+        .orderBy("cell")
+        .collect()
+    )
+    return {c: np.array([r[c] for r in rows]) for c in (*sloped.columns, "above", "under")}
 
-    # Little data but much work on it: a fixed number of tasks, which Spark
-    # does not merge by size.
-    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+def _candidates(points: DataFrame, largest: float) -> DataFrame:
     tail_ln = F.col("from_n_ln") - F.col("from_n") * F.col("ln")
-    candidates = points.filter((F.col("x") < values.agg(F.max("x")).scalar()) & (tail_ln > 0)).select(
+    return points.filter((F.col("x") < largest) & (tail_ln > 0)).select(
         F.col("x").alias("m"), F.col("ln").alias("m_ln"), F.col("from_n").alias("n_tail"),
-        F.col("below").alias("m_below"), F.col("cell").alias("m_cell"),
-        (1 + F.col("from_n") / tail_ln).alias("alpha"),
+        F.col("below").alias("m_below"), (1 + F.col("from_n") / tail_ln).alias("alpha"),
     )
-    candidates = candidates.repartition(tasks, "m")
-
-    def seen(below: Column) -> Column:
-        return (below - F.col("m_below")) / F.col("n_tail")
-
-    def law(ln: Column) -> Column:
-        return 1 - F.exp((1 - F.col("alpha")) * (ln - F.col("m_ln")))
-
-    def look_at_cells(some: DataFrame) -> DataFrame:
-        """``at_ends`` and ``inside``, the least and the greatest the distance can be in each cell."""
-        each = some.select("*", F.inline(grid)).filter(F.col("cell") >= F.col("m_cell"))
-        # The candidate's own cell starts at the candidate itself.
-        ends = each.select(
-            *some.columns,
-            "cell",
-            seen(F.greatest("lo_below", "m_below")).alias("seen_lo"),
-            seen(F.col("hi_below")).alias("seen_hi"),
-            law(F.greatest("lo_ln", "m_ln")).alias("law_lo"),
-            law(F.col("hi_ln")).alias("law_hi"),
-        )
-        at_ends = F.greatest(
-            F.abs(F.col("seen_lo") - F.col("law_lo")), F.abs(F.col("seen_hi") - F.col("law_hi"))
-        )
-        across = F.greatest(F.col("seen_hi") - F.col("law_lo"), F.col("law_hi") - F.col("seen_lo"))
-        # The margin keeps rounding from discarding an equal cell.
-        inside = F.greatest(at_ends, across) + 1e-12
-        return ends.select(*some.columns, "cell", at_ends.alias("at_ends"), inside.alias("inside"))
 
-    bounded = written_once(
-        look_at_cells(candidates)
-        .groupBy(*candidates.columns)
-        .agg(F.max("at_ends").alias("least")),
-        "powerlaw-bounds",
+
+# So many pairs of a candidate and a cell are looked at together.
+_PAIRS = 1 << 20
+# By so much rounding may move a bound.
+_ROUNDING = 1e-12
+
+
+def _at_cells(some: dict[str, np.ndarray], grid: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distance at the ends of every cell, and the most it can be inside, one row per candidate.
+
+    Cells below a candidate are at -1. Its own cell starts at the candidate itself.
+    """
+    m_ln, n_tail, m_below, alpha = (some[c][:, None] for c in ("m_ln", "n_tail", "m_below", "alpha"))
+    decay = alpha - 1
+    inside = grid["lo_below"] < m_below
+    start = np.where(inside, m_ln, grid["lo_ln"])
+    at_start = grid["lo_below"] - m_below + np.where(inside, grid["slope"] * (m_ln - grid["lo_ln"]), 0.0)
+    law_start, law_end = (
+        -np.expm1(-decay * np.maximum(ln - m_ln, 0)) for ln in (start, grid["hi_ln"])
     )
+    gap_start = at_start / n_tail - law_start
+    gap_end = (grid["hi_below"] - m_below) / n_tail - law_end
+    ends = np.maximum(np.abs(gap_end), np.where(inside, 0.0, np.abs(gap_start)))
+    curve = (decay * (grid["hi_ln"] - start)) ** 2 / 8 * (1 - law_start)
+    up = np.maximum(gap_start, gap_end) + grid["above"] / n_tail
+    down = np.maximum(-gap_start, -gap_end) + grid["under"] / n_tail + curve
+    most = np.maximum(ends, np.maximum(up, down)) + _ROUNDING
+    passed = grid["hi_below"] < m_below
+    return np.where(passed, -1.0, ends), np.where(passed, -1.0, most)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[dict[str, np.ndarray]]:
+    rows = max(1, _PAIRS // cells)
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            yield {n: part.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(part.schema.names)}
+
+
+def _bounded(grid: dict[str, np.ndarray]):
+    """Candidates with the least and the greatest that their distance can be."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _chunks(batches, len(grid["cell"])):
+            ends, most = _at_cells(some, grid)
+            yield pa.RecordBatch.from_pydict({**some, "low": ends.max(1), "high": most.max(1)})
+
+    return run
 
+
+def _open_cells(grid: dict[str, np.ndarray]):
+    """Candidates with each cell inside which the distance can be more than at all ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _chunks(batches, len(grid["cell"])):
+            _, most = _at_cells(some, grid)
+            row, cell = np.nonzero(most > some["low"][:, None])
+            yield pa.RecordBatch.from_pydict({**{n: v[row] for n, v in some.items()}, "cell": grid["cell"][cell]})
+
+    return run
+
+
+def _measured(
+    some: DataFrame, points: DataFrame, grid: dict[str, np.ndarray], tasks: int, spread: int
+) -> DataFrame:
+    """Exact distances. Candidates often share open cells; the salt splits such a cell."""
+    opened = some.repartition(tasks, "m").mapInArrow(
+        _open_cells(grid), f"{CANDIDATE}, low double, cell long"
+    )
+    salted = opened.withColumn("salt", F.pmod(F.xxhash64("m"), F.lit(spread)).cast("int"))
     singles = points.select(
         "cell", "ln", "below", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("salt")
-    ).repartition(tasks, "cell", "salt")
-
-    def measured(some: DataFrame) -> DataFrame:
-        """Exact distances. Candidates often share open cells; the salt splits such a cell."""
-        open_cells = (
-            look_at_cells(some.repartition(tasks, "m"))
-            .filter(F.col("inside") > F.col("least"))
-            .withColumn("salt", F.pmod(F.xxhash64("m"), F.lit(spread)).cast("int"))
-            .repartition(tasks, "cell", "salt")
-        )
-        farthest = (
-            open_cells.join(singles, ["cell", "salt"])
-            .filter(F.col("ln") >= F.col("m_ln"))
-            .groupBy("m")
-            .agg(F.max(F.abs(seen(F.col("below")) - law(F.col("ln")))).alias("inner"))
-        )
-        d = F.greatest("least", F.coalesce("inner", F.lit(0.0)))
-        return some.join(farthest, "m", "left").select(
-            F.col("m").alias("xmin"), "n_tail", "alpha", d.alias("d")
-        )
-
-    probes = bounded.orderBy("least", "m").limit(PROBES)
-    reach = measured(probes).agg(F.min("d")).scalar()
-    alive = bounded.filter(F.col("least") <= reach + 1e-12)
-    return measured(alive).orderBy("d", "xmin").limit(1)
+    )
+    seen = (F.col("below") - F.col("m_below")) / F.col("n_tail")
+    law = 1 - F.exp((1 - F.col("alpha")) * (F.col("ln") - F.col("m_ln")))
+    farthest = (
+        salted.repartition(tasks, "cell", "salt")
+        .join(singles.repartition(tasks, "cell", "salt"), ["cell", "salt"])
+        .filter(F.col("below") >= F.col("m_below"))
+        .groupBy("m")
+        .agg(F.max(F.abs(seen - law)).alias("inner"))
+    )
+    d = F.greatest("low", F.coalesce("inner", F.lit(0.0)))
+    return some.join(farthest, "m", "left").select(F.col("m").alias("xmin"), "n_tail", "alpha", d.alias("d"))
 
 
 COMPARISON = (
@@ -234,9 +273,7 @@ COMPARISON = (
 )
 
 
-def lognormal_fit(
-    samples: DataFrame, column: str, buckets: int = 256, spread: int = 16, few: int = FEW_VALUES
-) -> DataFrame:
+def lognormal_fit(samples: DataFrame, column: str, cells: int | None = None) -> DataFrame:
     """Power law against lognormal on the same tail, one row.
 
     ``ratio`` is the normalised log-likelihood ratio; below zero it favours the
@@ -246,7 +283,7 @@ def lognormal_fit(
     ratio is 0.
     """
     values = written_once(value_counts(samples, column), "value-counts")
-    found = _compared(values, _best_fit(values, buckets, spread, few).first())
+    found = _compared(values, _best_fit(values, cells).first())
     return values.sparkSession.createDataFrame([found], COMPARISON)
 
 

@@ -151,16 +151,32 @@ def _all_result_messages(all_flights: DataFrame) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, read)
 
 
-def _latest_through_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest value per user, upserted in four batches by time."""
-    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
-    path = shared_folder(spark, "store")
-    write = streaming.upsert_results(
-        path, ["user_id"], lambda b: ranking.latest_per_key(b, ["user_id"], ["ts", "event_id"])
-    )
-    for i in range(4):
-        write(events.filter(F.floor((F.dayofmonth("ts") - 1) / 8) == i), i)
-    return streaming.read_latest(spark, path).select("user_id", "event_id", "value")
+def _fractional_means(all_flights: DataFrame) -> DataFrame:
+    """Means of delays with hundredths of a minute, over flights dealt out in two ways."""
+    cents = F.col("flight_num").cast("bigint") % 100
+    delays = all_flights.withColumn("arr_delay", (F.col("arr_delay") * 100 + cents) / 100)
+
+    def means(dealt: DataFrame, name: str) -> DataFrame:
+        return ranking.mean_delay(dealt, ["origin", "carrier"]).withColumnRenamed("mean_delay", name)
+
+    one_way = means(delays.repartition(64, "flight_num"), "mean_by_number")
+    return one_way.join(means(delays.repartition(5, "flight_date"), "mean_by_day"), ["origin", "carrier"])
+
+
+def _latest_through_store(days: int) -> Query:
+    """The latest value per user, upserted in batches of so many days."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+        path = shared_folder(spark, "store")
+        write = streaming.upsert_results(
+            path, ["user_id"], lambda b: ranking.latest_per_key(b, ["user_id"], ["ts", "event_id"])
+        )
+        for i in range(-(-31 // days)):
+            write(events.filter(F.floor((F.dayofmonth("ts") - 1) / days) == i), i)
+        return streaming.read_latest(spark, path).select("user_id", "event_id", "value")
+
+    return run
 
 
 def _in_batches(
@@ -185,6 +201,91 @@ def _in_batches(
     return run
 
 
+# The event table in files by days; a rate of so many files makes each part a micro-batch.
+FEED_PARTS, FEED_DAYS, FEED_FILES = 5, 6, 4
+
+
+def _feed(spark: SparkSession, sf_dir: str, order: Callable[[int], int] = lambda i: i) -> DataFrame:
+    """Event flights from files that come part by part, a bounded number at a time."""
+    folder = shared_folder(spark, "feed")
+    events = table(spark, sf_dir, "events")
+    for i in map(order, range(FEED_PARTS)):
+        part = events.filter(F.floor((F.dayofmonth("ts") - 1) / FEED_DAYS) == i)
+        part.repartition(FEED_FILES).write.mode("append").parquet(folder)
+    return event_flights(sources.file_stream(spark, folder, events.schema, FEED_FILES))
+
+
+def _rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each micro-batch of a stream that takes so many files at a time, ranked on its own."""
+    return streaming.drain_ranked(_feed(spark, sf_dir), questions.carriers_from)
+
+
+def _trips_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips as they are published batch by batch, from a store of legs by day that drops old days."""
+    folder = shared_folder(spark, "trips")
+    keep = streaming.upsert_results(f"{folder}/trips", ["origin", "stop", "dest", "flight_date"], by="flight_date")
+    legs = streaming.best_legs(_feed(spark, sf_dir)).writeStream.outputMode("update")
+    writer = legs.foreachBatch(streaming.publish_trips(f"{folder}/legs", keep, 2, streaming.LATE_DAYS))
+    streaming.run_to_end(writer, folder)
+    return _dates_as_text(streaming.read_latest(spark, f"{folder}/trips").drop("batch_id"))
+
+
+def _sent_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The carriers of every micro-batch as messages that are all sent twice, read back."""
+    path = shared_folder(spark, "messages")
+    send = streaming.publish_messages(streaming.to_files(path), questions.carriers, ["carrier"], "mean_delay")
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        send(batch, batch_id)
+        send(batch, batch_id)
+
+    streaming.run_to_end(_feed(spark, sf_dir).writeStream.foreachBatch(twice), shared_folder(spark, "stream"))
+    return sources.parse_batch_messages(spark.read.parquet(path))
+
+
+def _windows_and_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a stream whose parts come out of order: rows in time, and late ones."""
+    folder = shared_folder(spark, "windows")
+    swapped = _feed(spark, sf_dir, lambda i: min(i ^ 1, FEED_PARTS - 1))
+    write = streaming.count_windows(folder, "1 day", "2 days")
+    streaming.run_to_end(swapped.writeStream.foreachBatch(write), folder)
+    keys = ["window_start", "airport"]
+    late = streaming.read_late(spark, folder).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_late"))
+    both = streaming.read_windows(spark, folder).withColumnRenamed("n", "n_in_time").join(late, keys, "full")
+    return _dates_as_text(both.fillna(0, ["n_in_time", "n_late"]))
+
+
+def _broken_csv(spark: SparkSession, sf_dir: str) -> str:
+    """CSV files of flights in which some fields are no number, date or time, and some lines have
+    a field too many, by the flight's number. A file has the flights of a thousand orders."""
+    number = F.col("flight_num").cast("bigint")
+    shown = {
+        "FL_DATE": F.when(number % 17 == 0, "2008-13-45").otherwise(F.date_format("flight_date", "yyyy-MM-dd")),
+        "CARRIER": F.when(number % 23 == 0, F.concat("carrier", F.lit(",?"))).otherwise(F.col("carrier")),
+        "FL_NUM": F.col("flight_num"),
+        "ORIGIN": F.col("origin"),
+        "DEST": F.col("dest"),
+        "DEP_TIME": F.when(number % 19 == 0, "2575").otherwise(F.col("dep_time")),
+        "DEP_DELAY": F.when(number % 13 == 0, "abc").otherwise(F.coalesce(F.col("dep_delay").cast("string"), F.lit(""))),
+        "ARR_DELAY": F.coalesce(F.col("arr_delay").cast("string"), F.lit("")),
+    }
+    path = shared_folder(spark, "broken")
+    line = F.concat_ws(",", *shown.values())
+    whole = F.concat_ws("\n", F.lit(",".join(shown)), F.collect_list(line))
+    files = flights(spark, sf_dir).groupBy(F.floor(number / 10_000).alias("file")).agg(whole.alias("value"))
+    files.write.partitionBy("file").text(path)
+    return f"{path}/*"
+
+
+def _csv_usable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dates_as_text(sources.flights_by_name(spark, _broken_csv(spark, sf_dir)))
+
+
+def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = sources.rejected_by_name(spark, _broken_csv(spark, sf_dir))
+    return rejected.withColumn("problems", F.array_join("problems", "; "))
+
+
 def _quoted_pair(first: str, second: str) -> Column:
     return F.concat(F.lit('"'), F.col(first), F.lit(" "), F.col(second), F.lit('"'))
 
@@ -301,6 +402,13 @@ def _powerlaw_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit.withColumn("alpha", F.round("alpha", 6)).withColumn("d", F.round("d", 6))
 
 
+def _powerlaw_fit_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices, nearly all of them different."""
+    prices = table(spark, sf_dir, "lineitem").select((F.col("l_extendedprice") + 1).alias("n"))
+    fit = distribution.powerlaw_fit(prices, "n")
+    return fit.withColumn("alpha", F.round("alpha", 6)).withColumn("d", F.round("d", 6))
+
+
 def _lognormal_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution.lognormal_fit(_part_counts(spark, sf_dir), "n")
 
@@ -338,11 +446,15 @@ QUERIES: dict[str, Query] = {
     "popularity_short_lines": _on_flights(_popular_from_short_lines),
     "odd_departure_times": _on_flights(_odd_departure_times),
     "mean_texts": _on_flights(_mean_texts),
+    "fractional_mean_delay": _on_flights(_fractional_means),
+    "carrier_places": _on_flights(questions.all_carriers_on_routes),
+    "airport_places": _on_flights(questions.all_airports),
     "one_trip": _on_flights(
         lambda f: itinerary.two_leg_best(f, 2, False, TRIP[0], TRIP[1], TRIP[2], TRIP[3])
     ),
     "result_messages_all": _on_flights(_all_result_messages),
-    "latest_through_store": _latest_through_store,
+    "latest_through_store": _latest_through_store(8),
+    "latest_through_store_daily": _latest_through_store(1),
     "route_mean_delay": _on_flights(questions.route_delays),
     "best_flight_on_date": _on_flights(itinerary.best_flights),
     "best_flight_on_route_date": _on_flights(_best_flight_on_route_date),
@@ -367,6 +479,7 @@ QUERIES: dict[str, Query] = {
     "popularity_ccdf": _popularity_ccdf,
     "powerlaw_alpha": _powerlaw_alpha,
     "powerlaw_fit": _powerlaw_fit,
+    "powerlaw_fit_prices": _powerlaw_fit_prices,
     "lognormal_fit": _lognormal_fit,
     "lognormal_fit_orders": _lognormal_fit_orders,
     "stream_popularity_running": _on_stream(
@@ -393,6 +506,12 @@ QUERIES: dict[str, Query] = {
         lambda f: streaming.drain_ranked(f, questions.carriers_on_route)
     ),
     "stream_two_leg": _on_stream(streaming.drain_trips),
+    "stream_rate_limited": _rate_limited,
+    "stream_trips_in_batches": _trips_in_batches,
+    "stream_messages_sent_twice": _sent_twice,
+    "stream_windows_and_late_rows": _windows_and_late_rows,
+    "csv_usable_rows": _csv_usable,
+    "csv_rejected_rows": _csv_rejects,
     "stream_latest_in_batches": _in_batches(lambda f: f, ["carrier"], questions.carriers, "append"),
     "stream_windows_in_batches": _in_batches(
         lambda f: streaming.windowed_popularity(f, "1 hour", "1 hour"), ["window_start", "airport"], None, "update"

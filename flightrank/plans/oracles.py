@@ -182,6 +182,19 @@ SELECT xmin, n_tail, round(alpha, 6) AS alpha, round(d, 6) AS d, round(mu + ln(x
 FROM fit, cut, tested"""
 
 
+# The parts of a feed: six days each.
+BATCHES = """, parts AS (SELECT *, CAST((day(flight_day) - 1) // 6 AS bigint) AS batch_id FROM flights)"""
+
+# A broken CSV: the lines, and what is wrong with each.
+BROKEN = """, numbered AS (SELECT *, CAST(flight_num AS bigint) AS i FROM flights),
+shown AS (
+  SELECT *, CASE WHEN i % 17 = 0 THEN '2008-13-45' ELSE flight_date END AS day_text,
+         CASE WHEN i % 23 = 0 THEN concat(carrier, ',?') ELSE carrier END AS carrier_text,
+         CASE WHEN i % 19 = 0 THEN '2575' ELSE dep_time END AS time_text,
+         CASE WHEN i % 13 = 0 THEN 'abc' ELSE coalesce(CAST(dep_delay AS varchar), '') END AS delay_text
+  FROM numbered)"""
+
+
 def _per_batch(sql: str) -> str:
     return f"SELECT *, CAST(0 AS bigint) AS batch_id FROM ({sql})"
 
@@ -237,6 +250,19 @@ FROM kept""",
 scaled AS (SELECT origin, carrier, floor(mean_delay * 64) AS s FROM means)
 SELECT origin, carrier, {_decimal_text('s', 6)} AS mean_text, {_decimal_text('s', 16)} AS small_text,
        concat(CAST(CAST(s * 262144 AS bigint) AS varchar), '.0') AS large_text FROM scaled""",
+    "fractional_mean_delay": f"""{FLIGHTS}
+SELECT origin, carrier, mean_delay AS mean_by_number, mean_delay AS mean_by_day FROM (
+  SELECT origin, carrier,
+         CAST(sum(CAST((arr_delay * 100 + CAST(flight_num AS bigint) % 100) / 100 AS decimal(18, 2))) AS double)
+           / count(*) AS mean_delay
+  FROM flights WHERE arr_delay IS NOT NULL GROUP BY origin, carrier)""",
+    "carrier_places": f"""{FLIGHTS}, means AS (
+  {_means("origin, dest, carrier", "arr_delay")} GROUP BY origin, dest, carrier)
+SELECT *, row_number() OVER (ORDER BY mean_delay, origin, dest, carrier) AS place,
+       rank() OVER (ORDER BY mean_delay) AS tied_place FROM means""",
+    "airport_places": f"""{FLIGHTS}{MOVEMENTS}
+SELECT airport, n, row_number() OVER (ORDER BY n DESC, airport) AS place, rank() OVER (ORDER BY n DESC) AS tied_place
+FROM counts""",
     "one_trip": f"""SELECT * FROM ({_trips(FLIGHTS, "AND a.origin = 'N06' AND a.dest = 'N09' AND b.dest = 'N04' AND a.flight_date = '1995-10-06'")})""",
     "result_messages_all": f"""SELECT carrier AS key, mean_delay AS metric, 'carriers' AS question
 FROM ({_top(FLIGHTS, "carrier", "arr_delay")})
@@ -254,6 +280,9 @@ UNION ALL SELECT concat(origin, ' ', dest, ' ', carrier), mean_delay, 'carriers_
 FROM ({_top_all(FLIGHTS, "origin, dest", "carrier", "arr_delay")})""",
     "latest_through_store": """SELECT user_id, event_id, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
+  FROM events) WHERE place = 1""",
+    "latest_through_store_daily": """SELECT user_id, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
   FROM events) WHERE place = 1""",
     "route_mean_delay": f"""{FLIGHTS} {_means("origin, dest", "arr_delay")} GROUP BY origin, dest""",
     "best_flight_on_date": f"""{FLIGHTS}{BEST}
@@ -319,6 +348,18 @@ d AS (
   FROM a JOIN seen ON a.m = seen.m GROUP BY a.m)
 SELECT a.m AS xmin, CAST(n_tail AS bigint) AS n_tail, round(alpha, 6) AS alpha, round(d, 6) AS d
 FROM a JOIN d ON a.m = d.m ORDER BY d.d, a.m LIMIT 1""",
+    # Sums over tails by a window; the distances of all pairs of values as they are.
+    "powerlaw_fit_prices": """WITH v AS (SELECT l_extendedprice + 1 AS x, count(*) AS n FROM lineitem GROUP BY ALL),
+c AS (
+  SELECT x AS m, n, CAST(sum(n) OVER up AS bigint) AS n_tail, sum(n * ln(x)) OVER up AS s,
+         CAST(sum(n) OVER (ORDER BY x) AS bigint) - n AS below
+  FROM v WINDOW up AS (ORDER BY x DESC)),
+a AS (SELECT *, s - n_tail * ln(m) AS excess FROM c WHERE m < (SELECT max(x) FROM v)),
+d AS (
+  SELECT a.m, any_value(a.n_tail) AS n_tail, any_value(a.n_tail / a.excess) AS beta,
+         max(abs(CAST(t.below - a.below AS double) / a.n_tail - 1 + pow(t.m / a.m, -a.n_tail / a.excess))) AS d
+  FROM a JOIN c t ON t.m >= a.m WHERE a.excess > 0 GROUP BY a.m)
+SELECT m AS xmin, n_tail, round(1 + beta, 6) AS alpha, round(d, 6) AS d FROM d ORDER BY d.d, m LIMIT 1""",
     "lognormal_fit_orders": _lognormal("SELECT floor(o_totalprice / 1000) + 1 AS n FROM orders"),
     "stream_popularity_running": f"""{EVENTS}{MOVEMENTS}
 SELECT airport, n FROM counts ORDER BY n DESC, airport LIMIT 10""",
@@ -334,6 +375,39 @@ SELECT airport, n FROM counts ORDER BY n DESC, airport LIMIT 10"""),
     "stream_origin_dest": _per_batch(_top_all(EVENTS, "origin", "dest", "dep_delay")),
     "stream_route_carrier": _per_batch(_top_all(EVENTS, "origin, dest", "carrier", "arr_delay")),
     "stream_two_leg": _trips(EVENTS),
+    "stream_rate_limited": f"""{EVENTS}{BATCHES}, means AS (
+  SELECT batch_id, origin, carrier, avg(dep_delay) AS mean_delay FROM parts
+  WHERE dep_delay IS NOT NULL GROUP BY batch_id, origin, carrier)
+SELECT batch_id, origin, carrier, mean_delay, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY batch_id, origin ORDER BY mean_delay, carrier) AS rank FROM means)
+WHERE rank <= 10""",
+    "stream_trips_in_batches": _trips(EVENTS),
+    "stream_messages_sent_twice": f"""{EVENTS}{BATCHES}, means AS (
+  SELECT batch_id, carrier, avg(arr_delay) AS mean_delay FROM parts WHERE arr_delay IS NOT NULL GROUP BY batch_id, carrier)
+SELECT batch_id, carrier AS key, mean_delay AS metric FROM (
+  SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY mean_delay, carrier) AS place FROM means)
+WHERE place <= 10""",
+    "stream_windows_and_late_rows": f"""{EVENTS}{BATCHES}, ends AS (
+  SELECT xor(batch_id, 1) AS batch_id, flight_day, departed, origin AS airport FROM parts
+  UNION ALL SELECT xor(batch_id, 1), flight_day, departed, dest FROM parts),
+latest AS (SELECT batch_id, max(departed) AS latest FROM ends GROUP BY batch_id),
+limits AS (
+  SELECT batch_id, max(latest) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+         - INTERVAL 2 DAY AS late_before FROM latest)
+SELECT strftime(flight_day, '%Y-%m-%d 00:00:00') AS window_start, airport,
+       count(*) FILTER (WHERE NOT coalesce(flight_day + INTERVAL 1 DAY <= late_before, false)) AS n_in_time,
+       count(*) FILTER (WHERE flight_day + INTERVAL 1 DAY <= late_before) AS n_late
+FROM ends JOIN limits USING (batch_id) GROUP BY flight_day, airport""",
+    "csv_usable_rows": f"""{FLIGHTS}{BROKEN}
+SELECT flight_num, carrier, origin, dest, flight_date, dep_time, dep_delay, arr_delay FROM shown
+WHERE i % 13 <> 0 AND i % 17 <> 0 AND i % 19 <> 0 AND i % 23 <> 0""",
+    "csv_rejected_rows": f"""{FLIGHTS}{BROKEN}
+SELECT concat_ws(',', day_text, carrier_text, flight_num, origin, dest, time_text, delay_text,
+                 coalesce(CAST(arr_delay AS varchar), '')) AS record,
+       CASE WHEN i % 23 = 0 THEN 'number of fields' ELSE concat_ws('; ',
+         CASE WHEN i % 17 = 0 THEN 'flight_date: 2008-13-45' END, CASE WHEN i % 19 = 0 THEN 'dep_time: 2575' END,
+         CASE WHEN i % 13 = 0 THEN 'dep_delay: abc' END) END AS problems
+FROM shown WHERE i % 13 = 0 OR i % 17 = 0 OR i % 19 = 0 OR i % 23 = 0""",
     "stream_latest_in_batches": f"""{EVENTS}, parts AS (
   SELECT *, CAST((day(flight_day) - 1) // 8 AS bigint) AS batch_id FROM flights WHERE arr_delay IS NOT NULL),
 means AS (SELECT batch_id, carrier, avg(arr_delay) AS mean_delay FROM parts GROUP BY batch_id, carrier),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from flightrank.functions import is_airport, is_carrier
 from flightrank.operators.popularity import airport_counts
-from flightrank.operators.ranking import mean_delay, ranked, top_k, top_k_per_key
+from flightrank.operators.ranking import mean_delay, placed, ranked, top_k, top_k_per_key
 from flightrank.sources import parse_best_flights, parse_key_metric, parse_pair_metric
 
 
@@ -69,6 +69,18 @@ def _top_for(
     return top_k(means, "mean_delay", [entity], k)
 
 
+def all_carriers_on_routes(flights: DataFrame, metric: str = "arr_delay") -> DataFrame:
+    """Every carrier of every route in one ranking by mean delay, with its places."""
+    known = flights.filter(is_carrier("carrier") & is_airport("origin"))
+    means = mean_delay(known, ["origin", "dest", "carrier"], metric)
+    return placed(means, "mean_delay", ["origin", "dest", "carrier"])
+
+
+def all_airports(flights: DataFrame) -> DataFrame:
+    """Every airport by flights to and from it, with its places."""
+    return placed(airport_counts(flights), "n", ["airport"], ascending=False)
+
+
 def route_delays(flights: DataFrame, metric: str = "arr_delay") -> DataFrame:
     """Mean delay of every route."""
     return mean_delay(flights, ["origin", "dest"], metric)

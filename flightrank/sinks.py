@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightrank.functions import flight_report, json_array
 from flightrank.session import shared_folder
+from flightrank.sources import BATCH_HEADER
 
 
 def write_csv(results: DataFrame, path: str, one_file: bool = False) -> None:
@@ -21,6 +22,11 @@ def messages(results: DataFrame) -> DataFrame:
     return results.select(json_array(results.schema).alias("value"))
 
 
+def _entity(results: DataFrame, entity: Sequence[str]) -> Column:
+    names = [F.date_format(c, "yyyy-MM-dd") if dict(results.dtypes)[c] == "date" else c for c in entity]
+    return F.concat_ws(" ", *names)
+
+
 def answer_messages(results: DataFrame, entity: Sequence[str], metric: str) -> DataFrame:
     """One message of two parts per row, ``["ATL AA", 0.5]``, as ``parse_messages`` reads them.
 
@@ -28,8 +34,21 @@ def answer_messages(results: DataFrame, entity: Sequence[str], metric: str) -> D
     space. An answer about one airport names the carrier alone; one about every
     airport names the airport as well.
     """
-    names = [F.date_format(c, "yyyy-MM-dd") if dict(results.dtypes)[c] == "date" else c for c in entity]
-    return messages(results.select(F.concat_ws(" ", *names).alias("entity"), metric))
+    return messages(results.select(_entity(results, entity).alias("entity"), metric))
+
+
+def batch_messages(results: DataFrame, entity: Sequence[str], metric: str, batch_id: int) -> DataFrame:
+    """The messages of ``answer_messages`` with the entity as their ``key``, which also keeps
+    those of one entity in order, and the micro-batch in their ``headers``.
+
+    A batch that runs again sends them again, all equal to the first ones, so
+    ``sources.parse_batch_messages`` can tell that it has them.
+    """
+    parts = results.select(_entity(results, entity).alias("entity"), metric)
+    number = F.struct(F.lit(BATCH_HEADER).alias("key"), F.lit(str(batch_id)).cast("binary").alias("value"))
+    return parts.select(
+        F.col("entity").alias("key"), json_array(parts.schema).alias("value"), F.array(number).alias("headers")
+    )
 
 
 def report_lines(flights: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flightrank.functions import clock_time, delay_minutes, remove_quotes
 from flightrank.schema import ALL_FIELDS, FIELD_POSITION, HEADER_MARK, HEADER_NAMES
+from flightrank.sources.checked_csv import counted_checks, read_checked, rejects, usable
 
 
 def _fields() -> Column:
@@ -23,17 +24,17 @@ def _is_header(fields: Column) -> Column:
     return F.upper(remove_quotes(F.get(fields, F.lit(0)))) == HEADER_MARK
 
 
-def _typed(raw: dict[str, Column], legacy_len: bool) -> list[Column]:
-    return [
-        raw["flight_num"].alias("flight_num"),
-        raw["carrier"].alias("carrier"),
-        raw["origin"].alias("origin"),
-        raw["dest"].alias("dest"),
-        raw["flight_date"].try_cast("date").alias("flight_date"),
-        clock_time(raw["dep_time"]).alias("dep_time"),
-        delay_minutes(raw["dep_delay"], legacy_len).alias("dep_delay"),
-        delay_minutes(raw["arr_delay"], legacy_len).alias("arr_delay"),
-    ]
+def _typed(raw: dict[str, Column], legacy_len: bool) -> dict[str, Column]:
+    return {
+        "flight_num": raw["flight_num"],
+        "carrier": raw["carrier"],
+        "origin": raw["origin"],
+        "dest": raw["dest"],
+        "flight_date": raw["flight_date"].try_cast("date"),
+        "dep_time": clock_time(raw["dep_time"]),
+        "dep_delay": delay_minutes(raw["dep_delay"], legacy_len),
+        "arr_delay": delay_minutes(raw["arr_delay"], legacy_len),
+    }
 
 
 def counted(lines: DataFrame, as_name: str | Observation, min_fields: int = ALL_FIELDS) -> DataFrame:
@@ -74,7 +75,7 @@ def parse_flights(
         name: remove_quotes(F.get(F.col("fields"), F.lit(position)))
         for name, position in FIELD_POSITION.items()
     }
-    return kept.select(*_typed(raw, legacy_len))
+    return kept.select(*[c.alias(name) for name, c in _typed(raw, legacy_len).items()])
 
 
 def rejected_lines(lines: DataFrame, min_fields: int = ALL_FIELDS) -> DataFrame:
@@ -85,15 +86,39 @@ def rejected_lines(lines: DataFrame, min_fields: int = ALL_FIELDS) -> DataFrame:
     return split.filter((F.col("n_fields") < min_fields) & ~F.col("header")).drop("header")
 
 
+def checked_by_name(
+    spark: SparkSession,
+    path: str,
+    names: dict[str, str] = HEADER_NAMES,
+    legacy_len: bool = False,
+) -> DataFrame:
+    """Every row of CSV files with a header, by column name, with what is wrong with it."""
+    fields = {ours: F.col(f"`{theirs}`") for ours, theirs in names.items()}
+    # A delay that the legacy rule leaves out can still be read, so its row is no problem.
+    return read_checked(spark, path, _typed(fields, legacy_len), names, _typed(fields, False))
+
+
 def flights_by_name(
     spark: SparkSession,
     path: str,
     names: dict[str, str] = HEADER_NAMES,
     legacy_len: bool = False,
+    line_counts: Observation | None = None,
 ) -> DataFrame:
-    """Read CSV files with a header through Spark's quote-aware reader, by column name."""
-    table = spark.read.option("header", True).csv(path)
-    return table.select(*_typed({ours: F.col(theirs) for ours, theirs in names.items()}, legacy_len))
+    """Read CSV files with a header through Spark's quote-aware reader, by column name.
+
+    Rows with a field that cannot be read are left out: ``line_counts`` reports how
+    many, ``rejected_by_name`` returns them.
+    """
+    checked = checked_by_name(spark, path, names, legacy_len)
+    if line_counts is not None:
+        checked = counted_checks(checked, line_counts)
+    return usable(checked)
+
+
+def rejected_by_name(spark: SparkSession, path: str, names: dict[str, str] = HEADER_NAMES) -> DataFrame:
+    """The rows that ``flights_by_name`` leaves out: ``record`` and its ``problems``."""
+    return rejects(checked_by_name(spark, path, names))
 
 
 def render_lines(flights: DataFrame, whole_minutes: bool = False) -> DataFrame:

@@ -6,8 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightrank.functions import delay_minutes, is_airport, remove_quotes
+from flightrank.sources.checked_csv import PROBLEMS, counted_checks, read_checked, rejects, usable
+
+# The header of a message that holds the number of its micro-batch.
+BATCH_HEADER = "batch"
 
 # Result tables and the columns of their records.
 RECORD_SHAPES = {
@@ -125,7 +130,55 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def read_records(spark: SparkSession, table: str, path: str, header: bool = True) -> DataFrame:
-    """CSV results as the typed records of ``table``; rows without an airport code are left out."""
-    records = spark.read.schema(RECORD_SHAPES[table]).option("header", header).csv(path)
-    return records.filter(is_airport(records.columns[0]))
+def checked_records(spark: SparkSession, table: str, path: str, header: bool = True) -> DataFrame:
+    """Every row of CSV results by the fields of ``table``, with what is wrong with it."""
+    fields = T.StructType.fromDDL(RECORD_SHAPES[table]).fields
+    names = spark.read.option("header", True).csv(path).columns if header else [f.name for f in fields]
+    # Fields are taken by place: earlier jobs name them differently.
+    raw = {f.name: name for f, name in zip(fields, names)}
+    if len(names) < len(fields):
+        raise ValueError(f"{path} has {len(names)} fields, {table} needs {len(fields)}")
+    typed = {f.name: F.col(f"`{raw[f.name]}`").try_cast(f.dataType) for f in fields}
+    checked = read_checked(spark, path, typed, raw, header=None if header else names)
+    no_code = ~F.coalesce(is_airport(fields[0].name), F.lit(False)) & (F.size(PROBLEMS) == 0)
+    problem = F.when(no_code, F.array(F.lit(f"{fields[0].name}: no airport"))).otherwise(F.col(PROBLEMS))
+    return checked.withColumn(PROBLEMS, problem)
+
+
+def read_records(
+    spark: SparkSession, table: str, path: str, header: bool = True, line_counts: Observation | None = None
+) -> DataFrame:
+    """CSV results as the typed records of ``table``.
+
+    Rows that cannot be read or have no airport code are left out: ``line_counts``
+    reports how many, ``rejected_records`` returns them.
+    """
+    checked = checked_records(spark, table, path, header)
+    if line_counts is not None:
+        checked = counted_checks(checked, line_counts)
+    return usable(checked)
+
+
+def rejected_records(spark: SparkSession, table: str, path: str, header: bool = True) -> DataFrame:
+    """The rows that ``read_records`` leaves out: ``record`` and its ``problems``."""
+    return rejects(checked_records(spark, table, path, header))
+
+
+def parse_batch_messages(messages: DataFrame) -> DataFrame:
+    """Messages that ``sinks.batch_messages`` made: ``batch_id key metric``, each once.
+
+    A batch that ran again has sent the same messages a second time; a message is
+    known by its batch and its key. Messages without a batch number are left out.
+    """
+    numbers = F.filter("headers", lambda h: h["key"] == BATCH_HEADER)
+    number = F.get(numbers, F.lit(0))["value"].cast("string").try_cast("bigint")
+    return (
+        messages.select(
+            number.alias("batch_id"), F.col("key").cast("string").alias("key"), _message_parts().alias("parts")
+        )
+        .filter(F.col("batch_id").isNotNull() & (F.size("parts") == 2))
+        .withColumn("metric", delay_minutes(F.trim(F.get("parts", F.lit(1)))))
+        .filter(F.col("metric").isNotNull())
+        .groupBy("batch_id", "key")
+        .agg(F.max("metric").alias("metric"))
+    )

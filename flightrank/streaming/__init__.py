@@ -1,4 +1,6 @@
+from flightrank.streaming.late import count_windows, read_late, read_windows
 from flightrank.streaming.rankings import (
+    LATE_DAYS,
     LEG,
     best_legs,
     best_legs_stream,
@@ -16,24 +18,28 @@ from flightrank.streaming.run import (
     drain_updated,
     drain_upserted,
     publish_trips,
+    run_to_end,
 )
 from flightrank.streaming.sinks import (
     BATCH_INTERVAL,
-    MAX_PARTS,
     publish_batches,
+    publish_messages,
     publish_to_kafka,
-    read_latest,
     show_on_console,
-    upsert_results,
+    to_files,
+    to_kafka,
     write_batches,
 )
+from flightrank.streaming.store import BUCKETS, read_latest, upsert_results
 
 __all__ = [
     "BATCH_INTERVAL",
+    "BUCKETS",
+    "LATE_DAYS",
     "LEG",
-    "MAX_PARTS",
     "best_legs",
     "best_legs_stream",
+    "count_windows",
     "drain_appended",
     "drain_latest",
     "drain_ranked",
@@ -41,12 +47,18 @@ __all__ = [
     "drain_updated",
     "drain_upserted",
     "publish_batches",
+    "publish_messages",
     "publish_to_kafka",
     "publish_trips",
+    "read_late",
     "read_latest",
+    "read_windows",
+    "run_to_end",
     "running_carriers",
     "running_popularity",
     "show_on_console",
+    "to_files",
+    "to_kafka",
     "two_leg_stream",
     "untimed",
     "upsert_results",

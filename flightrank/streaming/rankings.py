@@ -52,7 +52,11 @@ def untimed(flights: DataFrame, as_name: str) -> DataFrame:
     return flights.observe(as_name, F.count_if(missing).alias("untimed"))
 
 
-def best_legs(flights: DataFrame, late: str = "1 day") -> DataFrame:
+# How many days a flight may come after those of a later day, by default.
+LATE_DAYS = 1
+
+
+def best_legs(flights: DataFrame, late: str = f"{LATE_DAYS} day") -> DataFrame:
     """Best flight per route, day and half of the day, from one reading of the source.
 
     For update mode with a keyed store: a leg is emitted whenever a better

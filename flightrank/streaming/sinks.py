@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from flightrank.operators.ranking import latest_per_key
-from flightrank.sinks import answer_messages
+from flightrank.sinks import answer_messages, batch_messages
 
 # Fixed value: seconds between micro-batches.
 BATCH_INTERVAL = "60 seconds"
@@ -39,23 +35,48 @@ def publish_to_kafka(
     )
 
 
-def publish_batches(
-    brokers: str, topic: str, transform: Transform, entity: Sequence[str], metric: str
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` writer: each batch's answer as messages of two parts, sent by the executors."""
+Send = Callable[[DataFrame], None]
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+
+def to_kafka(brokers: str, topic: str) -> Send:
+    """Sends messages with their keys and headers; needs the Kafka connector on the class path."""
+
+    def send(messages: DataFrame) -> None:
         (
-            answer_messages(transform(batch), entity, metric)
-            .write.format("kafka")
+            messages.write.format("kafka")
             .option("kafka.bootstrap.servers", brokers)
             .option("topic", topic)
             .save()
         )
 
+    return send
+
+
+def to_files(path: str) -> Send:
+    """Appends messages, with their keys and headers, to files; a topic for those without a broker."""
+    return lambda messages: messages.write.mode("append").parquet(path)
+
+
+def publish_messages(
+    send: Send, transform: Transform, entity: Sequence[str], metric: str
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer: each batch's answer as messages with a key and the batch's
+    number, sent by the executors. A batch may be sent twice, after a failure; its
+    reader drops what it has (``sources.parse_batch_messages``)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        send(batch_messages(transform(batch), entity, metric, batch_id))
+
     return write
 
 
+def publish_batches(
+    brokers: str, topic: str, transform: Transform, entity: Sequence[str], metric: str
+) -> Callable[[DataFrame, int], None]:
+    """``publish_messages`` to a Kafka topic."""
+    return publish_messages(to_kafka(brokers, topic), transform, entity, metric)
+
+
 def show_on_console(stream: DataFrame, mode: str = "append", rows: int = 100) -> DataStreamWriter:
     return (
         stream.writeStream.format("console")
@@ -76,94 +97,3 @@ def write_batches(path: str, transform: Transform | None = None) -> Callable[[Da
         result.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
-
-
-# A store is merged into one part when it has this many.
-MAX_PARTS = 10
-
-
-def upsert_results(
-    path: str, keys: list[str], transform: Transform | None = None
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` writer that keeps the latest result of each key.
-
-    A batch writes a part with its own rows; a small pointer then names the
-    parts that make up the table, so a reader sees whole batches only. Parts are
-    merged from time to time and those no longer named are deleted. A batch that
-    runs again starts from the parts before it. A store that another run has
-    filled is refused: results of two runs must not mix.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        result = transform(batch) if transform else batch
-        result = result.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        held = _pointer(spark, path)
-        if held is None:
-            base, replaced = [], []
-        elif held["batch_id"] == batch_id:
-            base, replaced = held["before"], held["parts"]
-        elif held["batch_id"] == batch_id - 1:
-            base, replaced = held["parts"], held["before"]
-        else:
-            raise ValueError(
-                f"{path} ends with batch {held['batch_id']} of another run; batch {batch_id} needs a new folder"
-            )
-        own = f"part-{batch_id:06d}-{uuid.uuid4().hex[:8]}"
-        parts = [*base, own]
-        if len(parts) > MAX_PARTS:
-            stored = spark.read.schema(result.schema).parquet(*[f"{path}/{p}" for p in base])
-            result, parts = latest_per_key(stored.unionByName(result), keys, ["batch_id"]), [own]
-        result.write.parquet(f"{path}/{own}")
-        _point(spark, path, {"batch_id": batch_id, "keys": keys, "parts": parts, "before": base})
-        for part in set(replaced) - set(parts) - set(base):
-            _delete(spark, f"{path}/{part}")
-
-    return write
-
-
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The table that ``upsert_results`` keeps: the latest row of each key."""
-    held = _pointer(spark, path)
-    if held is None:
-        raise ValueError(f"{path} holds no results")
-    parts = spark.read.parquet(*[f"{path}/{p}" for p in held["parts"]])
-    return latest_per_key(parts, held["keys"], ["batch_id"])
-
-
-def _files(spark: SparkSession, path: str):
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    files, place = _files(spark, path)
-    files.delete(place, True)
-
-
-def _pointer(spark: SparkSession, path: str) -> dict | None:
-    files, place = _files(spark, f"{path}/_current")
-    if not files.exists(place):
-        return None
-    source = files.open(place)
-    try:
-        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
-    finally:
-        source.close()
-
-
-def _point(spark: SparkSession, path: str, held: dict) -> None:
-    """Replace the pointer in one step, by a rename."""
-    jvm = spark.sparkContext._jvm
-    files, place = _files(spark, f"{path}/_current")
-    _, fresh = _files(spark, f"{path}/_next")
-    out = files.create(fresh, True)
-    out.write(bytearray(json.dumps(held).encode()))
-    out.close()
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    how = spark.sparkContext._gateway.new_array(rename, 1)
-    how[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        files.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
-    )
-    context.rename(fresh, place, how)

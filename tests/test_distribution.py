@@ -6,6 +6,7 @@ import pytest
 
 from flightrank import sources
 from flightrank.operators import cumulative, distribution
+from flightrank.session import written_once
 
 
 def frame(spark, values):
@@ -37,15 +38,51 @@ SAMPLES = {
 
 
 @pytest.mark.parametrize("name", SAMPLES)
-@pytest.mark.parametrize("buckets", [4, 64])
-def test_fit_equals_brute_force(spark, name, buckets):
+@pytest.mark.parametrize("cells", [3, None])
+def test_fit_equals_brute_force(spark, name, cells):
     d, xmin, n_tail, alpha = brute_fit(SAMPLES[name])
-    for few in (0, distribution.FEW_VALUES):
-        fit = distribution.powerlaw_fit(frame(spark, SAMPLES[name]), "n", buckets, spread=3, few=few)
-        [row] = fit.collect()
-        assert (row.xmin, row.n_tail) == (xmin, n_tail)
-        assert row.alpha == pytest.approx(alpha, rel=1e-9)
-        assert row.d == pytest.approx(d, abs=1e-9)
+    [row] = distribution.powerlaw_fit(frame(spark, SAMPLES[name]), "n", cells, spread=3).collect()
+    assert (row.xmin, row.n_tail) == (xmin, n_tail)
+    assert row.alpha == pytest.approx(alpha, rel=1e-9)
+    assert row.d == pytest.approx(d, abs=1e-9)
+
+
+@pytest.mark.parametrize("name", SAMPLES)
+def test_bounds_hold_for_every_candidate_and_cell(spark, name):
+    """No distance inside a cell is above its bound, none at its ends above the distance."""
+    counts = written_once(distribution.value_counts(frame(spark, SAMPLES[name]), "n"), "counts")
+    whole = counts.selectExpr("count(*) AS values", "sum(n) AS samples", "min(x) AS least", "max(x) AS largest").first()
+    points = distribution._points(counts, whole, 6)
+    grid = distribution._grid(points)
+    held = points.orderBy("x").toPandas()
+    some = distribution._candidates(points, whole["largest"]).orderBy("m").toPandas()
+    ends, most = distribution._at_cells({c: some[c].to_numpy() for c in some}, grid)
+    for i, m in some.iterrows():
+        tail = held[held.below >= m.m_below]
+        gap = np.abs((tail.below - m.m_below) / m.n_tail + np.expm1((1 - m.alpha) * (tail.ln - m.m_ln)))
+        for c, cell in enumerate(grid["cell"]):
+            inside = gap[tail.cell == cell]
+            if len(inside):
+                assert inside.max() <= most[i, c]
+                assert ends[i, c] <= inside.max() + 1e-12
+            else:
+                assert most[i, c] == -1
+
+
+def test_the_search_opens_few_cells_of_many_values(spark):
+    """A true power law, whose distances are as small as chance allows: far from all pairs are compared."""
+    values = (1 - np.random.default_rng(8).random(20_000)) ** (-1 / 1.7)
+    counts = written_once(distribution.value_counts(frame(spark, values), "n"), "counts")
+    whole = counts.selectExpr("count(*) AS values", "sum(n) AS samples", "min(x) AS least", "max(x) AS largest").first()
+    n = whole["values"]
+    points = distribution._points(counts, whole, math.isqrt(n))
+    grid = distribution._grid(points)
+    some = distribution._candidates(points, whole["largest"]).toPandas()
+    of_cell = points.groupBy("cell").count().toPandas().set_index("cell")["count"].loc[grid["cell"]].to_numpy()
+    ends, most = distribution._at_cells({c: some[c].to_numpy() for c in some}, grid)
+    alive = ends.max(1) <= most.max(1).min()
+    compared = ((most[alive] > ends[alive].max(1)[:, None]) * of_cell).sum()
+    assert alive.any() and compared < 3 * n * math.isqrt(n) < n * n / 20
 
 
 def test_values_that_cannot_be_fitted_are_ignored(spark):
@@ -121,13 +158,13 @@ def test_lognormal_samples_favour_the_lognormal(spark):
     assert math.isfinite(row.mu) and row.sigma > 0
 
 
-@pytest.mark.parametrize("few", [0, distribution.FEW_VALUES])
-def test_published_frequencies(spark, few):
+@pytest.mark.parametrize("cells", [3, None])
+def test_published_frequencies(spark, cells):
     """Published ratio -3.485522 and p 0.000491 for 285 airports."""
     path = Path(__file__).parent / "data" / "airport_counts.txt"
     frequencies = sources.parse_frequencies(spark.read.text(str(path)))
     assert frequencies.count() == 285
-    [row] = distribution.lognormal_fit(frequencies, "n", few=few).collect()
+    [row] = distribution.lognormal_fit(frequencies, "n", cells).collect()
     assert (row.xmin, row.n_tail, row.favoured) == (62742.0, 181, "lognormal")
     assert row.alpha == pytest.approx(1.497533, abs=1e-5)
     assert row.d == pytest.approx(0.102513, abs=1e-5)
@@ -142,12 +179,11 @@ EDGES = {
 }
 
 
-@pytest.mark.parametrize("few", [0, distribution.FEW_VALUES])
 @pytest.mark.parametrize("name", EDGES)
-def test_without_two_values_there_is_no_fit_and_no_favourite(spark, name, few):
+def test_without_two_values_there_is_no_fit_and_no_favourite(spark, name):
     df = frame(spark, EDGES[name])
-    assert distribution.powerlaw_fit(df, "n", few=few).collect() == []
-    [row] = distribution.lognormal_fit(df, "n", few=few).collect()
+    assert distribution.powerlaw_fit(df, "n").collect() == []
+    [row] = distribution.lognormal_fit(df, "n").collect()
     assert (row.xmin, row.mu, row.ratio, row.favoured) == (None, None, None, "neither")
     [alpha] = distribution.powerlaw_alpha(df, "n").collect()
     assert alpha.alpha is None
@@ -161,10 +197,9 @@ def test_alpha_ignores_values_that_are_no_numbers(spark):
     assert (row.xmin, row.n_tail) == (2.0, 2) and row.alpha == pytest.approx(1 + 2 / math.log(2))
 
 
-@pytest.mark.parametrize("few", [0, distribution.FEW_VALUES])
-def test_large_neighbours_with_the_same_logarithm(spark, few):
+def test_large_neighbours_with_the_same_logarithm(spark):
     values = [5.0, 7.0, 1e16, 1e16 + 2]
-    [row] = distribution.powerlaw_fit(frame(spark, values), "n", few=few).collect()
+    [row] = distribution.powerlaw_fit(frame(spark, values), "n").collect()
     ln = [math.log1p(2 / 1e16)]
     expected = 1 + 2 / ln[0] if row.xmin == 1e16 else brute_fit(values[:3] + [1e16])[3]
     assert row.alpha == pytest.approx(expected, rel=1e-3)
@@ -183,4 +218,4 @@ def test_a_fit_of_few_values_takes_few_jobs(spark):
         distribution.lognormal_fit(frame(spark, SAMPLES["lognormal"][:300]), "n").collect()
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert len(tracker.getJobIdsForGroup("few-values")) < 14
+    assert len(tracker.getJobIdsForGroup("few-values")) < 40

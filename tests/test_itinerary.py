@@ -38,19 +38,38 @@ def test_best_flight_per_half_day_with_ties(spark):
     assert sorted((r.half_day, r.flight_num) for r in best) == [("AM", "1"), ("PM", "4")]
 
 
-def test_flights_are_sorted_once(spark):
-    """One exchange, and the only sort lies behind it."""
-    plan = itinerary.best_flights(table(spark, flight()))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
-    assert plan.index("Sort [") < plan.index("Exchange")
-
-
-def test_a_busy_key_can_be_split(spark):
-    rows = [flight(num=str(i), arr=float(i * 7 % 101), date=f"2008-01-{5 if i % 3 else 6:02}") for i in range(300)]
-    known = itinerary.candidates(table(spark, *rows))
-    whole = itinerary.best_per(known, ("origin", "flight_date")).collect()
-    split = itinerary.best_per(known, ("origin", "flight_date"), spread=5).collect()
-    assert sorted(map(tuple, whole)) == sorted(map(tuple, split)) and len(whole) == 2
+def exchanged_rows(df):
+    """How many rows each exchange of an executed plan was given."""
+    plan = df._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+    found, rest = [], [plan]
+    while rest:
+        node = rest.pop()
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        rest += [children.apply(i) for i in range(children.length())]
+        if hasattr(node, "plan") and node.nodeName().startswith("ShuffleQueryStage"):
+            rest.append(node.plan())
+    return found
+
+
+def test_a_route_and_day_with_a_third_of_all_flights_sends_one_row_a_task(spark):
+    busy = [flight(num=str(i), arr=float(i * 7 % 101), carrier="AB"[i % 2] * 2) for i in range(1000)]
+    others = [flight(num=str(i), origin=f"X{i % 50:02}", date=f"2008-02-{1 + i % 28:02}") for i in range(2000)]
+    rows = busy + others
+    random.Random(3).shuffle(rows)
+    flights = spark.createDataFrame(
+        spark.sparkContext.parallelize(rows, 6), table(spark).schema
+    )
+    best = itinerary.best_flights(flights)
+    found = best.collect()
+    expected = {}
+    for num, carrier, origin, dest, day, time, _, arr in rows:
+        key = (origin, dest, day, "AM")
+        expected[key] = min(expected.get(key, (arr, carrier, num, time)), (arr, carrier, num, time))
+    assert sorted((r[:4], r[4:]) for r in map(tuple, found)) == sorted(expected.items())
+    [sent] = exchanged_rows(best)
+    assert sent <= 6 * len(expected) and sent - 6 <= 2000
 
 
 def test_a_cancelled_flight_wins_only_on_request(spark):

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from flightrank import sinks, sources
+from flightrank import jobs, sinks, sources
 from flightrank.functions import departure_time, half_day, python_float
 from flightrank.schema import FIELDS_FOR
 
@@ -156,6 +156,66 @@ def test_header_mode_reads_by_name(spark, tmp_path):
     assert row.arr_delay is None
 
 
+BROKEN = (
+    "FL_DATE,CARRIER,FL_NUM,ORIGIN,DEST,DEP_TIME,DEP_DELAY,ARR_DELAY,CITY\n"
+    "2008-01-05,AA,1,ATL,ORD,0905,1.5,-2,x\n"
+    "2008-01-05,AA,2,ATL,ORD,0905,,,x\n"
+    "2008-02-30,AA,3,ATL,ORD,0905,1,2,x\n"
+    "2008-01-05,AA,4,ATL,ORD,2575,abc,nan,x\n"
+    "2008-01-05,AA,5,ATL,ORD,0905,1,2\n"
+    "2008-01-05,AA,6,ATL,ORD,0905,1,2,x,y\n"
+    "2008-01-05,AA,7,ATL,ORD,0905,5,2,x\n"
+)
+
+
+def test_rows_that_cannot_be_read_go_to_a_table_of_their_own(spark, tmp_path):
+    path = tmp_path / "flights.csv"
+    path.write_text(BROKEN)
+    counts = Observation("checked")
+    good = sources.flights_by_name(spark, str(path), line_counts=counts).collect()
+    assert sorted((r.flight_num, r.dep_delay, r.arr_delay) for r in good) == [
+        ("1", 1.5, -2.0), ("2", None, None), ("7", 5.0, 2.0)
+    ]
+    assert counts.get == {"lines": 7, "rejected": 4}
+    bad = {r.record: r.problems for r in sources.rejected_by_name(spark, str(path)).collect()}
+    lines = BROKEN.splitlines()
+    assert bad == {
+        lines[3]: ["flight_date: 2008-02-30"],
+        lines[4]: ["dep_time: 2575", "dep_delay: abc", "arr_delay: nan"],
+        lines[5]: ["number of fields"],
+        lines[6]: ["number of fields"],
+    }
+    legacy = sources.flights_by_name(spark, str(path), legacy_len=True).collect()
+    assert sorted((r.flight_num, r.dep_delay, r.arr_delay) for r in legacy) == [
+        ("1", 1.5, -2.0), ("2", None, None), ("7", None, None)
+    ]
+
+
+def test_a_row_is_rejected_whichever_columns_are_asked_for(spark, tmp_path):
+    path = tmp_path / "flights.csv"
+    path.write_text(BROKEN)
+    assert sources.flights_by_name(spark, str(path)).select("carrier").count() == 3
+    assert sources.rejected_by_name(spark, str(path)).count() == 4
+
+
+def test_a_csv_without_a_column_says_so(spark, tmp_path):
+    path = tmp_path / "flights.csv"
+    path.write_text("FL_DATE,CARRIER\n2008-01-05,AA\n")
+    with pytest.raises(ValueError, match="ARR_DELAY, DEP_DELAY"):
+        sources.flights_by_name(spark, str(path))
+
+
+def test_a_job_counts_and_writes_the_rows_it_rejects(spark, tmp_path, capsys):
+    path, out = tmp_path / "flights.csv", tmp_path / "rejects"
+    path.write_text(BROKEN)
+    counts = Observation("job")
+    args = ["carriers", "--csv", str(path), "--rejects", str(out)]
+    [row] = jobs.answer(spark, jobs.parser().parse_args(args), counts).collect()
+    assert (row.carrier, row.mean_delay) == ("AA", 0.0) and counts.get == {"lines": 7, "rejected": 4}
+    with pytest.raises(ValueError, match="rejects"):
+        jobs.checked(jobs.parser().parse_args(["carriers", "--lines", "x", "--rejects", str(out)]))
+
+
 flights = st.builds(
     flight,
     num=st.from_regex(r"[0-9]{1,4}", fullmatch=True),
@@ -231,6 +291,37 @@ def test_records_keep_only_rows_with_an_airport(spark, tmp_path):
     ]
 
 
+def test_records_that_cannot_be_read_are_told_apart(spark, tmp_path):
+    path = tmp_path / "r.csv"
+    path.write_text("Airport,Carrier,Delay\nATL,DL,1.5\nATLX,DL,2.5\nATL,DL,x\nORD,DL,\nATL,DL\n")
+    table, counts = "average-airport-delay-for-each-airport", Observation("records")
+    rows = sources.read_records(spark, table, str(path), line_counts=counts).collect()
+    assert sorted(map(tuple, rows)) == [("ATL", "DL", 1.5), ("ORD", "DL", None)]
+    assert counts.get == {"lines": 5, "rejected": 3}
+    bad = {r.record: r.problems for r in sources.rejected_records(spark, table, str(path)).collect()}
+    assert bad == {
+        "ATLX,DL,2.5": ["airport: no airport"],
+        "ATL,DL,x": ["average_departure_delay: x"],
+        "ATL,DL": ["number of fields"],
+    }
+    bare = tmp_path / "bare.csv"
+    bare.write_text("ATL,DL,1.5\nATL,DL,y\n")
+    assert sources.read_records(spark, table, str(bare), header=False).count() == 1
+    assert sources.rejected_records(spark, table, str(bare), header=False).count() == 1
+
+
+def test_messages_of_a_batch_that_ran_twice_are_read_once(spark):
+    rows = [("ATL AA", 1.5), ("ATL BB", -2.0)]
+    results = spark.createDataFrame(rows, "entity string, delay double")
+    sent = [sinks.batch_messages(results, ["entity"], "delay", i) for i in (0, 0, 1)]
+    messages = sent[0].unionByName(sent[1]).unionByName(sent[2].limit(1))
+    assert {r.key for r in messages.collect()} == {"ATL AA", "ATL BB"}
+    read = sources.parse_batch_messages(messages)
+    assert sorted(map(tuple, read.collect())) == [(0, "ATL AA", 1.5), (0, "ATL BB", -2.0), (1, "ATL AA", 1.5)]
+    plain = sources.parse_messages(messages).collect()
+    assert len(plain) == 5 and {r.key for r in plain} == {"ATL AA", "ATL BB"}
+
+
 def test_report_lines(spark, tmp_path):
     flights = table(spark, flight(num="17", arr=-2.5), flight(num="18", time=None, arr=3.0))
     sinks.write_report(flights, str(tmp_path / "report"))

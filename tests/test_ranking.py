@@ -1,3 +1,7 @@
+import math
+import random
+from fractions import Fraction
+
 import pytest
 from helpers import flight, lines, table
 from pyspark.sql import Observation
@@ -107,7 +111,7 @@ def test_rows_are_limited_before_the_shuffle(spark):
 def test_means_are_reduced_before_the_shuffle(spark):
     flights = table(spark, flight())
     plan = questions.carriers(flights)._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("TakeOrderedAndProject") < plan.index("Exchange") < plan.index("partial_avg")
+    assert plan.index("TakeOrderedAndProject") < plan.index("Exchange") < plan.index("partial_sum")
 
 
 def test_latest_per_key(spark):
@@ -227,3 +231,57 @@ def test_jobs_from_results(spark, tmp_path):
     assert [r.carrier for r in rows] == ["AA", "DL"]
     rows = job(spark, "carriers-from", "--results", str(path), "--k", "1")
     assert [(r.origin, r.carrier) for r in rows] == [("ATL", "AA"), ("ORD", "AA")]
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_places_of_a_whole_ranking_with_ties_across_ranges(spark, ascending):
+    """A third of the rows tie, so the tie goes on over several ranges."""
+    values = [float(i % 40) for i in range(400)] + [7.0] * 300 + [None] * 5 + [math.nan] * 3
+    rows = [(f"e{i:04}", v) for i, v in enumerate(values)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "entity string, m double").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        found = ranking.placed(df, "m", ["entity"], ascending).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+    def weight(value):  # NULLs first in a rising order, NaN above all numbers
+        if value is None:
+            return -2.0
+        return 1e9 if math.isnan(value) else value
+
+    order = sorted(rows, key=lambda r: (weight(r[1]) * (1 if ascending else -1), r[0]))
+    weights = [weight(v) for _, v in order]
+    assert sorted((r.place, r.entity, r.tied_place) for r in found) == [
+        (i + 1, entity, weights.index(weight(v)) + 1) for i, (entity, v) in enumerate(order)
+    ]
+
+
+def test_places_of_no_rows(spark):
+    df = spark.createDataFrame([], "entity string, m double")
+    assert ranking.placed(df, "m", ["entity"]).collect() == []
+
+
+def test_means_do_not_depend_on_how_rows_are_dealt(spark):
+    """Hundredths and tenths of minutes, whose doubles add up differently in another order."""
+    rng = random.Random(2)
+    delays = [round(rng.uniform(-30, 400), 2) for _ in range(3000)]
+    rows = [flight(num=str(i), carrier=f"C{i % 3}", arr=d) for i, d in enumerate(delays)]
+    exact = {
+        f"C{c}": float(sum(Fraction(str(d)) for d in delays[c::3])) / len(delays[c::3]) for c in range(3)
+    }
+    for partitions in (1, 7, 64):
+        dealt = table(spark, *rows).repartition(partitions)
+        assert {r.carrier: r.mean_delay for r in ranking.mean_delay(dealt, ["carrier"]).collect()} == exact
+
+
+def test_means_of_numbers_without_an_exact_place(spark):
+    rows = [("a", 1e300), ("a", 2.0), ("b", math.inf), ("b", 1.0), ("c", math.nan), ("d", -0.0), ("e", None)]
+    rows += [("f", 0.1), ("f", 0.2), ("g", -1.5), ("g", -2.25)]
+    df = spark.createDataFrame(rows, "k string, arr_delay double")
+    found = {r.k: r.mean_delay for r in ranking.mean_delay(df, ["k"]).collect()}
+    assert math.isnan(found.pop("c"))
+    assert found == {"a": 5e299, "b": math.inf, "d": 0.0, "f": 0.15, "g": -1.875}
