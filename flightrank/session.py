@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,13 +28,19 @@ def build_session(app_name: str = "flightrank", master: str | None = None, **con
 def shared_base(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder below the warehouse, which executors share as
-    well. The same rule holds for every kind of master, and no folder of one
-    machine is ever chosen. Intermediate tables have to stay until the results
-    that read them were used, so ``clear_shared`` deletes them, not the queries.
+    Where that is unset, a folder below the warehouse. On a cluster a warehouse on
+    the driver's own disk is refused, as executors would each write to theirs.
+    Intermediate tables have to stay until the results that read them were used,
+    so ``clear_shared`` deletes them, not the queries.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return (base or f"{spark.conf.get('spark.sql.warehouse.dir')}/flightrank-intermediate").rstrip("/")
+    if base:
+        return base.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    one_machine = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+    if not one_machine and re.match(r"file:|/", warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse.rstrip('/')}/flightrank-intermediate"
 
 
 _made: list[str] = []
