@@ -5,20 +5,28 @@ them, joined, so that wrapped notices are judged as a whole; it has the number o
 its first line. A block is reported for what none of its lines tells alone. Its features are the words and word pairs of
 the templates that occur in it, any other word counts for nothing. A sparse
 multinomial logistic regression tells licence families and ordinary text apart.
-It is fitted on the templates, each also with one word left out, and on the
+It is fitted on the templates, each also with one word left out, on sentences
+that use the words of licences for other things (``OTHERWISE``), and on the
 paragraphs of a bounded sample of documents (``SAMPLE_DOCS``, the first by a
-hash of the id) that resemble no template. A fifth of the rows is kept from the
-fit and calibrates the probability that a paragraph is a licence at all.
-
-A family is reported if the calibrated probability reaches ``THRESHOLD`` and the
-paragraph holds ``COVERAGE`` of the word pairs of one of its templates and the
-family's ``TERMS``, by which it differs from its neighbours. A paragraph that is probably a licence, but confirms a template only by
-``UNKNOWN_COVERAGE``, is ``unknown``, and so is any that is tagged as a licence
-(``EVIDENCE``) and confirms no family.
-
-Scanning reads every paragraph of every whole text; only paragraphs that may be
-reported are shuffled, by block; the model
-has one weight per family and feature of the templates.
+hash of the id) that resemble no template. A fifth of the rows, whole templates
+apart, is kept from the fit and calibrates the probability that a paragraph is a
+licence at all.
+
+A family is reported if the model predicts it, the calibrated probability of a
+licence reaches ``THRESHOLD``, and the paragraph confirms it: it holds
+``COVERAGE`` of the word pairs of one of the family's templates and the family's
+``TERMS``, by which it differs from its neighbours. The model predicts the family
+it finds likeliest and others to which it gives a share of ``GUESS``, for
+paragraphs with several notices. A paragraph that is probably a licence, but
+confirms a template only by ``UNKNOWN_COVERAGE``, is ``unknown``, and so is any
+that is tagged as a licence (``EVIDENCE``) and confirms no family. An expression of
+several identifiers behind a tag is judged identifier by identifier.
+
+A paragraph has to hold one of the ``CUES``, words without which no notice of a
+licence does; every wording among ``TERMS`` holds one. They are looked for in the
+raw text first, so most texts are never cut into words. Scanning reads every
+whole text; only paragraphs that may be reported are shuffled, by block; the
+model has one weight per family and feature of the templates.
 
 Defined results: null and empty texts have no paragraphs with a licence; a
 paragraph of any length is judged as a whole; rows that repeat are each scanned;
@@ -40,6 +48,7 @@ THRESHOLD = 0.5
 COVERAGE = 0.7
 UNKNOWN_COVERAGE = 0.1
 FIT_PARTITIONS = 4
+GUESS = 0.15
 ORDINARY = "none"
 UNKNOWN = "unknown"
 
@@ -61,6 +70,7 @@ TEMPLATES = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the "
         "GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "Distributed under the terms of the GNU GPL v3 or later.",
     ],
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License.",
@@ -86,6 +96,12 @@ TEMPLATES = {
         "Eclipse Public License 2.0",
     ],
     "agpl-3.0": ["This program is licensed under the GNU Affero General Public License, version 3."],
+    "isc": [
+        "ISC License",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+        "fee is hereby granted",
+    ],
+    "unlicense": ["This is free and unencumbered software released into the public domain."],
     "all-rights-reserved": ["All rights reserved.", "Copyright. All rights reserved."],
 }
 
@@ -103,9 +119,49 @@ IDENTIFIERS = {
     "cc0": ["CC0-1.0"],
     "epl-2.0": ["EPL-2.0"],
     "agpl-3.0": ["AGPL-3.0-only", "AGPL-3.0-or-later", "AGPL-3.0"],
+    "isc": ["ISC"],
+    "unlicense": ["Unlicense"],
 }
+# How an identifier is named in a line of its own.
+WORDINGS = (
+    "SPDX-License-Identifier: {}",
+    "License: {}",
+    "Licensed under {}.",
+    "Code under {}",
+    "This project is {} licensed.",
+)
 for _family, _ids in IDENTIFIERS.items():
-    TEMPLATES[_family] += [f"{tag}: {i}" for i in _ids for tag in ("SPDX-License-Identifier", "License")]
+    TEMPLATES[_family] += [w.format(i) for i in _ids for w in WORDINGS]
+
+# Sentences with the words of licences that grant nothing; the model learns them as ordinary text.
+OTHERWISE = [
+    "He got his fishing license and told the general public about it.",
+    "She lost her license to drive after the accident.",
+    "The library is open to the general public free of charge.",
+    "All of the rights of the people were reserved for the few.",
+    "A copy of the software was found in the source of the problem.",
+    "The terms of the agreement were made available to the public.",
+    "This version of the work is distributed in the hope of peace.",
+    "You may not use this file as a source for the library.",
+    "The foundation published a free program for the public domain of art.",
+    "The apache helicopter is a version of an older work.",
+    "The eclipse was public and the mozilla crowd was free.",
+    "Permission to enter the building is granted to any person with a copy of the form.",
+    "The license plate is under the car.",
+    "A driver needs a license and the general public needs roads.",
+    "His license to sell fish was taken by the general.",
+    "They asked the public for a license to build.",
+    "The hunting license of the general is free.",
+    "The work is dedicated to the public.",
+    "The creative commons of the town are open to everyone.",
+    "Redistribution of wealth is a matter of public use.",
+]
+
+# What every notice holds: one of these words, or "cc" with "by" after it.
+CUES = (
+    r"(?i)licen[sc]|spdx|rights|gplv|gpl-|apache-2|mpl-2|epl-2|bsd-|cc0|cc[^a-z]+by|attribution"
+    r"|redistribution|obtaining|under mit|under isc|permission|unencumbered|\bgpl\b"
+)
 
 # Words, joined, that tell of a licence whatever its name: a tag, or a line "License: name".
 EVIDENCE = r"(?:^| )spdx-license-identifier |^licen[sc]e \S+$"
@@ -115,9 +171,9 @@ EVIDENCE = r"(?:^| )spdx-license-identifier |^licen[sc]e \S+$"
 _GPL = r"(?:(?<!lesser )(?<!library )(?<!affero )general public license(?: as published by the free software foundation)?"
 TERMS = {
     "apache-2.0": r"apache(?: software)? license(?: version)? v?2(?:\.0)?|apache-2\.0",
-    "mit": r"mit license|to any person obtaining a copy of this software and associated documentation files"
-    r"|(?:license|spdx-license-identifier) mit",
-    "gpl-3.0": _GPL + r"(?: either)?(?: version)? (?:v ?)?3(?:\.0)?)|gpl-3\.0(?:-only|-or-later)?|gplv3",
+    "mit": r"mit licensed?|to any person obtaining a copy of this software and associated documentation files"
+    r"|(?:license|spdx-license-identifier|under) mit",
+    "gpl-3.0": _GPL + r"(?: either)?(?: version)? (?:v ?)?3(?:\.0)?)|gpl-3\.0(?:-only|-or-later)?|gplv3|gpl v3",
     "lgpl": r"(?:lesser|library) general public license|lgpl-(?:2\.0|2\.1|3\.0)(?:-only|-or-later)?|lgplv?[23]?",
     "bsd": r"redistribution and use in source and binary forms with or without modification are permitted"
     r"|bsd(?: [234]-clause)? license|bsd-[234]-clause",
@@ -128,6 +184,10 @@ TERMS = {
     "epl-2.0": r"eclipse public license(?: version)?(?: v\.?)? ?v?2(?:\.0)?|epl-2\.0",
     "agpl-3.0": r"affero general public license(?: as published by the free software foundation)?(?: either)?"
     r"(?: version)? (?:v ?)?3(?:\.0)?|agpl-3\.0(?:-only|-or-later)?",
+    "isc": r"isc licensed?|(?:license|spdx-license-identifier|under) isc"
+    r"|permission to use copy modify and or distribute this software for any purpose",
+    "unlicense": r"unencumbered software released into the public domain|(?:license|spdx-license-identifier|under) unlicense"
+    r"|unlicense licensed",
     "all-rights-reserved": r"all rights reserved",
 }
 
@@ -156,14 +216,15 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """``doc_id, lines`` of every block of lines: ``at``, the line's place in the text, and
+    """``doc_id, lines`` of every block of lines with a cue: ``at``, the line's place in the text, and
     its ``tokens``. Lines without a letter or digit, such as empty ones of a comment, end a block.
     """
     lines = F.transform(
         F.split("text", "\n"),
         lambda x, i: F.when(x.rlike(r"[\p{L}\p{N}]"), F.concat(i.cast("string"), F.lit("\t"), x)).otherwise(F.lit("")),
     )
-    each = docs.select("doc_id", F.explode(F.split(F.array_join(lines, "\n"), "\n\n+")).alias("block"))
+    cued = docs.filter(F.col("text").rlike(CUES))
+    each = cued.select("doc_id", F.explode(F.split(F.array_join(lines, "\n"), "\n\n+")).alias("block"))
     numbered = F.filter(F.split("block", "\n"), lambda x: F.length(x) > 0)
     made = F.transform(
         numbered,
@@ -173,7 +234,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         ),
     )
     # The one-element explode makes the words of a block once, not for each use.
-    return each.filter(F.length("block") > 0).select("doc_id", F.explode(F.array(made)).alias("lines"))
+    return each.filter(F.col("block").rlike(CUES)).select("doc_id", F.explode(F.array(made)).alias("lines"))
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -237,6 +298,7 @@ def train(docs: DataFrame) -> Scanner:
     ).select(
         "family",
         F.array_join(F.filter("w", lambda x, i: i + 1 != F.col("left_out")), " ").alias("text"),
+        (F.col("left_out") == 0).alias("whole"),
     )
     # The vocabulary is that of the templates, some hundred terms.
     terms = own.select(F.explode(F.concat("w", pairs(F.col("w")))).alias("term")).distinct()
@@ -258,11 +320,15 @@ def train(docs: DataFrame) -> Scanner:
     ordinary = paragraphs(sample).select(F.lit(ORDINARY).alias("family"), "text").distinct()
     ordinary = ordinary.filter(_resembles(pairs(words(F.col("text"))), _template_pairs()) < COVERAGE / 2)
 
+    otherwise = spark.createDataFrame([(ORDINARY, t) for t in OTHERWISE], "family string, text string")
+    ordinary = ordinary.unionByName(otherwise).withColumn("whole", F.lit(False))
+
     families = [ORDINARY, *TEMPLATES]
     number = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")) - 1
-    blank = spark.createDataFrame([(ORDINARY, "")], "family string, text string")
+    blank = spark.createDataFrame([(ORDINARY, "", False)], "family string, text string, whole boolean")
     rows = _measured(variants.unionByName(ordinary).unionByName(blank), counts)
-    rows = rows.select(number.cast("double").alias("label"), "features", F.pmod(F.xxhash64("text"), F.lit(5)).alias("fold"))
+    kept = F.when(F.col("whole"), F.lit(None)).otherwise(F.pmod(F.xxhash64("text"), F.lit(5)) == 0)
+    rows = rows.select(number.cast("double").alias("label"), "features", F.coalesce(kept, F.lit(False)).alias("kept"))
     rows = rows.repartition(FIT_PARTITIONS).persist()  # a bounded number of short rows
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     weight = F.lit(1.0)
@@ -271,9 +337,9 @@ def train(docs: DataFrame) -> Scanner:
     weighted = rows.withColumn("weight", weight * sum(sizes.values()) / len(sizes))
     fitted = LogisticRegression(
         family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=40, weightCol="weight"
-    ).fit(weighted.filter("fold <> 0 or label > 0"))
+    ).fit(weighted.filter("not kept"))
 
-    judged = fitted.transform(weighted.filter("fold = 0"))
+    judged = fitted.transform(weighted.filter("kept"))
     known_or_not = judged.select(
         (F.col("label") > 0).cast("double").alias("label"),
         array_to_vector(F.array(_evidence(vector_to_array("probability")[0]))).alias("features"),
@@ -287,6 +353,19 @@ def train(docs: DataFrame) -> Scanner:
     return Scanner(families, counts, fitted, float(calibrated.coefficients[0]), float(calibrated.intercept), shares)
 
 
+def _named_by(line: Column) -> Column:
+    """The units of a line: itself, or the identifiers of its expression, each behind the tag."""
+    tokens = line["tokens"]
+    tag = "spdx-license-identifier"
+    ids = F.filter(tokens, lambda t: ~t.isin("or", "and", "with", tag))
+    tagged = (F.get(tokens, F.lit(0)) == tag) & (F.size(ids) > 1)
+
+    def unit(own: Column) -> Column:
+        return F.struct(line["at"].alias("at"), F.lit(True).alias("line"), own.alias("tokens"))
+
+    return F.when(tagged, F.transform(ids, lambda i: unit(F.array(F.lit(tag), i)))).otherwise(F.array(unit(tokens)))
+
+
 def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     """A row per licence paragraph: ``doc_id paragraph family probability coverage``."""
     each = blocks(docs).withColumn("tokens", F.flatten("lines.tokens"))
@@ -298,32 +377,42 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     # A line holds no pair that its block does not hold.
     named = F.arrays_overlap("tokens", F.array(*[F.lit(w) for w in ("spdx-license-identifier", "license", "licence")]))
     possible = each.filter((at_most >= UNKNOWN_COVERAGE - 1e-9) | named).withColumn("_block", F.monotonically_increasing_id())
-    own = F.transform("lines", lambda x: F.struct(x["at"].alias("at"), F.lit(True).alias("line"), x["tokens"].alias("tokens")))
+    own = F.flatten(F.transform("lines", _named_by))
     whole = F.array(F.struct(F.col("lines")[0]["at"].alias("at"), F.lit(False).alias("line"), "tokens"))
     units = F.when(F.size("lines") > 1, F.concat(own, whole)).otherwise(own)
     units = possible.select("doc_id", "_block", F.explode(units).alias("unit"))
     units = units.select("doc_id", "_block", F.col("unit.at").alias("paragraph"), "unit.line", F.col("unit.tokens").alias("tokens"))
     evident = F.col("text").rlike(EVIDENCE)
-    units = units.withColumn("text", F.array_join("tokens", " ")).filter((at_most >= UNKNOWN_COVERAGE - 1e-9) | evident)
+    units = units.withColumn("text", F.array_join("tokens", " ")).filter(F.col("text").rlike(CUES))
+    units = units.filter((at_most >= UNKNOWN_COVERAGE - 1e-9) | evident)
     units = units.drop("tokens")
     judged = scanner.model.transform(_measured(units, scanner.counts)).withColumn("p", vector_to_array("probability"))
     licence = 1 / (1 + F.exp(-(F.lit(scanner.slope) * _evidence(F.col("p")[0]) + scanner.constant)))
     likely = judged.select("doc_id", "_block", "paragraph", "line", "text", "p", "_pairs", licence.alias("probability"))
     likely = likely.withColumn("evident", evident).filter((F.col("probability") >= THRESHOLD) | F.col("evident"))
-    best = F.array_position("p", F.array_max(F.slice("p", 2, len(scanner.families) - 1)))
-    guess = F.element_at(F.array(*[F.lit(f) for f in scanner.families]), best.cast("int"))
+    of_families = F.slice("p", 2, len(scanner.families) - 1)
+    best = F.array_position("p", F.array_max(of_families))
+    names = F.array(*[F.lit(f) for f in scanner.families])
+    guess = F.element_at(names, best.cast("int"))
+    shares = F.arrays_zip(F.slice(names, 2, len(scanner.families) - 1).alias("family"), of_families.alias("p"))
+    likely_ones = F.filter(shares, lambda x: x["p"] >= GUESS * (1 - F.get(F.col("p"), F.lit(0))))
+    predicted = F.array_union(F.array(guess), F.transform(likely_ones, lambda x: x["family"]))
     each = [
         F.struct(F.lit(family).alias("family"), F.greatest(*own, F.lit(0.0)).alias("coverage"), says(F.col("text"), family).alias("says"))
         for family, own in (
             (f, [_coverage(F.col("_pairs"), w) for w in wanted]) for f, wanted in _template_pairs().items()
         )
     ]
-    named = likely.select("*", guess.alias("guess"), F.array(*each).alias("each")).drop("p", "_pairs", "text")
-    # A line has the guessed family if that is confirmed; a block may hold notices of several.
-    every = F.filter("each", lambda x: x["says"] & (x["coverage"] >= COVERAGE))
-    guessed = F.filter(every, lambda x: x["family"] == F.col("guess"))
-    sure = F.when(F.col("line") & (F.size(guessed) > 0), guessed).otherwise(every)
-    sure = F.transform(sure, lambda x: F.struct(x["family"].alias("family"), x["coverage"].alias("coverage")))
+    named = likely.select("*", guess.alias("guess"), predicted.alias("predicted"), F.array(*each).alias("each"))
+    named = named.drop("p", "_pairs", "text")
+    confirmed = F.filter(
+        "each",
+        lambda x: F.array_contains(F.col("predicted"), x["family"])
+        & x["says"]
+        & (x["coverage"] >= COVERAGE)
+        & (F.col("probability") >= THRESHOLD),
+    )
+    sure = F.transform(confirmed, lambda x: F.struct(x["family"].alias("family"), x["coverage"].alias("coverage")))
     guessed = F.filter("each", lambda x: (x["family"] == F.col("guess")) & ((x["coverage"] >= UNKNOWN_COVERAGE) | F.col("evident")))
     vague = F.transform(guessed, lambda x: F.struct(F.lit(UNKNOWN).alias("family"), x["coverage"].alias("coverage")))
     found = named.withColumn("found", F.explode(F.when(F.size(sure) > 0, sure).otherwise(vague)))
