@@ -10,8 +10,12 @@ that no other space follows, since a piece always starts there. Each different
 part of a batch is counted once, and the counts of parts and pieces seen lately
 are kept, a bounded number of them.
 
-Defined results: null is the empty text, of no bytes and no tokens; rows that
-repeat are each counted; an empty table gives an empty result.
+Which characters are letters and numbers is asked of the tokenizer library, whose
+version of Unicode is another than that of the module that splits.
+
+Defined results: null is the empty text, of no bytes and no tokens; a null id
+stays; rows that repeat are each counted; other columns of the input are not
+used; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ import functools
 import heapq
 import json
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import pre_tokenizers
 
 from flightrank.llm.parts import before_spaces, numbered_parts, sums
 from flightrank.llm.recent import Recent
@@ -35,8 +41,61 @@ from flightrank.llm.shipping import ship
 LIMIT = 512
 TEXTS = 8192  # counted at once
 
-# Fixed value: how a byte-level vocabulary of this kind splits a text before merging.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: how a byte-level vocabulary of this kind splits a text before merging,
+# with its classes of letters and numbers to be put in.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^\s{L}{N}]+|\s+(?!\S)|\s+"
+KINDS = ("L", "N")  # letters and numbers
+
+
+def _kinds() -> dict[str, str]:
+    """All characters but white space, as this module's tables class them; the rest at ``""``."""
+    every = "".join(chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000)
+    found = {k: "".join(regex.findall(rf"\p{{{k}}}", every)) for k in KINDS}
+    return found | {"": "".join(regex.findall(r"[^\s\p{L}\p{N}]", every))}
+
+
+def library_kinds(own: dict[str, str]) -> dict[tuple[str, str], str]:
+    """The characters that the tokenizer library classes otherwise: by our kind and by its kind.
+
+    Its tables are of another version of Unicode. It puts neighbours of one kind into
+    one piece, so a few calls tell the kinds of all characters.
+    """
+    split = pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
+
+    def kind(c: str) -> str:
+        for name, one in zip(KINDS, "x1"):
+            if len(split(one + c)) == 1:
+                return name
+        return ""
+
+    otherwise: dict[tuple[str, str], str] = {}
+    for name, chars in own.items():
+        for _, (start, end) in split(chars):
+            theirs = kind(chars[start])
+            if theirs != name:
+                key = (name, theirs)
+                otherwise[key] = otherwise.get(key, "") + chars[start:end]
+    return otherwise
+
+
+def _ranges(chars: str) -> str:
+    """Characters as the ranges of a set of a pattern."""
+    places = np.array([ord(c) for c in chars])
+    cuts = np.flatnonzero(np.diff(places) != 1) + 1
+    return "".join(rf"\U{run[0]:08x}-\U{run[-1]:08x}" for run in np.split(places, cuts))
+
+
+@functools.lru_cache(maxsize=1)
+def split_pattern() -> str:
+    """``SPLIT`` with the classes that the library has; made once per process."""
+    otherwise = library_kinds(_kinds())
+    classes = {}
+    for name in KINDS:
+        less = "".join(chars for (ours, _), chars in otherwise.items() if ours == name)
+        more = "".join(chars for (_, theirs), chars in otherwise.items() if theirs == name)
+        own = rf"[\p{{{name}}}--[{_ranges(less)}]]" if less else rf"\p{{{name}}}"
+        classes[name] = f"[{own}{_ranges(more)}]" if more else own
+    return SPLIT.replace("{L}", classes["L"]).replace("{N}", classes["N"])
 
 
 def byte_letters() -> dict[str, int]:
@@ -122,7 +181,7 @@ class Counter:
         special = sorted((t["content"] for t in parts["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.cuts = not any(" " in s for s in special)
-        self.split = regex.compile(SPLIT)
+        self.split = regex.compile(split_pattern(), regex.V1)
         self.pieces = Recent(self._piece, 400_000)
         self.known = Recent(self._part)
 

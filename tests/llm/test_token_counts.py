@@ -69,3 +69,26 @@ def test_recent_results_are_bounded():
     for i in range(50):
         known[f"{i}"], known["too long"]
     assert len(known) + len(known.older) <= 6 and "too long" not in known
+
+
+def test_every_character_is_of_the_kind_that_the_library_has_for_it():
+    """Before an ending, after a digit and after a space."""
+    texts = []
+    for start in range(0, 0x110000, 512):
+        chars = [chr(i) for i in range(start, start + 512) if not 0xD800 <= i < 0xE000]
+        texts.append("\n".join(f"{c}'s 1{c} {c}" for c in chars))
+    expected = [len(e.ids) for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+    assert COUNTER.counts(texts).tolist() == expected
+
+
+def test_kinds_that_differ_either_way():
+    own = token_counts._kinds()
+    moved = {"L": own["L"].replace("q", "") + "!", "N": own["N"], "": own[""].replace("!", "") + "q"}
+    found = token_counts.library_kinds(moved)
+    assert found["L", ""].endswith("!") and found["", "L"] == "q"
+
+
+def test_columns_of_the_input_with_names_of_the_result(spark, docs):
+    table = docs((1, "some text"), (None, None)).withColumnRenamed("digest", "n_tokens")
+    rows = token_counts.count_tokens(table, PATH).collect()
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_tokens) for r in rows) == [(0, 0, 0), (1, 9, 2)]
