@@ -318,7 +318,9 @@ def train(docs: DataFrame) -> Scanner:
     # At most SAMPLE_DOCS ids.
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
     ordinary = paragraphs(sample).select(F.lit(ORDINARY).alias("family"), "text").distinct()
-    ordinary = ordinary.filter(_resembles(pairs(words(F.col("text"))), _template_pairs()) < COVERAGE / 2)
+    # A line without a cue is no notice, however many pairs it holds; the model has to learn such lines.
+    alike = _resembles(pairs(words(F.col("text"))), _template_pairs()) >= COVERAGE / 2
+    ordinary = ordinary.filter(~F.col("text").rlike(CUES) | ~alike)
 
     otherwise = spark.createDataFrame([(ORDINARY, t) for t in OTHERWISE], "family string, text string")
     ordinary = ordinary.unionByName(otherwise).withColumn("whole", F.lit(False))
