@@ -391,7 +391,8 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     judged = scanner.model.transform(_measured(units, scanner.counts)).withColumn("p", vector_to_array("probability"))
     licence = 1 / (1 + F.exp(-(F.lit(scanner.slope) * _evidence(F.col("p")[0]) + scanner.constant)))
     likely = judged.select("doc_id", "_block", "paragraph", "line", "text", "p", "_pairs", licence.alias("probability"))
-    likely = likely.withColumn("evident", evident).filter((F.col("probability") >= THRESHOLD) | F.col("evident"))
+    likely = likely.withColumn("evident", evident)
+    likely = likely.select(F.inline(F.array(F.struct(*likely.columns)))).filter((F.col("probability") >= THRESHOLD) | F.col("evident"))
     of_families = F.slice("p", 2, len(scanner.families) - 1)
     best = F.array_position("p", F.array_max(of_families))
     names = F.array(*[F.lit(f) for f in scanner.families])
@@ -406,7 +407,9 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
         )
     ]
     named = likely.select("*", guess.alias("guess"), predicted.alias("predicted"), F.array(*each).alias("each"))
-    named = named.drop("p", "_pairs", "text")
+    # The one-element inline computes these once, not for each use inside a lambda.
+    kept = [c for c in named.columns if c not in ("p", "_pairs", "text")]
+    named = named.select(F.inline(F.array(F.struct(*kept))))
     confirmed = F.filter(
         "each",
         lambda x: F.array_contains(F.col("predicted"), x["family"])
