@@ -3,6 +3,15 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next stage's ``docs``. All but the last
 return the columns of ``documents``.
+
+Defined results: a null text is the empty text in every stage, so documents
+without a text are copies of each other and one of them is left, however long the
+others; texts of any length are read whole; of equal texts the row of the largest
+id stays, and any id beats null; of near copies the smallest id's; of rows that
+repeat one stays; an empty table goes through all stages and gives no rows;
+columns of ``documents`` beyond ``doc_id`` and ``text`` are carried along, also
+where operators use their names. Labels of ids that ``documents`` does not have
+are not used, and without labels nothing is toxic.
 """
 
 from __future__ import annotations
