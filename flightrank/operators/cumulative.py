@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bucket_of(value: Column, cuts: Column) -> Column:
-    """How many of the cut points are at or below ``value``."""
-    return F.size(F.filter(cuts, lambda cut: cut <= value))
+def with_bucket(table: DataFrame, value: str, cuts: Column, n_cuts: int) -> DataFrame:
+    """Add ``bucket``: how many of the ``n_cuts`` rising cut points are at or below ``value``.
+
+    Whole steps are counted first, then the cut points within one, so that a value is
+    not compared with all.
+    """
+    step = math.isqrt(n_cuts) + 1
+
+    def passed(place: Column) -> Column:
+        return F.coalesce((F.get("cuts", place) <= F.col(value)).cast("int"), F.lit(0))
+
+    steps = [passed(F.lit(last)) for last in range(step - 1, n_cuts, step)]
+    within = [passed(F.col("before") + i) for i in range(step - 1)]
+    return (
+        table.withColumn("cuts", cuts)
+        .withColumn("before", step * sum(steps, F.lit(0)))
+        .withColumn("bucket", sum(within, F.col("before")))
+        .drop("cuts", "before")
+    )
 
 
 def sums_from_top(
@@ -29,8 +46,7 @@ def sums_from_top(
         buckets = max(256, 4 * int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / buckets for i in range(1, buckets)]
     cuts = table.agg(F.percentile_approx(value, shares, 10 * buckets)).scalar()
-    cut = table.withColumn("cuts", cuts)
-    cut = cut.withColumn("bucket", bucket_of(F.col(value), F.col("cuts"))).drop("cuts")
+    cut = with_bucket(table, value, cuts, len(shares))
 
     # At most ``buckets`` rows: a window in one task and a broadcast are safe.
     higher = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)

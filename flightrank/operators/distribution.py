@@ -72,10 +72,14 @@ def powerlaw_alpha(samples: DataFrame, column: str, xmin: float | None = None) -
 
 FIT = "xmin double, n_tail long, alpha double, d double"
 CANDIDATE = "m double, m_ln double, n_tail long, m_below long, alpha double"
+# Pairs of a candidate and an end of a cell: more of them are not compared unless the
+# candidates were thinned out first.
+_FEW_PAIRS = 1 << 26
 
 
 def powerlaw_fit(
-    samples: DataFrame, column: str, cells: int | None = None, spread: int = 16
+    samples: DataFrame, column: str, cells: int | None = None, spread: int = 16,
+    few_pairs: int = _FEW_PAIRS,
 ) -> DataFrame:
     """The power law that fits best: one row ``xmin, n_tail, alpha, d``.
 
@@ -93,11 +97,19 @@ def powerlaw_fit(
     cannot win; of the others only those cells are opened whose bound is above the
     distance that the ends already have. The offsets of a cell shrink faster than
     the distances do, so few candidates and cells are left.
+
+    Where candidates and cells are too many to meet (``few_pairs``), every candidate
+    is first held against a few ends in its tail. One whose distance there is above
+    the whole distance of another cannot win either; the rest is held against more
+    and more ends. So the work grows about as the number of values.
     """
-    return _best_fit(written_once(value_counts(samples, column), "value-counts"), cells, spread)
+    values = written_once(value_counts(samples, column), "value-counts")
+    return _best_fit(values, cells, spread, few_pairs)
 
 
-def _best_fit(values: DataFrame, cells: int | None = None, spread: int = 16) -> DataFrame:
+def _best_fit(
+    values: DataFrame, cells: int | None = None, spread: int = 16, few_pairs: int = _FEW_PAIRS
+) -> DataFrame:
     spark = values.sparkSession
     whole = values.agg(
         F.count(F.lit(1)).alias("values"), F.sum("n").alias("samples"),
@@ -111,12 +123,9 @@ def _best_fit(values: DataFrame, cells: int | None = None, spread: int = 16) ->
     # Little data but much work on it: a fixed number of tasks, which Spark
     # does not merge by size.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounded = written_once(
-        _candidates(points, whole["largest"]).repartition(tasks, "m").mapInArrow(
-            _bounded(grid), f"{CANDIDATE}, low double, high double"
-        ),
-        "powerlaw-bounds",
-    )
+    some = _candidates(points, whole["largest"])
+    some = _thinned(some, whole["values"], points, grid, tasks, spread, few_pairs)
+    bounded = written_once(_between(some, grid, tasks), "powerlaw-bounds")
     reach = bounded.agg(F.min("high")).first()[0]
     if reach is None:
         return spark.createDataFrame([], FIT)
@@ -124,12 +133,50 @@ def _best_fit(values: DataFrame, cells: int | None = None, spread: int = 16) ->
     return _measured(alive, points, grid, tasks, spread).orderBy("d", "xmin").limit(1)
 
 
+def _thinned(
+    some: DataFrame, left: int, points: DataFrame, grid: dict[str, np.ndarray], tasks: int,
+    spread: int, few_pairs: int,
+) -> DataFrame:
+    """Candidates without those whose distance at some ends is above another's whole distance.
+
+    The others come from every size of tail, as small tails lie far off by chance alone
+    and a few ends tell little of them: of each octave the one that lies nearest so far.
+    """
+    ends, looked_at, reach = 2 * len(grid["cell"]), 32, float("inf")
+    while looked_at < ends and left * ends > few_pairs:
+        seen = written_once(
+            some.repartition(tasks, "m").mapInArrow(
+                _nearest(grid, looked_at), f"{CANDIDATE}, low double"
+            ),
+            "powerlaw-low",
+        )
+        octave = F.floor(F.log2("n_tail")).alias("octave")
+        one = F.min_by(F.struct(*seen.drop("low").columns), "low")
+        others = seen.groupBy(octave).agg(one.alias("one")).select("one.*")
+        others = written_once(_between(others, grid, tasks).drop("high"), "powerlaw-others")
+        least = _measured(others, points, grid, tasks, spread).agg(F.min("d")).first()[0]
+        if least is None:
+            return seen.drop("low")
+        reach = min(reach, least + _ROUNDING)
+        alive = seen.filter(F.col("low") <= reach)
+        some, left, looked_at = alive.drop("low"), alive.count(), 16 * looked_at
+    return some
+
+
+def _between(some: DataFrame, grid: dict[str, np.ndarray], tasks: int) -> DataFrame:
+    return some.repartition(tasks, "m").mapInArrow(
+        _bounded(grid), f"{CANDIDATE}, low double, high double"
+    )
+
+
 def _points(values: DataFrame, whole: Row, cells: int) -> DataFrame:
     """Every value with the sums from it upwards, the samples below it, and its cell.
 
     Cells hold like many values, like many samples, as a few values may hold most of
-    them, and are alike wide in ln x, as the last values may lie far apart. There are
-    at most three times ``cells`` that have values, and they rise with the values.
+    them, and are alike wide in ln x, as the last values may lie far apart. None holds
+    more than a part of the values from it upwards, as small tails would lie within
+    one. There are at most three times ``cells`` that have values, and eight for each
+    doubling of the values; they rise with the values.
     """
     # Logarithms relative to the largest value: the sums over short tails are then small,
     # and their differences keep their digits.
@@ -141,7 +188,8 @@ def _points(values: DataFrame, whole: Row, cells: int) -> DataFrame:
     share = F.floor(below * cells / F.lit(whole["samples"]))
     least = F.lit(whole["least"])
     width = F.floor(cells * (1 - F.col("ln") / ln_ratio(least, F.lit(whole["largest"]))))
-    cell = place + (cells + 1) * (share + (cells + 1) * width)
+    rank = F.floor(8 * F.log2(F.lit(whole["values"]) / F.col("from_one")))
+    cell = place + (cells + 1) * (share + (cells + 1) * (width + (cells + 1) * rank))
     return written_once(
         summed.select(
             "x", "ln", "from_n", "from_n_ln", below.alias("below"), cell.cast("long").alias("cell")
@@ -168,9 +216,9 @@ def _grid(points: DataFrame) -> dict[str, np.ndarray]:
         points.join(F.broadcast(sloped), "cell")
         .groupBy(*sloped.columns)
         .agg(F.greatest(F.max(off), F.lit(0.0)).alias("above"), F.greatest(F.max(-off), F.lit(0.0)).alias("under"))
-        .orderBy("cell")
         .collect()
     )
+    rows.sort(key=lambda r: r["cell"])
     return {c: np.array([r[c] for r in rows]) for c in (*sloped.columns, "above", "under")}
 
 
@@ -212,6 +260,17 @@ def _at_cells(some: dict[str, np.ndarray], grid: dict[str, np.ndarray]) -> tuple
     return np.where(passed, -1.0, ends), np.where(passed, -1.0, most)
 
 
+def _at_ends(some: dict[str, np.ndarray], grid: dict[str, np.ndarray], looked_at: int) -> np.ndarray:
+    """The distance at so many ends of cells, spread over the tail of each candidate."""
+    ends_ln, ends_below = (np.stack([grid[f"lo_{c}"], grid[f"hi_{c}"]], 1).ravel() for c in ("ln", "below"))
+    first = np.searchsorted(ends_below, some["m_below"])[:, None]
+    share = np.arange(1, looked_at + 1) / looked_at
+    at = np.maximum(first, first + ((len(ends_ln) - first) * share).astype(np.int64) - 1)
+    m_ln, n_tail, m_below, alpha = (some[c][:, None] for c in ("m_ln", "n_tail", "m_below", "alpha"))
+    gap = (ends_below[at] - m_below) / n_tail + np.expm1((1 - alpha) * (ends_ln[at] - m_ln))
+    return np.abs(gap).max(1)
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[dict[str, np.ndarray]]:
     rows = max(1, _PAIRS // cells)
     for batch in batches:
@@ -220,6 +279,16 @@ def _chunks(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[dict[str,
             yield {n: part.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(part.schema.names)}
 
 
+def _nearest(grid: dict[str, np.ndarray], looked_at: int):
+    """Candidates with the least that their distance can be."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _chunks(batches, 8 * looked_at):
+            yield pa.RecordBatch.from_pydict({**some, "low": _at_ends(some, grid, looked_at)})
+
+    return run
+
+
 def _bounded(grid: dict[str, np.ndarray]):
     """Candidates with the least and the greatest that their distance can be."""
 
@@ -246,14 +315,17 @@ def _open_cells(grid: dict[str, np.ndarray]):
 def _measured(
     some: DataFrame, points: DataFrame, grid: dict[str, np.ndarray], tasks: int, spread: int
 ) -> DataFrame:
-    """Exact distances. Candidates often share open cells; the salt splits such a cell."""
-    opened = some.repartition(tasks, "m").mapInArrow(
-        _open_cells(grid), f"{CANDIDATE}, low double, cell long"
-    )
-    salted = opened.withColumn("salt", F.pmod(F.xxhash64("m"), F.lit(spread)).cast("int"))
-    singles = points.select(
-        "cell", "ln", "below", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("salt")
-    )
+    """Exact distances. Candidates often share open cells; the salt splits such a cell.
+
+    Only values of open cells are copied, once for each salt that a candidate has there.
+    ``some`` was written in ``tasks`` parts by ``m``, so the work on it is spread already.
+    """
+    opened = some.mapInArrow(_open_cells(grid), f"{CANDIDATE}, low double, cell long")
+    salt = F.pmod(F.xxhash64("m"), F.lit(spread)).cast("int").alias("salt")
+    salted = written_once(opened.select("*", salt), "powerlaw-open")
+    # At most ``spread`` rows per cell.
+    wanted = salted.select("cell", "salt").distinct()
+    singles = points.join(F.broadcast(wanted), "cell").select("cell", "ln", "below", "salt")
     seen = (F.col("below") - F.col("m_below")) / F.col("n_tail")
     law = 1 - F.exp((1 - F.col("alpha")) * (F.col("ln") - F.col("m_ln")))
     farthest = (

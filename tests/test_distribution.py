@@ -1,8 +1,10 @@
+import bisect
 import math
 from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from flightrank import sources
 from flightrank.operators import cumulative, distribution
@@ -47,6 +49,16 @@ def test_fit_equals_brute_force(spark, name, cells):
     assert row.d == pytest.approx(d, abs=1e-9)
 
 
+@pytest.mark.parametrize("name", SAMPLES)
+def test_fit_equals_brute_force_after_thinning_out(spark, name):
+    """``few_pairs`` of 0: candidates are thinned out however few they are."""
+    d, xmin, n_tail, alpha = brute_fit(SAMPLES[name])
+    [row] = distribution.powerlaw_fit(frame(spark, SAMPLES[name]), "n", spread=3, few_pairs=0).collect()
+    assert (row.xmin, row.n_tail) == (xmin, n_tail)
+    assert row.alpha == pytest.approx(alpha, rel=1e-9)
+    assert row.d == pytest.approx(d, abs=1e-9)
+
+
 @pytest.mark.parametrize("name", SAMPLES)
 def test_bounds_hold_for_every_candidate_and_cell(spark, name):
     """No distance inside a cell is above its bound, none at its ends above the distance."""
@@ -57,9 +69,13 @@ def test_bounds_hold_for_every_candidate_and_cell(spark, name):
     held = points.orderBy("x").toPandas()
     some = distribution._candidates(points, whole["largest"]).orderBy("m").toPandas()
     ends, most = distribution._at_cells({c: some[c].to_numpy() for c in some}, grid)
+    at_ends = {k: distribution._at_ends({c: some[c].to_numpy() for c in some}, grid, k) for k in (1, 5, 1000)}
     for i, m in some.iterrows():
         tail = held[held.below >= m.m_below]
         gap = np.abs((tail.below - m.m_below) / m.n_tail + np.expm1((1 - m.alpha) * (tail.ln - m.m_ln)))
+        assert at_ends[1][i] == pytest.approx(gap.iloc[-1], abs=1e-12)
+        assert at_ends[5][i] <= gap.max() + 1e-12
+        assert at_ends[1000][i] == pytest.approx(ends[i].max(), abs=1e-12)
         for c, cell in enumerate(grid["cell"]):
             inside = gap[tail.cell == cell]
             if len(inside):
@@ -85,6 +101,38 @@ def test_the_search_opens_few_cells_of_many_values(spark):
     assert alive.any() and compared < 3 * n * math.isqrt(n) < n * n / 20
 
 
+@pytest.mark.parametrize("kind", ["pareto", "uniform"])
+def test_most_candidates_meet_few_ends(spark, kind):
+    """Before, every candidate met every cell, so that the work grew faster than the values."""
+    drawn = np.random.default_rng(8).random(20_000)
+    values = (1 - drawn) ** (-1 / 1.7) if kind == "pareto" else 900 + 1e5 * drawn
+    counts = written_once(distribution.value_counts(frame(spark, values), "n"), "counts")
+    whole = counts.selectExpr("count(*) AS values", "sum(n) AS samples", "min(x) AS least", "max(x) AS largest").first()
+    n = whole["values"]
+    points = distribution._points(counts, whole, math.isqrt(n))
+    grid = distribution._grid(points)
+    some = distribution._candidates(points, whole["largest"])
+    left = distribution._thinned(some, n, points, grid, 4, 4, n * 64).count()
+    assert 0 < left < n / 4
+
+
+def test_only_open_cells_are_copied(spark):
+    """One candidate has one salt, so no value is copied for the others."""
+    values = np.random.default_rng(8).random(3000) + 1
+    counts = written_once(distribution.value_counts(frame(spark, values), "n"), "counts")
+    whole = counts.selectExpr("count(*) AS values", "sum(n) AS samples", "min(x) AS least", "max(x) AS largest").first()
+    points = distribution._points(counts, whole, 10)
+    grid = distribution._grid(points)
+    one = distribution._candidates(points, whole["largest"]).orderBy("m").limit(1)
+    one = distribution._between(one, grid, 4).drop("high")
+    measured = distribution._measured(one, points, grid, 4, 1000)
+    [row] = measured.collect()
+    data = np.sort(values)
+    law = 1 - (data / row.xmin) ** (1 - row.alpha)
+    assert row.d == pytest.approx(np.abs(np.arange(3000) / 3000 - law).max(), abs=1e-9)
+    assert "Generate" not in measured._jdf.queryExecution().toString()
+
+
 def test_values_that_cannot_be_fitted_are_ignored(spark):
     values = [0.0, -3.0, float("nan"), float("inf"), 2.0, 3.0, 3.0]
     counts = distribution.value_counts(frame(spark, values), "n")
@@ -107,6 +155,14 @@ def test_sums_from_top(spark, buckets):
     assert len({r.bucket for r in rows}) <= buckets
 
 
+@pytest.mark.parametrize("cuts", [[3.0], [1.0, 1.0, 2.0, 9.0], [float(c) for c in range(0, 510, 2)]])
+def test_buckets_count_the_cuts_at_or_below(spark, cuts):
+    values = [-1.0, 0.0, 1.0, 1.5, 2.0, 3.0, 9.0, 255.0, 507.9, 508.0, 1e9]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = cumulative.with_bucket(df, "x", F.array(*map(F.lit, cuts)), len(cuts)).collect()
+    assert {r.x: r.bucket for r in found} == {v: bisect.bisect_right(cuts, v) for v in values}
+
+
 def test_sums_from_top_sorts_no_whole_table_in_one_task(spark):
     df = spark.range(1, 5000).selectExpr("cast(id AS double) AS x", "id AS n")
     rows = cumulative.sums_from_top(df, "x", ["n"], 16).groupBy("bucket").count().collect()
